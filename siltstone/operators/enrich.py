@@ -1,0 +1,106 @@
+"""Enrichment joins and the aggregates over them."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from siltstone.functions import broadcastable, row_hash
+
+
+def enrich(primary: DataFrame, secondary: DataFrame | None, key: str | None) -> DataFrame:
+    """Left join on one shared key; without a secondary or a key the primary as it is.
+
+    The sides can be told apart as `primary.x` and `secondary.x`.
+    """
+    if secondary is None or not key:
+        return primary
+    return primary.alias("primary").join(secondary.alias("secondary"), on=key, how="left")
+
+
+@dataclass(frozen=True)
+class Measure:
+    name: str
+    kind: str  # sum, count, avg or max
+    column: str
+
+
+def _direct(m: Measure) -> Column:
+    return getattr(F, m.kind)(F.col(f"`{m.column}`")).alias(m.name)
+
+
+def _parts(measures: Sequence[Measure]) -> dict[str, Column]:
+    """The partial aggregates the measures need, each once."""
+    parts: dict[str, Column] = {}
+    for m in measures:
+        column = F.col(f"`{m.column}`")
+        if m.kind in ("sum", "avg"):
+            parts[f"_s_{m.column}"] = F.sum(column)
+        if m.kind in ("count", "avg"):
+            parts[f"_n_{m.column}"] = F.count(column)
+        if m.kind == "max":
+            parts[f"_m_{m.column}"] = F.max(column)
+    return parts
+
+
+def _merged(m: Measure) -> Column:
+    total, rows = F.sum(F.col(f"`_s_{m.column}`")), F.sum(F.col(f"`_n_{m.column}`"))
+    value = {
+        "sum": lambda: total,
+        "count": lambda: rows,
+        "avg": lambda: total / F.nullif(rows, F.lit(0)),
+        "max": lambda: F.max(F.col(f"`_m_{m.column}`")),
+    }[m.kind]()
+    return value.alias(m.name)
+
+
+def summarize(
+    primary: DataFrame,
+    by: Sequence[str],
+    measures: Sequence[Measure],
+    secondary: DataFrame | None = None,
+    key: str | None = None,
+    secondary_by: Sequence[str] = (),
+    unique_secondary: bool = True,
+) -> DataFrame:
+    """Group `enrich(primary, secondary, key)` by columns of either side and measure the primary.
+
+    The primary is aggregated by join key *before* the join: only one row per key and group
+    is shuffled and joined, and a key that holds a large part of the input shrinks inside
+    its own map tasks. The partial results are merged after the join, so the answer is that
+    of joining first, also where the secondary has several rows per key.
+
+    With no column of the secondary in use and its key unique (every upserted table), a left
+    join changes nothing and is left out, as Catalyst does where it can prove the key unique.
+    """
+    by, secondary_by = list(by), list(secondary_by)
+    joins = secondary is not None and key and (secondary_by or not unique_secondary)
+    if not joins:
+        return primary.groupBy(*by).agg(*map(_direct, measures))
+
+    parts = primary.groupBy(*dict.fromkeys([key, *by])).agg(
+        *(c.alias(n) for n, c in _parts(measures).items())
+    )
+    right = secondary.select(
+        F.col(f"`{key}`").alias("_key"), *(F.col(f"`{c}`").alias(f"_d_{c}") for c in secondary_by)
+    )
+    joined = parts.join(right, parts[key] == right["_key"], "left")
+    groups = [F.col(f"`{c}`") for c in by] + [F.col(f"`_d_{c}`").alias(c) for c in secondary_by]
+    return joined.groupBy(*groups).agg(*map(_merged, measures))
+
+
+def pair_all(left: DataFrame, right: DataFrame, splits: int = 64) -> DataFrame:
+    """Every row of a small `left` with every row of a large `right`.
+
+    The result is as large as the two sides make it; what matters is not to move the right
+    one. A left side proven small is broadcast. A larger one is copied once per split and
+    met by the right rows of that split, so no task holds a whole side.
+    """
+    if broadcastable(left):
+        return F.broadcast(left).join(right)
+    copies = left.withColumn("_split", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
+    spread = right.withColumn("_split", F.pmod(row_hash(right), F.lit(splits)).cast("int"))
+    return copies.join(spread, "_split").drop("_split")
