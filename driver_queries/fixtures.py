@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The same roles in SQL, for the oracles.
 ORD = """(select o_orderkey order_id, o_custkey customer_id, o_totalprice order_amount,
@@ -15,8 +16,15 @@ CART = """(select l_orderkey cart_id, o_custkey user_id, l_partkey product_id,
   else 'rest_api' end _source from lineitem join orders on l_orderkey = o_orderkey)"""
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the tables; its schema is read from the footers once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:

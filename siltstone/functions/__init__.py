@@ -2,6 +2,7 @@ from siltstone.functions.columns import (
     band,
     broadcastable,
     flatten_to_strings,
+    orderable,
     row_hash,
     share_of_total,
     text_of,
@@ -9,6 +10,6 @@ from siltstone.functions.columns import (
 )
 
 __all__ = [
-    "band", "broadcastable", "flatten_to_strings", "row_hash", "share_of_total", "text_of",
+    "band", "broadcastable", "flatten_to_strings", "orderable", "row_hash", "share_of_total", "text_of",
     "with_share_of_total",
 ]

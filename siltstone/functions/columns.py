@@ -52,19 +52,28 @@ def flatten_to_strings(df: DataFrame) -> DataFrame:
     return df.select(*(text_of(f).alias(f.name) for f in df.schema.fields))
 
 
-def _hashable(dtype: T.DataType) -> bool:
+def _comparable(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.StructType):
-        return all(_hashable(f.dataType) for f in dtype.fields)
+        return all(_comparable(f.dataType) for f in dtype.fields)
     if isinstance(dtype, T.ArrayType):
-        return _hashable(dtype.elementType)
+        return _comparable(dtype.elementType)
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
+def orderable(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether all of these columns can be compared (maps and variants cannot)."""
+    return all(_comparable(df.schema[c].dataType) for c in columns)
+
+
 def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """A 64-bit hash of the row, the same on every run; maps and variants are left out."""
+    """A 64-bit hash of the row, the same on every run; maps and variants enter as JSON."""
     names = set(columns or df.columns)
     return F.xxhash64(
-        *(F.col(f"`{f.name}`") for f in df.schema.fields if f.name in names and _hashable(f.dataType))
+        *(
+            F.col(f"`{f.name}`") if _comparable(f.dataType) else F.to_json(F.col(f"`{f.name}`"))
+            for f in df.schema.fields
+            if f.name in names
+        )
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions import row_hash
+from siltstone.functions import orderable, row_hash
 
 
 def latest_per_key(
@@ -19,21 +19,25 @@ def latest_per_key(
 ) -> DataFrame:
     """The row with the greatest sequence per key, whatever the arrival order.
 
-    A NULL sequence loses to any other. Equal sequences are decided by `tie`, else by a
-    hash of the row, so a re-run gives the same answer. Each map task keeps one row per key
+    A NULL sequence loses to any other. Equal sequences are decided by `tie`, then by the
+    other columns, so a re-run gives the same answer. Each map task keeps one row per key
     before the shuffle, so a key that holds a large part of the input costs no more than
     any other. `leading` columns are functions of the keys (such as a bucket number) that
     the grouping carries along so an existing partitioning on them can be used.
     """
-    keys, lead = list(keys), list(leading)
-    rest = [c for c in df.columns if c not in keys and c not in lead]
-    order = [F.col(f"`{c}`") for c in tie] or [row_hash(df)]
-    rank = F.struct(F.col(f"`{sequence_by}`"), *order)
-    latest = df.groupBy(*lead, *keys).agg(
-        F.max_by(F.struct(*(F.col(f"`{c}`") for c in rest)), rank).alias("_row")
+    groups = [*leading, *keys]
+    ranked = list(dict.fromkeys([sequence_by, *tie]))
+    rest = [c for c in df.columns if c not in groups and c not in ranked]
+    row = [F.col(f"`{c}`") for c in ranked + rest]
+    if orderable(df, ranked + rest):
+        latest = F.max(F.struct(*row))
+    else:
+        rank = [F.col(f"`{c}`") for c in ranked]
+        latest = F.max_by(F.struct(*row), F.struct(*rank, row_hash(df)))
+    held = df.groupBy(*(F.col(f"`{c}`") for c in groups)).agg(latest.alias("_row"))
+    return held.select(
+        *(F.col(f"`{c}`") if c in groups else F.col("_row").getField(c).alias(c) for c in df.columns)
     )
-    held = {c: F.col("_row").getField(c).alias(c) for c in rest}
-    return latest.select(*(held.get(c, F.col(f"`{c}`")) for c in df.columns))
 
 
 def scd1(

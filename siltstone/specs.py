@@ -78,6 +78,7 @@ class TableSpec:
     cdc: Cdc | None = None
     layout: Layout = Layout()
     on_cast_error: str = "fail"
+    stamp: str | None = None  # name of a column for the time of ingestion
 
 
 @dataclass(frozen=True)
@@ -100,7 +101,7 @@ class FlowSpec:
     silver: tuple[TableSpec, ...]
     gold: tuple[GoldSpec, ...]
     format: str = "json"
-    from_registry: bool = False
+    tagged: bool = False  # rows carry the id of their source
     compact: tuple[str, ...] = ()
     feed_rules: tuple[Expectation, ...] = ()
 
@@ -142,6 +143,7 @@ def _table(name: str, raw: dict) -> TableSpec:
         else None,
         layout=_layout(raw),
         on_cast_error=raw.get("on_cast_error", "fail"),
+        stamp=raw.get("stamp"),
     )
 
 
@@ -165,7 +167,7 @@ def parse_flow(raw: dict) -> FlowSpec:
         silver=tuple(_table(n, t) for n, t in raw["silver"].items()),
         gold=tuple(_view(n, v) for n, v in raw["gold"].items()),
         format=raw.get("format", "json"),
-        from_registry=raw.get("from_registry", False),
+        tagged=raw.get("tagged", False),
         compact=tuple(raw.get("compact") or ()),
         feed_rules=_rules(raw.get("feed_rules") or {}),
     )
