@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from siltstone import fs
+
 # The same roles in SQL, for the oracles.
 ORD = """(select o_orderkey order_id, o_custkey customer_id, o_totalprice order_amount,
   o_orderstatus order_status, cast(o_orderdate as date) order_date, c_nationkey country_code
@@ -109,3 +111,14 @@ def telemetry(events: DataFrame) -> DataFrame:
         F.col("value").alias("sensor_001"),
         F.get_json_object("props", "$.k").cast("int").alias("sensor_002"),
     )
+
+
+def as_columns(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of `like` in its types (text formats and streams lose some)."""
+    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields))
+
+
+def landing(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The table's path for a stream, which reads folders and patterns but not one file."""
+    path = f"{sf_dir}/{name}.parquet"
+    return path if fs.is_dir(spark, path) else f"{path}*"
