@@ -39,7 +39,7 @@ def silver_cast(spark: SparkSession, sf: str) -> DataFrame:
 def silver_try_cast(spark: SparkSession, sf: str) -> DataFrame:
     """Text that is no number becomes NULL when the column map says so."""
     raw = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("level"))
-    parts = raw.withColumn("level", F.split("level", "-").getItem((F.col("o_orderkey") % 2).cast("int")))
+    parts = raw.withColumn("level", F.get(F.split("level", "-"), (F.col("o_orderkey") % 2).cast("int")))
     return cast_columns(parts, {"level": "int"}, on_error="null")
 
 

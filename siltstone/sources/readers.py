@@ -154,7 +154,7 @@ def read_raw(
     if spec.source_type == "lakeflow_connect":
         return read_table(spark, spec.table, streaming)
     if spec.source_type == "rest_api":
-        return read_records(spark, spec.base_path, spec.response_key, schema or spec.schema, streaming)
+        return read_records(spark, spec.base_path, spec.response_key, schema or spec.schema, streaming, spec.lines)
     raise ValueError(f"{spec.source_id}: unknown source type {spec.source_type!r}")
 
 

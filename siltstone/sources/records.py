@@ -1,12 +1,10 @@
-"""Landed response documents: one JSON document per file with its records under a key."""
+"""Landed response documents: JSON documents with their records under a key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
-
-from siltstone.functions import flatten_to_strings
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 
 def read_records(
@@ -15,19 +13,26 @@ def read_records(
     response_key: str,
     schema: StructType | None = None,
     streaming: bool = False,
+    lines: bool = False,
 ) -> DataFrame:
-    """Every record of every document as a row of text columns, nested values as JSON.
+    """Every record of every document as a row of text columns.
 
-    `schema` is that of one record; without it the documents are read once more to infer
-    it. Documents without records, or without the key, give no rows.
+    Scalars keep the text they have in the document, nested values become compact JSON with
+    their keys in order, null stays NULL. `schema` names the fields of a record; without it
+    the documents are read once more to find them. Documents without records, or without
+    the key, give no rows. With `lines` a file holds one document per line and is split
+    among tasks.
     """
-    options = {"multiLine": "true"}
+    options = {"multiLine": str(not lines).lower()}
     if schema is None:
-        found = spark.read.options(**options).json(path).schema
-        if response_key not in found.names:
+        found = spark.read.options(**options, primitivesAsString="true").json(path).schema
+        records = found[response_key].dataType if response_key in found.names else None
+        if not isinstance(records, ArrayType) or not isinstance(records.elementType, StructType):
             raise ValueError(f"no document in {path} has records under {response_key!r}; declare a schema")
-        schema = found[response_key].dataType.elementType
-    document = StructType([StructField(response_key, ArrayType(schema))])
+        schema = records.elementType
+    # Asked for text, the JSON parser hands a nested value over as it stands.
+    record = StructType([StructField(name, StringType()) for name in schema.names])
+    document = StructType([StructField(response_key, ArrayType(record))])
     entry = spark.readStream if streaming else spark.read
     documents = entry.schema(document).options(**options).json(path)
-    return flatten_to_strings(documents.select(F.inline(F.col(f"`{response_key}`"))))
+    return documents.select(F.inline(F.col(f"`{response_key}`")))

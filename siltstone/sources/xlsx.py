@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 CHUNK = 10_000
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 # The built-in number formats that show a date or a time.
 DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
@@ -217,5 +218,5 @@ def read_xlsx(
             raise ValueError(f"no workbook with columns in {path}; declare a schema")
     if not streaming:
         return decode_xlsx(batch.load(path), columns, sheet, has_header)
-    stream = spark.readStream.format("binaryFile").options(**options)
+    stream = spark.readStream.format("binaryFile").options(**options).schema(FILES)
     return decode_xlsx(stream.load(path), columns, sheet, has_header)

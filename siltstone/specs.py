@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from pathlib import Path
 
 from pyspark.sql.types import StructType
@@ -60,6 +60,7 @@ class SourceSpec:
     base_path: str | None = None
     table: str | None = None
     response_key: str | None = None
+    lines: bool = False  # landed documents lie one per line instead of one per file
     row_tag: str = "record"
     sheet_name: str | int = 0
     delimiter: str = ","
@@ -184,6 +185,12 @@ def bundled_flow(name: str) -> FlowSpec:
     return load_flow(Path(__file__).parent / "conf" / f"{name}.yml")
 
 
+def with_buckets(flow: FlowSpec, buckets: int) -> FlowSpec:
+    """The flow with its keyed tables in so many buckets; choose by the size of the tables."""
+    tables = (replace(t, cdc=replace(t.cdc, buckets=buckets)) if t.cdc else t for t in flow.silver)
+    return replace(flow, silver=tuple(tables))
+
+
 def load_specs(path: str | Path) -> list[TableSpec]:
     """The typed tables of a flow file."""
     return list(load_flow(path).silver)
