@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from driver_queries import fixtures as fx
 from driver_queries.fixtures import CART, ORD
-from siltstone.operators.enrich import enrich
+from siltstone.operators.joins import enrich
 from siltstone.plans import gold
 from siltstone.streaming.windows import pump_hourly as hourly
 

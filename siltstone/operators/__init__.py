@@ -1,5 +1,5 @@
 from siltstone.operators.cdc import latest_per_key, scd1
-from siltstone.operators.enrich import Measure, enrich, pair_all, summarize
+from siltstone.operators.joins import Measure, enrich, pair_all, summarize
 from siltstone.operators.merge import upsert
 from siltstone.operators.quality import drop_failing, metrics, observe, quarantine
 from siltstone.operators.typing import cast_columns, project

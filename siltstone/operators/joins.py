@@ -92,14 +92,14 @@ def summarize(
     return joined.groupBy(*groups).agg(*map(_merged, measures))
 
 
-def pair_all(left: DataFrame, right: DataFrame, splits: int = 64) -> DataFrame:
+def pair_all(left: DataFrame, right: DataFrame, small_rows: int = 10_000, splits: int = 64) -> DataFrame:
     """Every row of a small `left` with every row of a large `right`.
 
     The result is as large as the two sides make it; what matters is not to move the right
     one. A left side proven small is broadcast. A larger one is copied once per split and
     met by the right rows of that split, so no task holds a whole side.
     """
-    if broadcastable(left):
+    if broadcastable(left, small_rows):
         return F.broadcast(left).join(right)
     copies = left.withColumn("_split", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
     spread = right.withColumn("_split", F.pmod(row_hash(right), F.lit(splits)).cast("int"))

@@ -20,7 +20,12 @@ def tag_source(df: DataFrame, source_id: str) -> DataFrame:
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     """No rows, but the declared columns."""
-    return spark.createDataFrame([], schema)
+    columns = (F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields)
+    return spark.range(1).filter(F.lit(False)).select(*columns)
+
+
+# Types that widen into one another without loss.
+FAMILIES = ({"tinyint", "smallint", "int", "bigint"}, {"float", "double"})
 
 
 def _conflicts(dfs: Sequence[DataFrame]) -> set[str]:
@@ -28,14 +33,19 @@ def _conflicts(dfs: Sequence[DataFrame]) -> set[str]:
     for df in dfs:
         for f in df.schema.fields:
             types.setdefault(f.name, set()).add(f.dataType.simpleString())
-    return {name for name, seen in types.items() if len(seen) > 1}
+    return {
+        name
+        for name, seen in types.items()
+        if len(seen) > 1 and not any(seen <= family for family in FAMILIES)
+    }
 
 
 def unify(dfs: Sequence[DataFrame]) -> DataFrame:
     """All rows of all frames; a column a frame lacks is NULL there.
 
-    A column whose type differs between frames becomes text, so that no source can break
-    the others; the typed layer casts it again. Works on batch frames or on streams, not
+    A column whose type differs between frames becomes text (numbers of one kind just get
+    the wider type), so that no source can break the others; the typed layer casts it
+    again. Works on batch frames or on streams, not
     on a mix: give every source the same mode.
     """
     if not dfs:

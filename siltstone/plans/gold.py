@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions import band, with_share_of_total
-from siltstone.operators.enrich import Measure, enrich, pair_all, summarize
+from siltstone.operators.joins import Measure, enrich, pair_all, summarize
 from siltstone.streaming.windows import pump_hourly
 
 Steps = Sequence[tuple[float, str]]

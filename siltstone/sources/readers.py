@@ -37,7 +37,6 @@ def file_options(spec: SourceSpec) -> dict[str, str]:
     if spec.format == "xml":
         return {
             "rowTag": spec.row_tag,
-            "encoding": spec.encoding,
             "attributePrefix": ATTRIBUTE,
             "valueTag": f"{ATTRIBUTE}text",
             "ignoreSurroundingSpaces": "false",
@@ -94,11 +93,15 @@ def _read_xml(spark: SparkSession, spec: SourceSpec, streaming: bool, schema: St
     """Children and attributes of the row element as text.
 
     An attribute wins over a child of its name, a repeated child's last value stays and an
-    empty child is NULL. What cannot be parsed is left out; `corrupt_xml` counts it.
+    empty child is NULL. What cannot be parsed is left out; `corrupt_xml` shows it. The
+    encoding is the one the file declares.
     """
     names = (schema or source_schema(spark, spec)).names
     raw = read_raw_xml(spark, spec, streaming, names)
-    return raw.filter(F.col(CORRUPT).isNull()).select(
+    # Spark refuses a query that touches the corrupt record alone, such as a count; the
+    # second condition never holds and brings in another column.
+    readable = F.col(CORRUPT).isNull() | (F.length(F.col(f"`{names[0]}`")) < 0)
+    return raw.filter(readable).select(
         *(
             F.coalesce(F.col(f"`{ATTRIBUTE}{n}`"), F.nullif(F.col(f"`{n}`"), F.lit(""))).alias(n)
             for n in names
@@ -118,9 +121,12 @@ def read_raw_xml(spark: SparkSession, spec: SourceSpec, streaming: bool, names:
 
 
 def corrupt_xml(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """File and text of everything the XML reader leaves out."""
-    raw = read_raw_xml(spark, spec, False, source_schema(spark, spec).names)
-    return raw.filter(F.col(CORRUPT).isNotNull()).select(F.col("_metadata.file_path").alias("file"), CORRUPT)
+    """File and text of everything the XML reader leaves out, and what was read of it."""
+    names = source_schema(spark, spec).names
+    raw = read_raw_xml(spark, spec, False, names)
+    partly = F.to_json(F.struct(*(F.col(f"`{n}`") for n in names))).alias("parsed")
+    rows = raw.select(F.col("_metadata.file_path").alias("file"), CORRUPT, partly)
+    return rows.filter(F.col(CORRUPT).isNotNull() & F.col("parsed").isNotNull())
 
 
 def _read_xlsx(spark: SparkSession, spec: SourceSpec, streaming: bool, schema: StructType | None) -> DataFrame:

@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
+
+
+# Fixed value: a JSON string, or the white space between tokens.
+STRING_OR_SPACE = r'("(?:[^"\\]++|\\.)*+")|\s+'
+
+
+def _nested(field: StructField) -> bool:
+    return isinstance(field.dataType, (StructType, ArrayType, MapType))
+
+
+def _compact(field: StructField):
+    """The JSON text without the white space outside its strings."""
+    return F.regexp_replace(F.col(f"`{field.name}`"), STRING_OR_SPACE, "$1").alias(field.name)
 
 
 def read_records(
@@ -35,4 +48,5 @@ def read_records(
     document = StructType([StructField(response_key, ArrayType(record))])
     entry = spark.readStream if streaming else spark.read
     documents = entry.schema(document).options(**options).json(path)
-    return documents.select(F.inline(F.col(f"`{response_key}`")))
+    records = documents.select(F.inline(F.col(f"`{response_key}`")))
+    return records.select(*(_compact(f) if _nested(f) else F.col(f"`{f.name}`") for f in schema.fields))

@@ -9,6 +9,7 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType,
 from siltstone import versions
 from siltstone.operators.cdc import latest_per_key
 from siltstone.operators.merge import upsert
+from siltstone.operators.unify import empty
 from siltstone.specs import SourceSpec
 
 # The registry's columns, types and NOT NULL marks.
@@ -97,7 +98,7 @@ def register(registry: DataFrame, new: DataFrame) -> DataFrame:
 
 def load_registry(spark: SparkSession, path: str) -> DataFrame:
     if versions.latest(spark, path) is None:
-        return spark.createDataFrame([], REGISTRY_SCHEMA)
+        return empty(spark, REGISTRY_SCHEMA)
     return versions.read(spark, path)
 
 

@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 
 from siltstone import fs
 from siltstone.operators.cdc import latest_per_key
+from siltstone.operators.unify import empty
 from siltstone.streaming.runner import run_batches
 
 BUCKET = "_bucket"
@@ -52,7 +53,7 @@ class KeyedTable:
         folders = [state["folders"][b] for b in buckets if b in state["folders"]]
         schema = StructType.fromJson(state["schema"])
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            return empty(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*folders)
 
     def current(self) -> DataFrame:
