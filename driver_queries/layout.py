@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from driver_queries.fixtures import as_columns, table
 from siltstone.operators.layout import compact, files_for, write_table
+from siltstone.plans.publish import publish
 from siltstone.session import scratch_dir
 from siltstone.specs import Layout
 
@@ -50,10 +51,22 @@ def compact_clustered(spark: SparkSession, sf: str) -> DataFrame:
     return compact(spark, f"{work}/small", f"{work}/packed", files=4, columns=["o_custkey", "o_orderdate"])
 
 
+def published_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored table asked by name."""
+    path = f"{scratch_dir(spark, 'published')}/table"
+    write_table(table(spark, sf, "customer"), path, Layout(partition_by="c_mktsegment"))
+    name = "siltstone_customers"
+    publish(spark, name, path, "customers by segment", {"quality": "gold"})
+    return spark.sql(
+        f"select c_mktsegment, count(*) n, min(c_custkey) lo, max(c_custkey) hi from {name} group by 1"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         parquet_overwrite, partitioned_write, clustered_write, zorder_write, compact_rewrite, compact_clustered,
+        published_table,
     )
 }
 
@@ -64,4 +77,6 @@ SQL = {
     "zorder_write": "select * from lineitem",
     "compact_rewrite": "select * from orders",
     "compact_clustered": "select * from orders",
+    "published_table": """select c_mktsegment, count(*) n, min(c_custkey) lo, max(c_custkey) hi
+      from customer group by 1""",
 }

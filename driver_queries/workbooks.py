@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Sequence
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 
+# The executors get this module's functions with the job; they need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 

@@ -14,6 +14,7 @@ from siltstone.specs import Layout
 
 TARGET_BYTES = 512 << 20
 ZORDER_BITS = 6
+SPLIT_VALUES = 2048
 
 
 def files_for(spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES) -> int:
@@ -38,16 +39,21 @@ def cluster(df: DataFrame, columns: Sequence[str], files: int, spread: Column |
     )
 
 
-def _splits(df: DataFrame, column: str, buckets: int) -> list:
-    """Values that cut the column's distinct values into ranges of like size.
+def _splits(df: DataFrame, columns: Sequence[str], buckets: int) -> list[list]:
+    """Per column, values that cut its distinct values into ranges of like size.
 
-    At most 4096 distinct values, picked by hash, reach the driver; they only place the
-    cuts, every row is ranked exactly.
+    Some thousand distinct values, picked by hash, reach the driver, however many there
+    are. They only place the cuts; every row is ranked exactly.
     """
-    values = df.select(F.col(f"`{column}`").alias("v")).filter("v is not null").distinct()
-    picked = sorted(r["v"] for r in values.orderBy(F.xxhash64("v"), "v").limit(4096).collect())
-    at = [picked[len(picked) * i // buckets] for i in range(1, buckets)] if picked else []
-    return sorted(set(at))
+    counts = df.agg(*(F.approx_count_distinct(F.col(f"`{c}`")).alias(c) for c in columns)).first()
+    cuts = []
+    for c in columns:
+        one_in = max(1, counts[c] // SPLIT_VALUES)
+        values = df.select(F.col(f"`{c}`").alias("v")).filter("v is not null")
+        some = values.filter(F.pmod(F.xxhash64("v"), F.lit(one_in)) == 0).distinct()
+        picked = sorted(r["v"] for r in some.orderBy(F.xxhash64("v"), "v").limit(4 * SPLIT_VALUES).collect())
+        cuts.append(sorted({picked[len(picked) * i // buckets] for i in range(1, buckets)} if picked else []))
+    return cuts
 
 
 def _rank(value: Column, splits: Sequence, low: int, high: int) -> Column:
@@ -65,8 +71,8 @@ def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS) -
     if bits * len(columns) > 62:
         raise ValueError("too many bits for one key; lower bits or use fewer columns")
     key = F.lit(0).cast("bigint")
-    for j, name in enumerate(columns):
-        value, splits = F.col(f"`{name}`"), _splits(df, name, 1 << bits)
+    for j, (name, splits) in enumerate(zip(columns, _splits(df, columns, 1 << bits))):
+        value = F.col(f"`{name}`")
         ranked = _rank(value, splits, 0, len(splits))
         rank = F.when(value.isNull(), F.lit(0)).otherwise(ranked).cast("bigint")
         for i in range(bits):

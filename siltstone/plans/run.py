@@ -11,6 +11,7 @@ from siltstone.operators.layout import replace_table
 from siltstone.operators.unify import tag_source, unify
 from siltstone.plans.bronze import FILE_RULE, ingest
 from siltstone.plans.gold import build_view
+from siltstone.plans.publish import publish
 from siltstone.plans.silver import read_silver, run_silver
 from siltstone.sources.readers import read_table
 from siltstone.specs import FlowSpec, GoldSpec, SourceSpec, TableSpec
@@ -113,6 +114,24 @@ class FlowRun:
         for spec in self.flow.gold:
             versions.expire(self.spark, self.path("gold", spec.name), retain_hours)
 
+    def publish(self, catalog: str | None = None) -> list[str]:
+        """Name the views `gold_{flow}.{view}` and the arranged tables `silver_{flow}.{table}`."""
+        prefix = f"{catalog}." if catalog else ""
+        stored = [("gold", "gold", s.name) for s in self.flow.gold]
+        stored += [("silver", "arranged", name) for name in self.flow.compact]
+        names = []
+        for layer, place, table in stored:
+            path = self.path(place, table)
+            number = versions.latest(self.spark, path)
+            if number is None:
+                continue
+            names.append(f"{prefix}{layer}_{self.flow.name}.{table}")
+            publish(
+                self.spark, names[-1], versions.folder(path, number),
+                f"{layer} table {table} of {self.flow.name}", {"quality": layer},
+            )
+        return names
+
     def arranged_table(self, name: str) -> DataFrame:
         return versions.read(self.spark, self.path("arranged", name))
 

@@ -10,15 +10,20 @@ from __future__ import annotations
 import datetime as dt
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+# The executors get this module's functions with the job; they need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CHUNK = 10_000
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
 

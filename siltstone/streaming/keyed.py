@@ -80,6 +80,9 @@ class KeyedTable:
         latest.withColumn(BUCKET, self._bucket_of()).write.mode("overwrite").parquet(staged)
         rows = self.spark.read.schema(latest.withColumn(BUCKET, self._bucket_of()).schema).parquet(staged)
         touched = sorted(str(r[BUCKET]) for r in rows.select(BUCKET).distinct().collect())
+        if state["schema"] is not None and not touched:
+            fs.delete(self.spark, staged)
+            return
         if any(b in state["folders"] for b in touched):
             held = self._read(state, touched).withColumn(BUCKET, self._bucket_of())
             both = rows.unionByName(held, allowMissingColumns=True).repartition(self.buckets, BUCKET)

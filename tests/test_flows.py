@@ -91,6 +91,11 @@ def test_sources_come_and_go_between_runs(spark, tmp_path):
     assert rows(run.arranged_table("users_clean").select("user_id", "country_code", "_source")) == want
     assert run.bronze_table("users_raw").count() == 4
     assert run.silver_table("carts_clean").columns.count("note") == 1
+    names = run.publish()
+    assert names == ["gold_users.spend", "silver_users.users_clean"]
+    assert rows(spark.table("silver_users.users_clean").select("user_id", "country_code", "_source")) == want
+    details = spark.sql("DESCRIBE TABLE EXTENDED gold_users.spend").collect()
+    assert any("quality=gold" in (r.data_type or "") for r in details)
     # Nothing new: nothing changes.
     again = run_flow(FlowRun(spark, flow, root, sources=sources))
     assert rows(again.gold_table("spend")) == rows(run.gold_table("spend"))
