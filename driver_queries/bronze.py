@@ -84,19 +84,22 @@ def bronze_stream_xlsx(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bronze_rest_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Response documents of at most 500 records each, one per line."""
+    """A response document per customer, with the customer as buyer and as payer."""
     work = scratch_dir(spark, "bronze-rest")
     source = table(spark, sf, "customer")
-    record = F.struct(
-        F.col("c_custkey").alias("id"),
-        F.col("c_name").alias("name"),
-        F.struct("c_nationkey", "c_mktsegment").alias("address"),
-        F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("balance"),
+    records = F.array(
+        *(
+            F.struct(
+                F.col("c_custkey").alias("id"),
+                F.lit(role).alias("role"),
+                F.struct("c_nationkey", "c_mktsegment").alias("address"),
+                F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("balance"),
+            )
+            for role in ("buyer", "payer")
+        )
     )
-    pages = source.groupBy(F.expr("c_custkey div 500").alias("page")).agg(
-        F.collect_list(record).alias("users"), F.count(F.lit(1)).alias("total")
-    )
-    pages.select(F.to_json(F.struct("users", "total"))).write.text(f"{work}/landing")
+    document = F.struct(records.alias("users"), F.lit(2).alias("total"))
+    source.select(F.to_json(document)).write.text(f"{work}/landing")
     return read_records(spark, f"{work}/landing", "users", lines=True)
 
 
@@ -192,9 +195,10 @@ SQL = {
     ),
     "bronze_xlsx": "select * from customer",
     "bronze_stream_xlsx": "select * from part",
-    "bronze_rest_records": """select cast(c_custkey as varchar) id, c_name as name,
+    "bronze_rest_records": """select cast(c_custkey as varchar) id, role,
       '{"c_nationkey":' || c_nationkey || ',"c_mktsegment":"' || c_mktsegment || '"}' address,
-      case when c_acctbal > 0 then cast(c_acctbal as varchar) end balance from customer""",
+      case when c_acctbal > 0 then cast(c_acctbal as varchar) end balance
+      from customer, (values ('buyer'), ('payer')) r(role)""",
     "bronze_connector_stream": "select *, 'lakeflow_s3' _source from orders",
     "bronze_schema_evolution": """select event_id, user_id, case when event_id % 2 = 1 then value end as value,
       case when event_id % 2 = 1 then event_type end event_type, 'landed' _source from events""",

@@ -57,6 +57,12 @@ def _merged(m: Measure) -> Column:
     return value.alias(m.name)
 
 
+def unique_key(df: DataFrame, key: str) -> bool:
+    """Whether no value of the key repeats; NULLs, which match nothing, may."""
+    values = df.select(F.col(f"`{key}`").alias("k")).filter("k is not null")
+    return values.groupBy("k").count().filter("count > 1").isEmpty()
+
+
 def summarize(
     primary: DataFrame,
     by: Sequence[str],
@@ -64,7 +70,7 @@ def summarize(
     secondary: DataFrame | None = None,
     key: str | None = None,
     secondary_by: Sequence[str] = (),
-    unique_secondary: bool = True,
+    unique_secondary: bool | None = None,
 ) -> DataFrame:
     """Group `enrich(primary, secondary, key)` by columns of either side and measure the primary.
 
@@ -73,11 +79,14 @@ def summarize(
     its own map tasks. The partial results are merged after the join, so the answer is that
     of joining first, also where the secondary has several rows per key.
 
-    With no column of the secondary in use and its key unique (every upserted table), a left
-    join changes nothing and is left out, as Catalyst does where it can prove the key unique.
+    With no column of the secondary in use and its key unique, a left join changes nothing
+    and is left out, as Catalyst does where it can prove the key unique. Say so for an
+    upserted table; left open, the key is checked, which costs one pass over that column.
     """
     by, secondary_by = list(by), list(secondary_by)
-    joins = secondary is not None and key and (secondary_by or not unique_secondary)
+    joins = secondary is not None and key is not None
+    if joins and not secondary_by:
+        joins = not (unique_key(secondary, key) if unique_secondary is None else unique_secondary)
     if not joins:
         return primary.groupBy(*by).agg(*map(_direct, measures))
 

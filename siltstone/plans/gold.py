@@ -35,7 +35,7 @@ def daily_revenue_summary(
     customers: DataFrame | None = None,
     key: str = "customer_id",
     tiers: Steps = REVENUE_TIERS,
-    unique_secondary: bool = True,
+    unique_secondary: bool | None = None,
 ) -> DataFrame:
     """Revenue per day, country of the order and order status."""
     return summarize(
@@ -159,10 +159,11 @@ def pump_efficiency(telemetry: DataFrame) -> DataFrame:
 
 ONE_TABLE = {
     "order_status_summary": order_status_summary,
+    "order_status_pivot": order_status_summary,
     "source_contribution_summary": source_contribution_summary,
-    "pump_efficiency": pump_efficiency,
+    "gold_pump_efficiency": pump_efficiency,
 }
-TWO_TABLES = {"technician_performance": technician_performance}
+TWO_TABLES = {"technician_performance_gold": technician_performance}
 KEYED = {
     "daily_revenue_summary": daily_revenue_summary,
     "product_performance": product_performance,

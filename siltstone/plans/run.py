@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone import versions
+from siltstone import fs, versions
 from siltstone.operators.layout import replace_table
 from siltstone.operators.unify import tag_source, unify
 from siltstone.plans.bronze import FILE_RULE, ingest
 from siltstone.plans.gold import build_view
 from siltstone.plans.publish import publish
-from siltstone.plans.silver import read_silver, run_silver
+from siltstone.plans.silver import keyed_table, read_silver, run_silver
 from siltstone.sources.readers import read_table
 from siltstone.specs import FlowSpec, GoldSpec, SourceSpec, TableSpec
-from siltstone.streaming.keyed import KeyedTable
 
 
 class FlowRun:
@@ -23,7 +22,8 @@ class FlowRun:
 
     `sources` lists where the feeds come from; by default each feed is one folder of that
     name under `landing`. A feed may have any number of sources. Each has a raw table and
-    checkpoints of its own, so sources can come and go between runs.
+    checkpoints of its own, so sources can come and go between runs. `batch_bytes` caps the
+    input of one batch; a run still takes in everything new, in as many batches as it needs.
     """
 
     def __init__(
@@ -33,10 +33,15 @@ class FlowRun:
         root: str,
         landing: str | None = None,
         sources: Sequence[SourceSpec] | None = None,
+        batch_bytes: int | None = None,
     ):
         self.spark, self.flow, self.root = spark, flow, root.rstrip("/")
+        self.batch_bytes = batch_bytes
         self.sources = list(sources) if sources is not None else [
-            SourceSpec(source_id=feed, entity=feed, format=flow.format, base_path=f"{landing}/{feed}")
+            SourceSpec(
+                source_id=feed, entity=feed, format=flow.format, base_path=f"{landing}/{feed}",
+                batch_bytes=batch_bytes,
+            )
             for feed in flow.feeds
         ]
 
@@ -57,7 +62,7 @@ class FlowRun:
             ingest(self.spark, s, self.path("bronze", *names), self.state("bronze", *names), rules)
 
     def raw(self, source: SourceSpec, streaming: bool = False) -> DataFrame:
-        raw = read_table(self.spark, self.path("bronze", source.entity, source.source_id), streaming)
+        raw = read_table(self.spark, self.path("bronze", source.entity, source.source_id), streaming, self.batch_bytes)
         for old, new in source.rename.items():
             raw = raw.withColumnRenamed(old, new)
         return tag_source(raw, source.source_id) if self.flow.tagged else raw
@@ -90,7 +95,11 @@ class FlowRun:
 
     def view(self, spec: GoldSpec) -> DataFrame:
         secondary = self.silver_table(spec.secondary) if spec.secondary else None
-        return build_view(spec.view, self.silver_table(spec.primary), secondary, spec.key, **spec.options)
+        options = dict(spec.options)
+        if spec.view == "daily_revenue_summary" and spec.secondary:
+            upserted_by = self.flow.table(spec.secondary).cdc
+            options["unique_secondary"] = bool(upserted_by and upserted_by.keys == (spec.key,)) or None
+        return build_view(spec.view, self.silver_table(spec.primary), secondary, spec.key, **options)
 
     def gold(self) -> None:
         for spec in self.flow.gold:
@@ -99,20 +108,34 @@ class FlowRun:
     def gold_table(self, name: str) -> DataFrame:
         return versions.read(self.spark, self.path("gold", name))
 
-    def maintain(self, retain_hours: float = 168) -> None:
-        """Rewrite the listed typed tables in their declared layout and drop old versions."""
+    def arrange(self) -> list[str]:
+        """Rewrite the listed typed tables whole in their declared layout, if they changed.
+
+        The tables the streams keep need no compaction: they have one file per bucket. This
+        makes the copy that is partitioned, clustered or z-ordered for readers.
+        """
+        rewritten = []
         for name in self.flow.compact:
-            spec = self.flow.table(name)
-            target = self.path("arranged", name)
+            spec, target = self.flow.table(name), self.path("arranged", name)
+            mark, now = f"{target}/arranged_from", None
+            if spec.cdc:
+                now = str(keyed_table(self.spark, spec, self.path("silver", name)).version())
+                if fs.exists(self.spark, mark) and fs.read_text(self.spark, mark) == now:
+                    continue
             replace_table(self.silver_table(name), target, spec.layout)
-            versions.expire(self.spark, target, retain_hours)
+            if now:
+                fs.write_text(self.spark, mark, now, overwrite=True)
+            rewritten.append(name)
+        return rewritten
+
+    def expire(self, retain_hours: float = 168) -> None:
+        """Delete versions that were superseded longer ago than that."""
+        for spec in self.flow.silver:
             if spec.cdc:
-                cdc = spec.cdc
-                KeyedTable(
-                    self.spark, self.path("silver", name), cdc.keys, cdc.sequence_by, cdc.tie, cdc.buckets
-                ).expire(retain_hours)
-        for spec in self.flow.gold:
-            versions.expire(self.spark, self.path("gold", spec.name), retain_hours)
+                keyed_table(self.spark, spec, self.path("silver", spec.name)).expire(retain_hours)
+        stored = [("gold", s.name) for s in self.flow.gold] + [("arranged", n) for n in self.flow.compact]
+        for layer, name in stored:
+            versions.expire(self.spark, self.path(layer, name), retain_hours)
 
     def publish(self, catalog: str | None = None) -> list[str]:
         """Name the views `gold_{flow}.{view}` and the arranged tables `silver_{flow}.{table}`."""
@@ -138,8 +161,7 @@ class FlowRun:
 
 def run_flow(run: FlowRun) -> FlowRun:
     """All layers in order."""
-    steps: list[Callable[[], None]] = [run.bronze, run.silver, run.gold, run.maintain]
-    for step in steps:
+    for step in (run.bronze, run.silver, run.gold, run.arrange, run.expire):
         step()
     return run
 

@@ -54,16 +54,21 @@ def run_silver(stream: DataFrame, spec: TableSpec, path: str, checkpoint: str):
         return run_available_now(rows, path, checkpoint, partition_by=spec.layout.partition_by)
     cdc = spec.cdc
     _, query = scd1_stream(
-        rows, path, cdc.keys, cdc.sequence_by, checkpoint, list(spec.columns), cdc.tie, cdc.buckets
+        rows, path, cdc.keys, cdc.sequence_by, checkpoint, list(spec.columns), cdc.tie, cdc.buckets,
+        spec.layout.cluster_by,
     )
     return query
 
 
-def read_silver(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
-    if spec.cdc is None:
-        return spark.read.parquet(path)
+def keyed_table(spark: SparkSession, spec: TableSpec, path: str) -> KeyedTable:
     cdc = spec.cdc
-    return KeyedTable(spark, path, cdc.keys, cdc.sequence_by, cdc.tie, cdc.buckets).current()
+    return KeyedTable(
+        spark, path, cdc.keys, cdc.sequence_by, cdc.tie, cdc.buckets, spec.layout.cluster_by
+    )
+
+
+def read_silver(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
+    return spark.read.parquet(path) if spec.cdc is None else keyed_table(spark, spec, path).current()
 
 
 def cleanse_telemetry(df: DataFrame, key: str = "pump_id", stamp: bool = True) -> DataFrame:

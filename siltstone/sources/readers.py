@@ -85,7 +85,9 @@ def _read_files(spark: SparkSession, spec: SourceSpec, streaming: bool, schema:
         reader = spark.read.format(spec.format).options(**options, **infer_options(spec))
     else:
         entry = spark.readStream if streaming else spark.read
-        reader = entry.format(spec.format).options(**options).schema(schema or source_schema(spark, spec))
+        limit = _limit(spec.batch_bytes) if streaming else {}
+        found = schema or source_schema(spark, spec)
+        reader = entry.format(spec.format).options(**options, **limit).schema(found)
     return _checked(spec, lambda: reader.load(spec.base_path))
 
 
@@ -139,14 +141,20 @@ def _read_xlsx(spark: SparkSession, spec: SourceSpec, streaming: bool, schema: S
 READERS = {**dict.fromkeys(FILE_FORMATS, _read_files), "xml": _read_xml, "xlsx": _read_xlsx}
 
 
-def read_table(spark: SparkSession, name: str, streaming: bool = False) -> DataFrame:
+def _limit(batch_bytes: int | None) -> dict[str, str]:
+    return {"maxBytesPerTrigger": str(batch_bytes)} if batch_bytes else {}
+
+
+def read_table(
+    spark: SparkSession, name: str, streaming: bool = False, batch_bytes: int | None = None
+) -> DataFrame:
     """A catalog table, or a table folder when the name holds a slash."""
     if "/" not in name:
-        return spark.readStream.table(name) if streaming else spark.read.table(name)
+        return spark.readStream.options(**_limit(batch_bytes)).table(name) if streaming else spark.read.table(name)
+    stored = spark.read.option("mergeSchema", "true").parquet(name)
     if not streaming:
-        return spark.read.option("mergeSchema", "true").parquet(name)
-    schema = spark.read.option("mergeSchema", "true").parquet(name).schema
-    return spark.readStream.schema(schema).parquet(name)
+        return stored
+    return spark.readStream.schema(stored.schema).options(**_limit(batch_bytes)).parquet(name)
 
 
 def read_raw(
@@ -158,7 +166,7 @@ def read_raw(
             raise ValueError(f"{spec.source_id}: unknown format {spec.format!r}")
         return READERS[spec.format](spark, spec, streaming, schema or spec.schema)
     if spec.source_type == "lakeflow_connect":
-        return read_table(spark, spec.table, streaming)
+        return read_table(spark, spec.table, streaming, spec.batch_bytes)
     if spec.source_type == "rest_api":
         return read_records(spark, spec.base_path, spec.response_key, schema or spec.schema, streaming, spec.lines)
     raise ValueError(f"{spec.source_id}: unknown source type {spec.source_type!r}")

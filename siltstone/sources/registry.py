@@ -104,7 +104,7 @@ def load_registry(spark: SparkSession, path: str) -> DataFrame:
 
 def register_sources(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
     """Merge `new` into the stored registry and return what is stored now."""
-    versions.write(register(load_registry(spark, path), new).coalesce(1), path)
+    versions.write(register(load_registry(spark, path), new), path)
     return load_registry(spark, path)
 
 

@@ -67,6 +67,7 @@ class SourceSpec:
     has_header: bool = True
     encoding: str = "UTF-8"
     schema: StructType | None = None
+    batch_bytes: int | None = None  # cap of one batch of a stream
     rename: dict[str, str] = field(default_factory=dict)
 
 

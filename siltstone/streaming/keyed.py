@@ -35,6 +35,7 @@ class KeyedTable:
     sequence_by: str
     tie: tuple[str, ...] = ()
     buckets: int = 64
+    sort_by: tuple[str, ...] = ()  # order within a bucket, so that readers can skip row groups
 
     def _manifests(self) -> list[str]:
         return sorted(p for p, _ in fs.glob(self.spark, f"{self.path}/manifest/*.json"))
@@ -63,6 +64,10 @@ class KeyedTable:
             raise FileNotFoundError(f"nothing published in {self.path}")
         return self._read(state, list(state["folders"]))
 
+    def version(self) -> int:
+        """How many batches have been published."""
+        return self._manifest()["version"]
+
     def _bucket_of(self):
         return F.pmod(F.xxhash64(*(F.col(f"`{k}`") for k in self.keys)), F.lit(self.buckets)).cast("int")
 
@@ -89,6 +94,8 @@ class KeyedTable:
             rows = latest_per_key(both, self.keys, self.sequence_by, self.tie, [BUCKET])
         else:
             rows = rows.repartition(self.buckets, BUCKET)
+        if self.sort_by:
+            rows = rows.sortWithinPartitions(BUCKET, *(F.col(f"`{c}`") for c in self.sort_by))
         rows.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
         written = [p for p, is_folder in fs.glob(self.spark, f"{target}/{BUCKET}=*") if is_folder]
         manifest = {
@@ -135,6 +142,7 @@ def scd1_stream(
     columns: Sequence[str] | None = None,
     tie: Sequence[str] = (),
     buckets: int = 64,
+    sort_by: Sequence[str] = (),
     wait: bool = True,
 ) -> tuple[KeyedTable, StreamingQuery]:
     """Upsert everything new on the stream into the keyed table at `path`."""
@@ -142,7 +150,7 @@ def scd1_stream(
     if columns is not None:
         wanted = dict.fromkeys([*columns, *keys, sequence_by, *tie])
         stream = stream.select(*(F.col(f"`{c}`") for c in wanted))
-    table = KeyedTable(spark, path, tuple(keys), sequence_by, tuple(tie), buckets)
+    table = KeyedTable(spark, path, tuple(keys), sequence_by, tuple(tie), buckets, tuple(sort_by))
 
     def apply(changes: DataFrame, batch: int) -> None:
         table.apply(changes, batch, _stream_id(spark, checkpoint))

@@ -98,6 +98,7 @@ def test_sources_come_and_go_between_runs(spark, tmp_path):
     assert any("quality=gold" in (r.data_type or "") for r in details)
     # Nothing new: nothing changes.
     again = run_flow(FlowRun(spark, flow, root, sources=sources))
+    assert again.arrange() == []
     assert rows(again.gold_table("spend")) == rows(run.gold_table("spend"))
 
 
@@ -111,3 +112,22 @@ def test_keyed_table_needs_its_key(spark, tmp_path):
     run = FlowRun(spark, parse_flow(USERS), str(tmp_path / "root"), sources=[renamed])
     run.silver()
     assert run.silver_table("users_clean").count() == 1
+
+
+def test_capped_batches_take_in_everything(spark, tmp_path):
+    land = tmp_path / "land"
+    for n in range(5):
+        put(land, f"{n}.json", [
+            {"user_id": str(i), "email": f"{n}", "updated_at": f"2026-01-0{n + 1} 00:00:00"} for i in range(20)
+        ])
+    source = SourceSpec("a", "users_raw", base_path=str(land), batch_bytes=2000)
+    run = FlowRun(spark, parse_flow(USERS), str(tmp_path / "root"), sources=[source], batch_bytes=2000)
+    run.bronze()
+    assert run.bronze_table("users_raw").count() == 100
+    run.silver()
+    assert {r.email for r in run.silver_table("users_clean").collect()} == {"4"}
+    assert run.silver_table("users_clean").count() == 20
+    batches = json.loads((tmp_path / "root/silver_users/users_clean/manifest").joinpath(
+        sorted(p.name for p in (tmp_path / "root/silver_users/users_clean/manifest").glob("*.json"))[-1]
+    ).read_text())["version"]
+    assert batches > 1
