@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from siltstone import fs
 
@@ -18,15 +17,15 @@ CART = """(select l_orderkey cart_id, o_custkey user_id, l_partkey product_id,
   else 'rest_api' end _source from lineitem join orders on l_orderkey = o_orderkey)"""
 
 
-_SCHEMAS: dict[str, StructType] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the tables; its schema is read from the footers once per process."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """One of the tables; its files are listed and their footers read once per application."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(key[1])
+    return _TABLES[key]
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
