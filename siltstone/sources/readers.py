@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from siltstone.operators.unify import tag_source
 from siltstone.sources.records import read_records
@@ -56,11 +56,18 @@ def infer_options(spec: SourceSpec) -> dict[str, str]:
 
 
 def source_schema(spark: SparkSession, spec: SourceSpec, **options: str) -> StructType:
-    """The declared schema, else the one of the files; XML columns are all text."""
+    """The declared schema, else the one of the files.
+
+    XML columns are all text. Whole numbers in CSV are bigint, so that a column does not
+    outgrow the size its first files suggest.
+    """
     if spec.schema is not None:
         return spec.schema
     reader = spark.read.format(spec.format).options(**file_options(spec), **infer_options(spec), **options)
     found = _checked(spec, lambda: reader.load(spec.base_path)).schema
+    if spec.format == "csv":
+        wide = {f.name: LongType() if f.dataType == IntegerType() else f.dataType for f in found.fields}
+        return StructType([StructField(n, t) for n, t in wide.items()])
     if spec.format != "xml":
         return found
     names = (f.name.removeprefix(ATTRIBUTE) for f in found.fields if f.name not in (CORRUPT, f"{ATTRIBUTE}text"))
@@ -81,7 +88,7 @@ def _checked(spec: SourceSpec, load):
 
 def _read_files(spark: SparkSession, spec: SourceSpec, streaming: bool, schema: StructType | None) -> DataFrame:
     options = file_options(spec)
-    if schema is None and not streaming:
+    if schema is None and not streaming and spec.format != "csv":
         reader = spark.read.format(spec.format).options(**options, **infer_options(spec))
     else:
         entry = spark.readStream if streaming else spark.read

@@ -128,3 +128,17 @@ def test_views_by_name(spark):
     assert rows(gold.build_view("unheard_of", orders, users, "customer_id")) == [("c", "1", 5.0, "n")]
     assert rows(gold.build_view("unheard_of", orders)) == [("1", "c", 5.0)]
     assert rows(gold.build_view("unheard_of", orders, users, None)) == [("1", "c", 5.0)]
+
+
+def test_facts_are_reduced_before_their_only_shuffle(spark, work):
+    spark.range(100).selectExpr("id % 7 product_id", "id order_id", "1.5D order_amount", "'x' unused") \
+        .write.parquet(f"{work}/facts")
+    spark.range(7).selectExpr("id product_id", "'n' product_name", "'c' category", "2 unused") \
+        .write.parquet(f"{work}/dim")
+    view = gold.product_performance(spark.read.parquet(f"{work}/facts"), spark.read.parquet(f"{work}/dim"))
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    # The plan is printed from the top: the facts are counted below the exchange.
+    assert plan.index("Exchange hashpartitioning") < plan.index("partial_count")
+    assert "unused" not in plan
+    assert [r.units_sold for r in view.orderBy("product_id").collect()] == [15, 15, 14, 14, 14, 14, 14]

@@ -64,6 +64,7 @@ def test_csv_options_and_types(spark, tmp_path):
     path = put(tmp_path / "in", "a.csv", "id|name\n1|é\n2|b\n".encode("iso-8859-1"))
     spec = SourceSpec("s", "e", format="csv", base_path=path, delimiter="|", encoding="ISO-8859-1")
     assert rows(read_source(spark, spec)) == [(1, "é", "s"), (2, "b", "s")]
+    assert dict(read_source(spark, spec).dtypes)["id"] == "bigint"
     bare = SourceSpec("s", "e", format="csv", base_path=path, delimiter="|", has_header=False)
     assert read_source(spark, bare).count() == 3
 
