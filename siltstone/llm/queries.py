@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import sharding, tokencount
+from siltstone.llm import mixing, sharding, tokencount, tokenpack
 from siltstone.llm.frames import table
 
 
@@ -13,9 +13,19 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return tokenpack.pack_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {q.__name__: q for q in (op4_sharding, op10_token_counts)}
+QUERIES = {q.__name__: q for q in (op4_sharding, op5_token_packing, op6_mixing, op10_token_counts)}
 SQL: dict[str, str] = {}
