@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import linerules, mixing, sharding, tokencount, tokenpack
+from siltstone.llm import linerules, mixing, secretscan, sharding, tokencount, tokenpack
 from siltstone.llm.frames import table
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linerules.apply_rules(table(spark, sf_dir, "documents"))
 
@@ -31,5 +35,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {q.__name__: q for q in (op3_quality_rules, op4_sharding, op5_token_packing, op6_mixing, op10_token_counts)}
-SQL: dict[str, str] = {"op3_quality_rules": linerules.ORACLE}
+QUERIES = {q.__name__: q for q in (op1_secret_scans, op3_quality_rules, op4_sharding, op5_token_packing, op6_mixing, op10_token_counts)}
+SQL: dict[str, str] = {"op1_secret_scans": secretscan.ORACLE, "op3_quality_rules": linerules.ORACLE}
