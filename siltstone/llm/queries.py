@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import linerules, mixing, secretscan, sharding, tokencount, tokenpack
+from siltstone.llm import linerules, mixing, neardup, secretscan, sharding, tokencount, tokenpack
 from siltstone.llm.frames import table
 
 
@@ -31,9 +31,14 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {q.__name__: q for q in (op1_secret_scans, op3_quality_rules, op4_sharding, op5_token_packing, op6_mixing, op10_token_counts)}
+QUERIES = {q.__name__: q for q in (op1_secret_scans, op3_quality_rules, op4_sharding, op5_token_packing, op6_mixing, op7_minhash, op10_token_counts)}
 SQL: dict[str, str] = {"op1_secret_scans": secretscan.ORACLE, "op3_quality_rules": linerules.ORACLE}
