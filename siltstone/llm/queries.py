@@ -3,16 +3,34 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siltstone.llm import linerules, mixing, neardup, secretscan, sharding, tokencount, tokenpack
+from siltstone.llm import linerules, mixing, neardup, neighbours, secretscan, sharding, tokencount, tokenpack
 from siltstone.llm.frames import table
 
 
+def held_out() -> Column:
+    """The fifth of the ids that no label is learnt from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+
+
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> neighbours.Model:
+    """Fitted on labels outside the held-out fifth."""
+    labels = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", F.col("quality").alias("label"))
+    return neighbours.fit(docs, labels)
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = neighbours.score_quality(docs, quality_model(spark, docs, sf_dir))
+    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linerules.apply_rules(table(spark, sf_dir, "documents"))
 
@@ -40,5 +58,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {q.__name__: q for q in (op1_secret_scans, op3_quality_rules, op4_sharding, op5_token_packing, op6_mixing, op7_minhash, op10_token_counts)}
+QUERIES = {q.__name__: q for q in (op1_secret_scans, op2_quality_classifier, op3_quality_rules, op4_sharding, op5_token_packing, op6_mixing, op7_minhash, op10_token_counts)}
 SQL: dict[str, str] = {"op1_secret_scans": secretscan.ORACLE, "op3_quality_rules": linerules.ORACLE}
