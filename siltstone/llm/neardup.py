@@ -278,3 +278,14 @@ def near_duplicates(
     return out.select(
         "doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
+
+
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The input's rows that stay: one of each group, and of rows repeated with id and text."""
+    found = near_duplicates(docs, id=id, text=text, **options)
+    gone = found.where(~F.col("kept")).select(
+        F.xxhash64("doc_id", "text_key").alias("_row"), F.col("text_key").alias("_key")
+    )
+    keyed = docs.withColumn("_key", F.xxhash64(text)).withColumn("_row", F.xxhash64(id, "_key"))
+    left = keyed.join(gone.distinct(), ["_row", "_key"], "left_anti")
+    return left.dropDuplicates(["_row", "_key"]).select(*docs.columns)

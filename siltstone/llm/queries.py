@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import linerules, mixing, neardup, neighbours, secretscan, sharding, tokencount, tokenpack
+from siltstone.llm import decontaminate, licenses, linerules, mixing, neardup, neighbours, secretscan, sharding, tokencount, tokenpack
 from siltstone.llm.frames import table
 
 
@@ -54,9 +54,22 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that overlap; clean documents have none."""
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "first_word", "n_words", "n_equal", "item_words")
+
+
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents lie in a folder per source and language, as a crawl or repository dump lays them out."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in ("source", "lang", "doc_id")]
+    path = F.concat(F.lit("/"), parts[0], F.lit("/"), parts[1], F.lit("/"), parts[2])
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), path)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {q.__name__: q for q in (op1_secret_scans, op2_quality_classifier, op3_quality_rules, op4_sharding, op5_token_packing, op6_mixing, op7_minhash, op10_token_counts)}
+QUERIES = {q.__name__: q for q in (op1_secret_scans, op2_quality_classifier, op3_quality_rules, op4_sharding, op5_token_packing, op6_mixing, op7_minhash, op8_decontamination, op9_license_scans, op10_token_counts)}
 SQL: dict[str, str] = {"op1_secret_scans": secretscan.ORACLE, "op3_quality_rules": linerules.ORACLE}
