@@ -5,9 +5,13 @@
 3. A pair's signatures are compared a batch at a time. As soon as the posterior probability that
    the similarity reaches the threshold falls under `miss`, the pair is dropped.
 4. Survivors are verified on their full sets; links are joined to components.
-5. Buckets whose members are still in different components are compared wholly, in blocks of
-   `BLOCK` members, so that no link is lost to the choice of the least class. A block pair is
-   one bounded piece of work; only survivors that cross components leave it.
+5. In buckets whose members are still in different components, each member is also paired with
+   its most similar one of another component, verified as before.
+6. Buckets that are open even then are compared wholly, so that no link is lost to the choice of
+   partners. Pairs that cross components are verified on the spot, the likeliest first, and those
+   that earlier ones have connected are passed over.
+   Both steps work in blocks of `BLOCK` members: a block pair is one bounded piece of work, and
+   what leaves it grows with the members, not with their pairs.
 
 With 28 bands of 4 rows a pair of similarity 0.8 meets with probability 1 - 4e-7.
 
@@ -31,7 +35,7 @@ from siltstone.llm.components import components
 from siltstone.llm.frames import stored
 from siltstone.llm.textops import mix, pieces, windows, words
 
-BANDS, ROWS, BATCH, BLOCK = 28, 4, 16, 256
+BANDS, ROWS, BATCH, BLOCK = 28, 4, 16, 1024
 SIZE = BANDS * ROWS
 _random = np.random.default_rng(90210)
 _A = _random.integers(1, 2**63, SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -77,15 +81,23 @@ def least_matches(threshold: float, miss: float) -> list[int]:
     return out
 
 
-def surviving(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
-    """Indexes of the pairs of signatures (rows of a and b) that pass every batch."""
+def similar_enough(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 * intersection >= percent * union."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def surviving(a: np.ndarray, b: np.ndarray, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of the pairs of signatures (rows of a and b) that pass every batch, and their matches."""
     alive = np.arange(len(a))
     matches = np.zeros(len(a), dtype=np.int64)
     for k, need in enumerate(least):
         part = slice(k * BATCH, (k + 1) * BATCH)
         matches[alive] += (a[alive, part] == b[alive, part]).sum(axis=1)
         alive = alive[matches[alive] >= need]
-    return alive
+    return alive, matches[alive]
 
 
 def _signed(docs: DataFrame, size: int, id: str, text: str) -> DataFrame:
@@ -114,7 +126,7 @@ def _signed(docs: DataFrame, size: int, id: str, text: str) -> DataFrame:
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node, key of each band of each signature."""
+    """node, band and its bucket for each band of each signature."""
     seeds = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
     for batch in batches:
         sigs = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint32).reshape(-1, BANDS, ROWS)
@@ -122,7 +134,9 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in range(ROWS):
             key = mix(key + sigs[:, :, r].astype(np.uint64))
         node = np.repeat(batch.column(0).to_numpy(), BANDS)
-        yield pa.record_batch([pa.array(node), pa.array(key.reshape(-1).view(np.int64))], names=["node", "bucket"])
+        band = np.tile(np.arange(BANDS, dtype=np.int32), len(sigs))
+        bucket = key.reshape(-1).view(np.int64)
+        yield pa.record_batch([pa.array(node), pa.array(band), pa.array(bucket)], names=["node", "band", "bucket"])
 
 
 def _compared(least: list[int]):
@@ -131,7 +145,7 @@ def _compared(least: list[int]):
             a, b = (
                 np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint32).reshape(-1, SIZE) for i in (2, 3)
             )
-            yield batch.select([0, 1]).take(pa.array(surviving(a, b, least)))
+            yield batch.select([0, 1]).take(pa.array(surviving(a, b, least)[0]))
 
     return run
 
@@ -139,14 +153,10 @@ def _compared(least: list[int]):
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for a, b in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    linked.append(False)
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
+            linked = [
+                similar_enough(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), percent)
+                for a, b in zip(batch.column(2), batch.column(3), strict=True)
+            ]
             yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
     return run
@@ -159,84 +169,124 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int, id: str, text: str) ->
         for batch in batches:
             for at, to, data, offsets in pieces(batch.column(1)):
                 sets = [s.tobytes() for s in shingle_sets(data, offsets, size)]
-                yield pa.record_batch([batch.column(0).slice(at, to - at), pa.array(sets, pa.binary())], names=["node", "set"])
+                nodes = batch.column(0).slice(at, to - at)
+                yield pa.record_batch([nodes, pa.array(sets, pa.binary())], names=["node", "set"])
 
     rows = docs.select(F.col(id).alias("_id"), F.col(text).alias("text"), F.xxhash64(text).alias("_key"))
     one = rows.join(wanted, (F.col("_key") == F.col("text_key")) & F.col("_id").eqNullSafe(F.col("first_id")))
     return one.select("node", "text").mapInArrow(run, "node long, set binary")
 
 
-def _linked(docs, pairs: DataFrame, classes: DataFrame, size: int, percent: int, id: str, text: str) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = classes.select("node", "first_id", "text_key").join(nodes, "node", "left_semi")
-    sets = stored(_sets(docs, wanted, size, id, text), "shingle-sets")
     first = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     second = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "set_a", "set_b")
     return both.mapInArrow(_verified(percent), "a long, b long")
 
 
-def _blocks(least: list[int]):
-    """Rows (bucket, i, j, side, node, root, hub, sig) sorted by the first three: pairs across roots."""
+class _Block:
+    """Rows of one (bucket, i, j): its pairs across roots that survive, with their matches."""
 
-    def compare(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-        node, root = (np.array([r[k] for r in rows], dtype=np.int64) for k in ("node", "root"))
+    def __init__(self, rows: list[dict], least: list[int]):
+        self.rows = rows
+        self.node, self.root = (np.array([r[k] for r in rows], dtype=np.int64) for k in ("node", "root"))
         side = np.array([r["side"] for r in rows])
-        sigs = np.frombuffer(b"".join(r["sig"] for r in rows), dtype=np.uint32).reshape(-1, SIZE)
-        left, right = (np.flatnonzero(side == s) for s in (0, 1))
+        self.sigs = np.frombuffer(b"".join(r["sig"] for r in rows), dtype=np.uint32).reshape(-1, SIZE)
         if rows[0]["i"] == rows[0]["j"]:
             x, y = np.triu_indices(len(rows), 1)
         else:
-            x, y = (g.ravel() for g in np.meshgrid(left, right))
-        apart = (root[x] != root[y]) & (node[x] != rows[0]["hub"]) & (node[y] != rows[0]["hub"])
+            x, y = (g.ravel() for g in np.meshgrid(np.flatnonzero(side == 0), np.flatnonzero(side == 1)))
+        apart = self.root[x] != self.root[y]
         x, y = x[apart], y[apart]
-        hits = [np.zeros(0, np.int64)]
-        for at in range(0, len(x), 4096):
-            hits.append(at + surviving(sigs[x[at : at + 4096]], sigs[y[at : at + 4096]], least))
-        hit = np.concatenate(hits)
-        return np.minimum(node[x[hit]], node[y[hit]]), np.maximum(node[x[hit]], node[y[hit]])
+        hits, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at in range(0, len(x), 8192):
+            hit, matches = surviving(self.sigs[x[at : at + 8192]], self.sigs[y[at : at + 8192]], least)
+            hits.append(at + hit)
+            found.append(matches)
+        hit, self.matches = np.concatenate(hits), np.concatenate(found)
+        self.x, self.y = x[hit], y[hit]
+
+    def pairs(self, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        a, b = self.node[x], self.node[y]
+        return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    def nearest(self) -> pa.RecordBatch:
+        """Every member with its likeliest partner."""
+        order = np.argsort(self.matches, kind="stable")
+        best = np.full(len(self.rows), -1)
+        best[self.x[order]] = self.y[order]
+        at = dict(zip(self.x[order].tolist(), self.matches[order].tolist(), strict=True))
+        for x, y, m in zip(self.x[order].tolist(), self.y[order].tolist(), self.matches[order].tolist(), strict=True):
+            if m >= at.get(y, -1):
+                best[y], at[y] = x, m
+        some = np.flatnonzero(best >= 0)
+        return self.pairs(some, best[some])
+
+    def links(self, percent: int) -> pa.RecordBatch:
+        """Links that join roots not yet joined here. A pair is taken in the first band it shares."""
+        band = self.rows[0]["band"]
+        early = (self.sigs[self.x, : band * ROWS] == self.sigs[self.y, : band * ROWS]).reshape(len(self.x), band, ROWS)
+        mine = ~early.all(axis=2).any(axis=1)
+        x, y, matches = self.x[mine], self.y[mine], self.matches[mine]
+        sets = [np.frombuffer(r["set"], np.uint64) for r in self.rows]
+        up: dict[int, int] = {}
+
+        def top(r: int) -> int:
+            while up.get(r, r) != r:
+                r = up[r]
+            return r
+
+        kept = []
+        for k in np.argsort(-matches, kind="stable"):
+            a, b = top(int(self.root[x[k]])), top(int(self.root[y[k]]))
+            if a != b and similar_enough(sets[x[k]], sets[y[k]], percent):
+                up[max(a, b)] = min(a, b)
+                kept.append(k)
+        return self.pairs(x[kept], y[kept]) if kept else self.pairs(x[:0], y[:0])
+
+
+def _blocks(least: list[int], result):
+    """`result` of each block of rows sorted by (bucket, i, j)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for batch in batches:
             for row in batch.to_pylist():
                 if held and any(row[k] != held[0][k] for k in ("bucket", "i", "j")):
-                    a, b = compare(held)
-                    if len(a):
-                        yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+                    yield result(_Block(held, least))
                     held = []
                 held.append(row)
         if held:
-            a, b = compare(held)
-            yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+            yield result(_Block(held, least))
 
     return run
 
 
-def _unresolved(members: DataFrame, roots: DataFrame, sigs: DataFrame, least: list[int]) -> DataFrame:
-    """Surviving pairs across components within buckets that the first links left open."""
-    found = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # The least member was compared with all others: only buckets with two more components are open.
-    rest = found.where("node != hub").groupBy("bucket").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")
-    )
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components, dealt to pairs of blocks.
+
+    The hub was compared with all others, so it and buckets of nothing else are left out.
+    """
+    found = members.where("node != hub").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest = found.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
     open_ = rest.where("low != high").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).select("bucket", "blocks")
-    rows = found.where("node != hub").join(open_, "bucket")
+    rows = found.join(open_, "bucket")
     own = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int")
     rows = rows.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(
+    return rows.select(
         "bucket",
+        "band",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
         (F.col("block") > F.col("other")).cast("int").alias("side"),
         "node",
         "root",
-        "hub",
-    ).join(sigs, "node")
-    rows = rows.select("bucket", "i", "j", "side", "node", "root", "hub", "sig")
-    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-    return rows.mapInArrow(_blocks(least), "a long, b long").distinct()
+    )
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
 
 
 def near_duplicates(
@@ -257,18 +307,25 @@ def near_duplicates(
         "classes",
     )
     sigs = classes.select("node", "sig")
-    banded = sigs.mapInArrow(_banded, "node long, bucket long")
+    banded = sigs.mapInArrow(_banded, "node long, band int, bucket long")
     hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub != most")
     members = stored(banded.join(hubs.select("bucket", "hub"), "bucket"), "buckets")
+    met = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "first_id", "text_key")
+    sets = stored(_sets(docs, met, size, id, text).dropDuplicates(["node"]), "shingle-sets")
+
     pairs = members.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    met = pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
-    met = met.join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
-    survivors = stored(met.select("a", "b", "sig_a", "sig_b").mapInArrow(_compared(least), "a long, b long"), "survivors")
-    links = stored(_linked(docs, survivors, classes, size, percent, id, text), "links")
-    roots = components(links)
-    more = stored(_unresolved(members, roots, sigs, least), "survivors")
-    links = links.unionByName(stored(_linked(docs, more, classes, size, percent, id, text), "links"))
-    roots = components(links)
+    signed = pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
+    signed = signed.join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
+    survivors = signed.select("a", "b", "sig_a", "sig_b").mapInArrow(_compared(least), "a long, b long")
+    links = stored(_linked(survivors, sets, percent), "links")
+
+    near = _dealt(_open(members, components(links)).join(sigs, "node"))
+    near = near.mapInArrow(_blocks(least, _Block.nearest), "a long, b long").distinct()
+    links = links.unionByName(stored(_linked(near, sets, percent), "links"))
+
+    rest = _dealt(_open(members, components(links)).join(sigs, "node").join(sets, "node"))
+    rest = rest.mapInArrow(_blocks(least, lambda block: block.links(percent)), "a long, b long")
+    roots = components(links.unionByName(stored(rest, "links")))
     grouped = classes.select("node", "least_id").join(roots, "node", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "node"))
     named = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
