@@ -205,6 +205,6 @@ def _search(shared, kinds: tuple[str, str]):
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The input's rows, whole, that overlap no item."""
-    leaks = overlaps(docs, benchmark, id, text, **options).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    same = F.col(id).eqNullSafe(F.col("_id")) & F.xxhash64(text).eqNullSafe(F.col("_key"))
+    leaks = overlaps(docs, benchmark, id, text, **options).select(F.col("doc_id").alias("__st_id"), F.col("text_key").alias("__st_key"))
+    same = F.col(id).eqNullSafe(F.col("__st_id")) & F.xxhash64(text).eqNullSafe(F.col("__st_key"))
     return docs.join(leaks.distinct(), same, "left_anti")

@@ -164,7 +164,7 @@ def _cell_plan(spark, wanted: dict[tuple[int, int], float], words: dict[tuple[in
 def mix_documents(
     docs: DataFrame, seed: int = 17, repeats: int = 3, id: str = "doc_id", text: str = "text", source: str = "source"
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies, key for every row; `key` is the text's."""
+    """doc_id, source, size, source_size, target, taken, copies, key for every row; `key` is the text's."""
     spark = docs.sparkSession
     whole = text_or_empty(text)
     key = text_key(whole)
@@ -182,7 +182,7 @@ def mix_documents(
         [(s, i, int(by_source[s]), float(quota[s])) for s, i in code.items()],
         f"source {docs.schema[source].dataType.simpleString()}, code int, source_size long, target double",
     )
-    coded = rows.join(F.broadcast(codes), rows["source"].eqNullSafe(codes["source"])).drop("source")
+    coded = rows.join(F.broadcast(codes), rows["source"].eqNullSafe(codes["source"])).drop(codes["source"])
     # Membership: the codes of all sources that hold the text; most texts stand in one.
     members = coded.groupBy("key").agg(
         F.min("code").alias("low"),
@@ -204,6 +204,7 @@ def mix_documents(
     celled = stored(
         coded.join(shared, "key", "left").select(
             "doc_id",
+            "source",
             "key",
             "size",
             "source_size",
@@ -230,14 +231,15 @@ def mix_documents(
     taken = {r["s"]: r["w"] for r in got}
     rest = {k: min(max(0.0, quota[names[s]] - taken.get(s, 0)), float(repeats * cells[k])) for s, k in largest.items()}
     large = _seeded(celled, _cell_plan(spark, rest, cells, repeats))
-    columns = ["doc_id", "size", "source_size", "target", "copies", "key", F.col("cell.source").alias("code"), "order"]
+    columns = ["doc_id", "source", "size", "source_size", "target", "copies", "key", F.col("cell.source").alias("code"), "order"]
     mixed = stored(small.select(*columns).unionByName(large.select(*columns)), "mix-taken")
     picked = _top_ups(mixed, {code[s]: q for s, q in quota.items()}, repeats)
     spare = picked.select(F.col("doc_id").alias("_id"), F.col("order").alias("_order"), F.lit(1).alias("more"))
     mine = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("order") == F.col("_order"))
     copies = F.col("copies") + F.coalesce("more", F.lit(0))
     out = mixed.join(F.broadcast(spare), mine, "left").withColumn("copies", copies)
-    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "key")
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return out.select("doc_id", "source", "size", "source_size", "target", taken, "copies", "key")
 
 
 def _top_ups(mixed: DataFrame, quota: dict[int, float], repeats: int) -> DataFrame:
@@ -264,13 +266,13 @@ def _top_ups(mixed: DataFrame, quota: dict[int, float], repeats: int) -> DataFra
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The input's rows as often as the mix takes them."""
-    text = options.get("text", "text")
-    chosen = mix_documents(docs, **options).select(
-        F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("copies").alias("_copies")
+    """The input's rows as often as the mix takes them; rows alike in id, text and source share evenly."""
+    id, text, source = (options.get(k, d) for k, d in (("id", "doc_id"), ("text", "text"), ("source", "source")))
+    chosen = mix_documents(docs, **options).groupBy(
+        F.col("doc_id").alias("__st_id"), F.col("key").alias("__st_taken"), F.col("source").alias("__st_source")
     )
-    chosen = chosen.where("_copies > 0").groupBy("_id", "_key").agg(F.max("_copies").alias("_copies"))
-    keyed = docs.withColumn("_key", text_key(text))
-    same = F.col(options.get("id", "doc_id")).eqNullSafe(F.col("_id")) & (keyed["_key"] == chosen["_key"])
-    taken = keyed.join(chosen, same).drop(chosen["_key"])
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    chosen = chosen.agg(F.round(F.avg("copies")).cast("int").alias("__st_copies")).where("__st_copies > 0")
+    same = F.col(id).eqNullSafe(F.col("__st_id")) & F.col(source).eqNullSafe(F.col("__st_source"))
+    keyed = docs.withColumn("__st_key", text_key(text))
+    taken = keyed.join(chosen, same & (F.col("__st_key") == F.col("__st_taken")))
+    return taken.withColumn("__st_copy", F.explode(F.sequence(F.lit(1), F.col("__st_copies")))).select(*docs.columns)

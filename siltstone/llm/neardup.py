@@ -341,8 +341,8 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **optio
     """The input's rows that stay: one of each group, and of rows repeated with id and text."""
     found = near_duplicates(docs, id=id, text=text, **options)
     gone = found.where(~F.col("kept")).select(
-        F.xxhash64("doc_id", "text_key").alias("_row"), F.col("text_key").alias("_key")
+        F.xxhash64("doc_id", "text_key").alias("__st_row"), F.col("text_key").alias("__st_key")
     )
-    keyed = docs.withColumn("_key", F.xxhash64(text)).withColumn("_row", F.xxhash64(id, "_key"))
-    left = keyed.join(gone.distinct(), ["_row", "_key"], "left_anti")
-    return left.dropDuplicates(["_row", "_key"]).select(*docs.columns)
+    keyed = docs.withColumn("__st_key", F.xxhash64(text)).withColumn("__st_row", F.xxhash64(id, "__st_key"))
+    left = keyed.join(gone.distinct(), ["__st_row", "__st_key"], "left_anti")
+    return left.dropDuplicates(["__st_row", "__st_key"]).select(*docs.columns)

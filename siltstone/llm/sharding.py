@@ -71,9 +71,9 @@ def with_shards(docs: DataFrame, shards: int = 8, text: str = "text") -> DataFra
     """Every row of the input with the shard of its group."""
     whole = text_or_empty(text)
     sized = docs.select(text_key(whole).alias("key"), (F.octet_length(whole).cast("long") + 1).alias("size"))
-    placed = shard_groups(_grouped(sized), shards).withColumnRenamed("key", "_key").withColumnRenamed("shard", "_shard")
-    joined = docs.withColumn("_key", text_key(whole)).join(placed, "_key")
-    return joined.withColumn("shard", F.col("_shard")).drop("_key", "_shard")
+    placed = shard_groups(_grouped(sized), shards).withColumnRenamed("key", "__st_key").withColumnRenamed("shard", "__st_shard")
+    joined = docs.withColumn("__st_key", text_key(whole)).join(placed, "__st_key")
+    return joined.withColumn("shard", F.col("__st_shard")).drop("__st_key", "__st_shard")
 
 
 def shard_documents(

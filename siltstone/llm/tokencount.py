@@ -83,11 +83,15 @@ class WordCounts(dict):
         whole: list[bytes] = []
         for word in words - self.keys():
             text = word.decode("utf-8", "replace")
+            if "<|" in text and any(s in text for s in self.special):
+                whole.append(word)
+                continue
+            plain = text.isascii()
+            if plain:
+                text = text.lower()
             if text in self.proven:
                 self[word] = 1
-            elif "<|" in text and any(s in text for s in self.special):
-                whole.append(word)
-            elif text.isascii():
+            elif plain:
                 cut[word] = self.ASCII_SPLIT.findall(text)
             else:
                 normal = self.tokenizer.normalizer.normalize_str(text)
