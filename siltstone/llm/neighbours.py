@@ -47,7 +47,7 @@ _KIND = _kinds()
 
 
 def term_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """rows x TERMS counts."""
+    """rows x TERMS counts, up to 65,535 each."""
     n = len(offsets) - 1
     out = np.zeros((n, TERMS), dtype=np.float32)
     row = np.repeat(np.arange(n), np.diff(offsets))
@@ -77,7 +77,7 @@ def term_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
                   found.end - found.start > 15, _KIND[last] == 6, np.ones(len(owner), bool))
         for i, shape in enumerate(shapes):
             out[:, TRIGRAMS + KINDS + i] = np.bincount(owner[shape], minlength=n)
-    return out
+    return np.minimum(out, 65_535)
 
 
 def _weighted(counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
@@ -124,7 +124,7 @@ class Model:
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, to, data, offsets in pieces(batch.column(1)):
-            counts = [c.tobytes() for c in term_counts(data, offsets)]
+            counts = [c.tobytes() for c in term_counts(data, offsets).astype("<u2")]
             yield pa.record_batch(
                 [batch.column(0).slice(at, to - at), batch.column(2).slice(at, to - at), pa.array(counts, pa.binary())],
                 names=["doc_id", "label", "counts"],
@@ -142,21 +142,33 @@ def fit(
     kind = docs.schema[id].dataType.simpleString()
     rows = rows.select("doc_id", "text", F.col("label").cast("double").alias("label"))
     taken = rows.mapInArrow(_texts, f"doc_id {kind}, label double, counts binary")
-    taken = taken.orderBy(F.xxhash64("doc_id"), "doc_id", "counts").limit(max_labelled).toPandas()
-    if taken.empty:
+    taken = taken.orderBy(F.xxhash64("doc_id"), "doc_id", "counts").limit(max_labelled).toArrow()
+    if not taken.num_rows:
         none = np.zeros((0, 1), np.float32)
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), none, np.zeros(0), 0.5, neighbours, power)
-    counts = np.frombuffer(b"".join(taken["counts"]), dtype=np.float32).reshape(-1, TERMS)
+    counts = np.frombuffer(b"".join(x.as_buffer() for x in taken["counts"]), dtype="<u2").reshape(-1, TERMS)
     y = taken["label"].to_numpy()
+    del taken
     rarity = (np.log((1 + len(y)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    x = _weighted(counts, rarity)
-    values, axes = np.linalg.eigh((x.T @ x).astype(np.float32))
-    axes = np.ascontiguousarray(axes[:, ::-1][:, : min(rank, len(y))], dtype=np.float32)
-    model = Model(rarity, axes, np.zeros((0, 1), np.float32), y, float(y.mean()), neighbours, power)
-    model.vectors = model.project(counts).astype(np.float32)
+    blocks = [slice(at, at + 256) for at in range(0, len(y), 256)]
+    gram = np.zeros((TERMS, TERMS), dtype=np.float32)
+    for rows in blocks:
+        x = _weighted(counts[rows].astype(np.float32), rarity)
+        gram += x.T @ x
+    model = Model(rarity, _leading(gram, min(rank, len(y))), np.zeros((0, 1), np.float32), y, float(y.mean()), neighbours, power)
+    model.vectors = np.concatenate([model.project(counts[rows].astype(np.float32)) for rows in blocks]).astype(np.float32)
     return model
 
 
+def _leading(gram: np.ndarray, rank: int, steps: int = 12) -> np.ndarray:
+    """The leading eigenvectors by subspace iteration from a fixed start."""
+    q = np.random.default_rng(5).standard_normal((len(gram), rank + 16)).astype(np.float32)
+    for _ in range(steps):
+        q, _ = np.linalg.qr(gram @ q)
+    _, turn = np.linalg.eigh(q.T @ gram @ q)
+    return np.ascontiguousarray((q @ turn[:, ::-1])[:, :rank])
+
+
 def score_quality(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:
     """doc_id, text_key, score, predicted for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
