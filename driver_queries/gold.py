@@ -24,7 +24,7 @@ def rounded(df: DataFrame, sums: tuple[str, ...] = (), averages: tuple[str, ...]
 def daily_revenue_summary(spark: SparkSession, sf: str) -> DataFrame:
     view = gold.daily_revenue_summary(
         fx.orders(spark, sf), fx.customers(spark, sf), tiers=[(400000, "High"), (150000, "Medium")],
-        unique_secondary=True,
+        unique_secondary=False,
     )
     return rounded(view, ("total_revenue",), ("avg_order_value",))
 

@@ -12,6 +12,12 @@ def _quoted(text: str) -> str:
     return f"'{escaped}'"
 
 
+def _refuse_foreign(spark: SparkSession, name: str) -> None:
+    """Only a name over a folder may change hands: dropping a managed table deletes its rows."""
+    if spark.catalog.getTable(name).tableType != "EXTERNAL":
+        raise ValueError(f"{name} is no table over a folder; choose another name or drop it yourself")
+
+
 def publish(
     spark: SparkSession,
     name: str,
@@ -22,7 +28,9 @@ def publish(
     """Point the table `[catalog.]schema.table` at a Parquet folder; only names change hands."""
     if "." in name:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name):
+        _refuse_foreign(spark, name)
+        spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {_quoted(path)} COMMENT {_quoted(comment)}")
     if properties:
         pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())

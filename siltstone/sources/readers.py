@@ -123,7 +123,7 @@ def read_raw_xml(spark: SparkSession, spec: SourceSpec, streaming: bool, names:
     entry = spark.readStream if streaming else spark.read
     return (
         entry.format("xml")
-        .options(**file_options(spec))
+        .options(**file_options(spec), **(_limit(spec.batch_bytes) if streaming else {}))
         .schema(StructType([*text, StructField(CORRUPT, StringType())]))
         .load(spec.base_path)
     )
@@ -149,7 +149,12 @@ READERS = {**dict.fromkeys(FILE_FORMATS, _read_files), "xml": _read_xml, "xlsx":
 
 
 def _limit(batch_bytes: int | None) -> dict[str, str]:
-    return {"maxBytesPerTrigger": str(batch_bytes)} if batch_bytes else {}
+    """Options of a file stream: every unseen file is read, however old its time stamp is.
+
+    Spark by default passes over files a week older than the newest one without a word.
+    """
+    age = {"maxFileAge": "36500d"}
+    return age | {"maxBytesPerTrigger": str(batch_bytes)} if batch_bytes else age
 
 
 def read_table(

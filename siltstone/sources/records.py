@@ -46,7 +46,7 @@ def read_records(
     # Asked for text, the JSON parser hands a nested value over as it stands.
     record = StructType([StructField(name, StringType()) for name in schema.names])
     document = StructType([StructField(response_key, ArrayType(record))])
-    entry = spark.readStream if streaming else spark.read
+    entry = spark.readStream.option("maxFileAge", "36500d") if streaming else spark.read
     documents = entry.schema(document).options(**options).json(path)
     records = documents.select(F.inline(F.col(f"`{response_key}`")))
     return records.select(*(_compact(f) if _nested(f) else F.col(f"`{f.name}`") for f in schema.fields))

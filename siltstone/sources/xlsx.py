@@ -223,5 +223,5 @@ def read_xlsx(
             raise ValueError(f"no workbook with columns in {path}; declare a schema")
     if not streaming:
         return decode_xlsx(batch.load(path), columns, sheet, has_header)
-    stream = spark.readStream.format("binaryFile").options(**options).schema(FILES)
+    stream = spark.readStream.format("binaryFile").options(**options, maxFileAge="36500d").schema(FILES)
     return decode_xlsx(stream.load(path), columns, sheet, has_header)

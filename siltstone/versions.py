@@ -45,12 +45,13 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def expire(spark: SparkSession, path: str, retain_hours: float = 168) -> list[int]:
-    """Delete versions older than the latest that ended more than `retain_hours` ago."""
+    """Delete versions whose successor ended more than `retain_hours` ago."""
     limit = (time.time() - retain_hours * 3600) * 1000
+    numbers = finished(spark, path)
     gone = [
         n
-        for n in finished(spark, path)[:-1]
-        if fs.modified_ms(spark, f"{folder(path, n)}/_SUCCESS") < limit
+        for n, later in zip(numbers, numbers[1:])
+        if fs.modified_ms(spark, f"{folder(path, later)}/_SUCCESS") < limit
     ]
     for n in gone:
         fs.delete(spark, folder(path, n))
