@@ -127,7 +127,7 @@ def pack_tokens(
     of each segment), positions (uint16, from 0 again at each segment), doc_ids and pieces.
     """
     spark = docs.sparkSession
-    cut = stored(tokenized(docs, path, pattern, length, id, text), "token-pieces")
+    cut = stored(tokenized(docs, path, pattern, length, id, text), "token-pieces", "zstd")
     part = F.pmod(F.xxhash64("doc_id", "key", "piece"), F.lit(SPLITS)).cast("int")
     histogram: dict[int, list[int]] = {}
     for n, at, count in cut.groupBy("n", part.alias("part")).count().toPandas().itertuples(index=False):
