@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.frames import map_batches
 from siltstone.llm.textops import NOT_ALNUM, Words, mix, pieces, windows, words
 
 #: Kept places of each mask, in a window of `SPAN` words.
@@ -172,7 +173,7 @@ def overlaps(
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key"))
     out = None
     for seeds in _blocks(benchmark, item_id, item_text, most_item_bytes):
-        found = rows.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(seeds), kinds), schema)
+        found = map_batches(rows, _search(docs.sparkSession.sparkContext.broadcast(seeds), kinds), schema)
         out = found if out is None else out.unionByName(found)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 

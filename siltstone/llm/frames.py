@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +27,37 @@ def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Spark's own bound on an Arrow batch, and the one used here unless the session names another.
+ARROW_BYTES, DEFAULT_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
+
+def give_back() -> None:
+    """Return freed memory to the machine; idle Python workers would keep it beside the next stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def map_batches(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """`mapInArrow` with batches of about `BATCH_BYTES` (or one longer row) and no memory kept after a task.
+
+    The bound is a setting of the session and stays; a session that has chosen its own keeps that.
+    """
+    conf = rows.sparkSession.conf
+    if conf.get(ARROW_BYTES, DEFAULT_BYTES) == DEFAULT_BYTES:
+        conf.set(ARROW_BYTES, BATCH_BYTES)
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return rows.mapInArrow(bounded, schema)
+
+
 def text_or_empty(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 

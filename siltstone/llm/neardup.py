@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import components
-from siltstone.llm.frames import stored
+from siltstone.llm.frames import map_batches, stored
 from siltstone.llm.textops import mix, pieces, windows, words
 
 BANDS, ROWS, BATCH, BLOCK = 28, 4, 16, 1024
@@ -122,7 +122,7 @@ def _signed(docs: DataFrame, size: int, id: str, text: str) -> DataFrame:
 
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key"))
-    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, n_shingles long, node long, sig binary")
+    return map_batches(rows, run, f"doc_id {kind}, text_key long, n_shingles long, node long, sig binary")
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +174,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int, id: str, text: str) ->
 
     rows = docs.select(F.col(id).alias("_id"), F.col(text).alias("text"), F.xxhash64(text).alias("_key"))
     one = rows.join(wanted, (F.col("_key") == F.col("text_key")) & F.col("_id").eqNullSafe(F.col("first_id")))
-    return one.select("node", "text").mapInArrow(run, "node long, set binary")
+    return map_batches(one.select("node", "text"), run, "node long, set binary")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -182,7 +182,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     first = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     second = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "set_a", "set_b")
-    return both.mapInArrow(_verified(percent), "a long, b long")
+    return map_batches(both, _verified(percent), "a long, b long")
 
 
 class _Block:
@@ -307,7 +307,7 @@ def near_duplicates(
         "classes",
     )
     sigs = classes.select("node", "sig")
-    banded = sigs.mapInArrow(_banded, "node long, band int, bucket long")
+    banded = map_batches(sigs, _banded, "node long, band int, bucket long")
     hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub != most")
     members = stored(banded.join(hubs.select("bucket", "hub"), "bucket"), "buckets")
     met = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "first_id", "text_key")
@@ -316,15 +316,15 @@ def near_duplicates(
     pairs = members.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     signed = pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
     signed = signed.join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
-    survivors = signed.select("a", "b", "sig_a", "sig_b").mapInArrow(_compared(least), "a long, b long")
+    survivors = map_batches(signed.select("a", "b", "sig_a", "sig_b"), _compared(least), "a long, b long")
     links = stored(_linked(survivors, sets, percent), "links")
 
     near = _dealt(_open(members, components(links)).join(sigs, "node"))
-    near = near.mapInArrow(_blocks(least, _Block.nearest), "a long, b long").distinct()
+    near = map_batches(near, _blocks(least, _Block.nearest), "a long, b long").distinct()
     links = links.unionByName(stored(_linked(near, sets, percent), "links"))
 
     rest = _dealt(_open(members, components(links)).join(sigs, "node").join(sets, "node"))
-    rest = rest.mapInArrow(_blocks(least, lambda block: block.links(percent)), "a long, b long")
+    rest = map_batches(rest, _blocks(least, lambda block: block.links(percent)), "a long, b long")
     roots = components(links.unionByName(stored(rest, "links")))
     grouped = classes.select("node", "least_id").join(roots, "node", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "node"))

@@ -24,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.frames import map_batches
 from siltstone.llm.textops import SPACE, pieces, words
 
 TRIGRAMS, KINDS, SHAPES = 2048, 512, 8
 TERMS = TRIGRAMS + KINDS + SHAPES
+ROWS = 512  # texts of a block, however short
 
 
 def _kinds() -> np.ndarray:
@@ -123,7 +125,7 @@ class Model:
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at, to, data, offsets in pieces(batch.column(1)):
+        for at, to, data, offsets in pieces(batch.column(1), ROWS):
             counts = [c.tobytes() for c in term_counts(data, offsets).astype("<u2")]
             yield pa.record_batch(
                 [batch.column(0).slice(at, to - at), batch.column(2).slice(at, to - at), pa.array(counts, pa.binary())],
@@ -141,7 +143,7 @@ def fit(
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
     kind = docs.schema[id].dataType.simpleString()
     rows = rows.select("doc_id", "text", F.col("label").cast("double").alias("label"))
-    taken = rows.mapInArrow(_texts, f"doc_id {kind}, label double, counts binary")
+    taken = map_batches(rows, _texts, f"doc_id {kind}, label double, counts binary")
     taken = taken.orderBy(F.xxhash64("doc_id"), "doc_id", "counts").limit(max_labelled).toArrow()
     if not taken.num_rows:
         none = np.zeros((0, 1), np.float32)
@@ -176,7 +178,7 @@ def score_quality(docs: DataFrame, model: Model, id: str = "doc_id", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = [np.zeros(0)]
-            for _, _, data, offsets in pieces(batch.column(1)):
+            for _, _, data, offsets in pieces(batch.column(1), ROWS):
                 scores.append(shared.value.score(term_counts(data, offsets)))
             yield pa.record_batch(
                 [batch.column(0), batch.column(2), pa.array(np.concatenate(scores))], names=["doc_id", "text_key", "score"]
@@ -184,7 +186,7 @@ def score_quality(docs: DataFrame, model: Model, id: str = "doc_id", text: str =
 
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key"))
-    scored = rows.mapInArrow(run, f"doc_id {kind}, text_key long, score double")
+    scored = map_batches(rows, run, f"doc_id {kind}, text_key long, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -196,8 +198,8 @@ def good_documents(docs: DataFrame, model: Model, id: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [np.zeros(0, bool)]
-            for _, _, data, offsets in pieces(batch.column(place)):
+            for _, _, data, offsets in pieces(batch.column(place), ROWS):
                 keep.append(shared.value.score(term_counts(data, offsets)) >= threshold)
             yield batch.filter(pa.array(np.concatenate(keep)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

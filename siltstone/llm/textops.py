@@ -61,8 +61,11 @@ class Words:
         return np.diff(self.first)
 
 
-def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, bytes, offsets of rows in them); NULL counts as empty."""
+def pieces(column: pa.Array, rows: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, bytes, offsets of rows in them); NULL counts as empty.
+
+    `rows` bounds a piece's rows as well, for work that is wide in each row.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_binary()), b"")
@@ -75,6 +78,7 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     at = 0
     while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PIECE, side="right")) - 1)
+        to = min(to, at + rows) if rows else to
         yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
 

@@ -22,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.frames import map_batches
 from siltstone.llm.textops import pieces
 
 #: Words remembered per Python worker; beyond it the memory is emptied and filled again.
@@ -152,5 +153,5 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id: str = "doc_i
 
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    counted = rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long")
+    counted = map_batches(rows, run, f"doc_id {kind}, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.binpack import best_fit_decreasing
-from siltstone.llm.frames import stored
+from siltstone.llm.frames import map_batches, stored
 from siltstone.llm.textops import pieces
 
 #: Words remembered per Python worker; beyond it the memory is emptied and filled again.
@@ -101,7 +101,7 @@ def tokenized(docs: DataFrame, path: str, pattern: str, length: int, id: str, te
 
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
-    return rows.mapInArrow(run, f"doc_id {kind}, key long, piece int, n int, ids binary")
+    return map_batches(rows, run, f"doc_id {kind}, key long, piece int, n int, ids binary")
 
 
 def _plan_rows(histogram: dict[int, list[int]], length: int) -> list[tuple[int, ...]]:
@@ -149,8 +149,7 @@ def pack_tokens(
     )
     segment = F.struct("at", "n", "doc_id", "piece", "ids")
     rows = placed.groupBy("row_id").agg(F.array_sort(F.collect_list(segment)).alias("s"))
-    return rows.mapInArrow(
-        _finished, f"row_id long, n_tokens int, ids binary, cu_seqlens array<int>, positions binary, "
+    return map_batches(rows, _finished, f"row_id long, n_tokens int, ids binary, cu_seqlens array<int>, positions binary, "
         f"doc_ids array<{docs.schema[id].dataType.simpleString()}>, pieces array<int>",
     )
 
