@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.frames import map_batches
+from siltstone.llm.frames import give_back, map_batches
 from siltstone.llm.textops import NOT_ALNUM, Words, mix, pieces, windows, words
 
 #: Kept places of each mask, in a window of `SPAN` words.
@@ -175,6 +175,8 @@ def overlaps(
     for seeds in _blocks(benchmark, item_id, item_text, most_item_bytes):
         found = map_batches(rows, _search(docs.sparkSession.sparkContext.broadcast(seeds), kinds), schema)
         out = found if out is None else out.unionByName(found)
+        del seeds
+        give_back()
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 

@@ -289,6 +289,11 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of what hung together before, as node and root, and the new links."""
+    return components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
 def near_duplicates(
     docs: DataFrame,
     size: int = 5,
@@ -319,13 +324,14 @@ def near_duplicates(
     survivors = map_batches(signed.select("a", "b", "sig_a", "sig_b"), _compared(least), "a long, b long")
     links = stored(_linked(survivors, sets, percent), "links")
 
-    near = _dealt(_open(members, components(links)).join(sigs, "node"))
+    roots = components(links)
+    near = _dealt(_open(members, roots).join(sigs, "node"))
     near = map_batches(near, _blocks(least, _Block.nearest), "a long, b long").distinct()
-    links = links.unionByName(stored(_linked(near, sets, percent), "links"))
+    roots = _joined(roots, stored(_linked(near, sets, percent), "links"))
 
-    rest = _dealt(_open(members, components(links)).join(sigs, "node").join(sets, "node"))
+    rest = _dealt(_open(members, roots).join(sigs, "node").join(sets, "node"))
     rest = map_batches(rest, _blocks(least, lambda block: block.links(percent)), "a long, b long")
-    roots = components(links.unionByName(stored(rest, "links")))
+    roots = _joined(roots, stored(rest, "links"))
     grouped = classes.select("node", "least_id").join(roots, "node", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "node"))
     named = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.frames import map_batches
+from siltstone.llm.frames import give_back, map_batches
 from siltstone.llm.textops import SPACE, pieces, words
 
 TRIGRAMS, KINDS, SHAPES = 2048, 512, 8
@@ -159,6 +159,8 @@ def fit(
         gram += x.T @ x
     model = Model(rarity, _leading(gram, min(rank, len(y))), np.zeros((0, 1), np.float32), y, float(y.mean()), neighbours, power)
     model.vectors = np.concatenate([model.project(counts[rows].astype(np.float32)) for rows in blocks]).astype(np.float32)
+    del counts, gram, x
+    give_back()
     return model
 
 

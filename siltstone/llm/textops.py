@@ -30,7 +30,7 @@ def _power(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64; kept up to a few pieces' length."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        steps = np.full(max(n, 2 * PIECE), base, dtype=np.uint64)
+        steps = np.full(1 << n.bit_length(), base, dtype=np.uint64)
         steps[0] = 1
         have = np.cumprod(steps, dtype=np.uint64)
         if n <= 4 * PIECE:
