@@ -117,23 +117,34 @@ def replace_table(df: DataFrame, path: str, layout: Layout = Layout(), files: in
     return versions.write(arranged, path, layout.partition_by)
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns a folder is partitioned by, outermost first."""
+    found: list[str] = []
+    while inside := fs.glob(spark, f"{path}/*=*"):
+        path = inside[0][0]
+        found.append(path.rstrip("/").rsplit("/", 1)[1].split("=", 1)[0])
+    return found
+
+
 def compact(
     spark: SparkSession, path: str, out: str, files: int | None = None, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """Rewrite the Parquet folder `path` at `out` in fewer files, clustered if columns are given.
 
     Without columns nothing is shuffled: each task reads several small files and writes one.
-    The rows stay the same; a differing count is an error. Point the readers to `out` after
+    A partitioned folder stays partitioned; there each value's rows are gathered and large values
+    split. The rows stay the same; a differing count is an error. Point the readers to `out` after
     that. The table read from `out` is returned.
     """
     df = spark.read.option("mergeSchema", "true").parquet(path)
     files = files or files_for(spark, path)
+    parts = partition_columns(spark, path)
     if columns:
         place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-        packed = cluster(df, columns, files, place)
+        packed = cluster(df, [*parts, *columns], files, place)
     else:
-        packed = df.coalesce(files)
-    packed.write.mode("overwrite").parquet(out)
+        packed = df.hint("rebalance", *parts) if parts else df.coalesce(files)
+    packed.write.mode("overwrite").partitionBy(*parts).parquet(out)
     written = spark.read.parquet(out)
     before, after = df.count(), written.count()
     if before != after:

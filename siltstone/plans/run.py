@@ -160,8 +160,8 @@ class FlowRun:
 
 
 def run_flow(run: FlowRun) -> FlowRun:
-    """All layers in order."""
-    for step in (run.bronze, run.silver, run.gold, run.arrange, run.expire):
+    """All layers in order. Names move on to the new versions before old ones are deleted."""
+    for step in (run.bronze, run.silver, run.gold, run.arrange, run.publish, run.expire):
         step()
     return run
 

@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
 from siltstone import fs
 from siltstone.sources.readers import source_schema
@@ -19,21 +19,31 @@ OVERLAP_MS = 10 * 60 * 1000  # clocks of writers and store may differ by this mu
 WIDER = {("double", "bigint"), ("double", "int"), ("bigint", "int"), ("timestamp", "date")}
 
 
+def _held_type(name: str, ours: DataType, theirs: DataType, text_format: bool) -> DataType:
+    """The type that holds both; structs, also in arrays, gain the fields they lack."""
+    if isinstance(ours, StructType) and isinstance(theirs, StructType):
+        return merge_schemas(ours, theirs, text_format)
+    if isinstance(ours, ArrayType) and isinstance(theirs, ArrayType):
+        return ArrayType(_held_type(name, ours.elementType, theirs.elementType, text_format), ours.containsNull)
+    a, b = ours.simpleString(), theirs.simpleString()
+    if a == b or (text_format and (a == "string" or (a, b) in WIDER)):
+        return ours
+    raise ValueError(f"column {name} was {a}, new files have {b}; declare a schema")
+
+
 def merge_schemas(held: StructType, found: StructType, text_format: bool = True) -> StructType:
     """`held` with the columns of `found` that it lacks at its end.
 
     A column whose values no longer fit is an error: reading on would turn them into NULL.
     """
-    merged = StructType(list(held.fields))
-    for field in found.fields:
-        if field.name not in held.names:
-            merged.add(field)
-            continue
-        ours, theirs = held[field.name].dataType.simpleString(), field.dataType.simpleString()
-        fits = ours == theirs or (text_format and (ours == "string" or (ours, theirs) in WIDER))
-        if not fits:
-            raise ValueError(f"column {field.name} was {ours}, new files have {theirs}; declare a schema")
-    return merged
+    theirs = {f.name: f.dataType for f in found.fields}
+    merged = [
+        StructField(f.name, _held_type(f.name, f.dataType, theirs[f.name], text_format), f.nullable, f.metadata)
+        if f.name in theirs
+        else f
+        for f in held.fields
+    ]
+    return StructType(merged + [f for f in found.fields if f.name not in held.names])
 
 
 def _newest_ms(spark: SparkSession, path: str) -> int | None:
@@ -58,8 +68,10 @@ def evolve_schema(spark: SparkSession, spec: SourceSpec, store: str) -> StructTy
         if newest is None or newest == held["newest_ms"]:
             return schema
         since = datetime.fromtimestamp((held["newest_ms"] - OVERLAP_MS) / 1000, timezone.utc)
+        # A column of only NULLs says nothing of its type; JSON inference would call it text.
+        sparse = {"dropFieldIfAllNull": "true"} if spec.format == "json" else {}
         found = source_schema(
-            spark, spec, modifiedAfter=since.strftime("%Y-%m-%dT%H:%M:%S"), timeZone="UTC"
+            spark, spec, modifiedAfter=since.strftime("%Y-%m-%dT%H:%M:%S"), timeZone="UTC", **sparse
         )
         schema = merge_schemas(schema, found, spec.format in ("json", "csv"))
     record = {"schema": schema.jsonValue(), "newest_ms": newest}

@@ -66,3 +66,12 @@ def test_overwrite_replaces(spark, work):
     write_table(spark.range(5), f"{work}/t")
     write_table(spark.range(3), f"{work}/t")
     assert spark.read.parquet(f"{work}/t").count() == 3
+
+
+def test_compact_keeps_partitions(spark, work):
+    df = spark.range(200).selectExpr("id", "id % 3 as p", "id % 2 as q")
+    df.repartition(6).write.partitionBy("p", "q").parquet(f"{work}/many")
+    for columns in (None, ["id"]):
+        out = compact(spark, f"{work}/many", f"{work}/few{bool(columns)}", columns=columns)
+        assert out.count() == 200 and all("/p=" in f and "/q=" in f for f in out.inputFiles())
+        assert len(out.inputFiles()) < len(spark.read.parquet(f"{work}/many").inputFiles())

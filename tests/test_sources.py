@@ -204,6 +204,22 @@ def test_merge_schemas_order_and_widths():
         merge_schemas(s("a double"), s("a bigint"), text_format=False)
 
 
+def test_merge_schemas_grows_structs():
+    s = T.StructType.fromDDL
+    held, found = s("a struct<x: bigint>, l array<struct<p: string>>"), s("a struct<y: string>, l array<struct<q: int>>")
+    assert merge_schemas(held, found) == s("a struct<x: bigint, y: string>, l array<struct<p: string, q: int>>")
+
+
+def test_sparse_deliveries_go_on(spark, tmp_path, work):
+    spec = SourceSpec("s", "e", base_path=str(tmp_path / "in"))
+    texts = ['{"id": 1, "v": 2, "w": {"x": 1}}', '{"id": 2, "v": null, "w": {"x": 2, "y": "b"}}', '{"id": 3, "v": 4}']
+    for i, text in enumerate(texts):
+        put(tmp_path / "in", f"{i}.json", text + "\n")
+        ingest(spark, spec, f"{work}/b", f"{work}/s")
+    got = read_table(spark, f"{work}/b").select("id", "v", "w.x", "w.y")
+    assert rows(got) == [(1, 2, 1, None), (2, None, 2, "b"), (3, 4, None, None)]
+
+
 def test_parquet_columns_of_all_files(spark, work):
     spark.range(2).write.parquet(f"{work}/in/p=1")
     spark.range(2).withColumn("more", F.lit(1)).write.parquet(f"{work}/in/p=2")
