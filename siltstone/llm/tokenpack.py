@@ -5,10 +5,6 @@ The histogram of piece lengths (at most `length` classes, whatever the input) is
 driver with a segment tree over capacities; Spark ranks the pieces of a length and so finds each
 one's row and offset. A packed row is one group of at most `length` tokens.
 
-Words repeat, so ids are looked up per blank-separated word: this pattern puts a single blank at
-the head of the next word, so words between single blanks are encoded alone alike. Texts with any
-other blank (doubled, or beside other white space) are encoded whole.
-
 Contract: NULL and empty texts have no tokens and come in no packed row; NULL ids stay NULL in
 `doc_ids`; repeated rows are packed as often as they stand; no rows give no rows; other columns
 of the input are not carried.
@@ -18,7 +14,7 @@ from __future__ import annotations
 
 import base64
 import functools
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +26,6 @@ from siltstone.llm.binpack import best_fit_decreasing
 from siltstone.llm.frames import map_batches, stored
 from siltstone.llm.textops import pieces
 
-#: Words remembered per Python worker; beyond it the memory is emptied and filled again.
-REMEMBERED = 400_000
 #: Parts a length's pieces are ranked in, so that a common length is no single task.
 SPLITS = 32
 
@@ -45,45 +39,21 @@ def encoding(path: str, pattern: str):
     return tiktoken.Encoding("packed", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-class WordIds(dict):
-    """Ids of words as little-endian uint16 bytes."""
-
-    def __init__(self, encode: Callable[[str], list[int]]):
-        super().__init__()
-        self.encode = encode
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.encode(text), dtype="<u2").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[word] = ids = self.whole(word)
-        return ids
-
-    def text(self, text: str) -> bytes:
-        head, *rest = text.split(" ")
-        if not head or head[-1].isspace() or any(not w or w[0].isspace() or w[-1].isspace() for w in rest):
-            return self.whole(text)
-        return self[head] + b"".join([self[" " + w] for w in rest])
-
-
-@functools.cache
-def _word_ids(path: str, pattern: str) -> WordIds:
-    return WordIds(encoding(path, pattern).encode_ordinary)
+def encoded(path: str, pattern: str, text: str) -> bytes:
+    """The ids of a whole text as little-endian uint16 bytes."""
+    return encoding(path, pattern).encode_to_numpy(text, disallowed_special=()).astype("<u2").tobytes()
 
 
 def tokenized(docs: DataFrame, path: str, pattern: str, length: int, id: str, text: str) -> DataFrame:
     """doc_id, key, piece, n, ids: the document's pieces of at most `length` tokens, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _word_ids(path, pattern)
         for batch in batches:
             for at, to, data, offsets in pieces(batch.column(1)):
                 texts = data.tobytes()
                 rows, piece, ids = [], [], []
                 for row in range(to - at):
-                    coded = known.text(texts[offsets[row] : offsets[row + 1]].decode("utf-8", "replace"))
+                    coded = encoded(path, pattern, texts[offsets[row] : offsets[row + 1]].decode("utf-8", "replace"))
                     for k in range(0, len(coded), 2 * length):
                         rows.append(at + row)
                         piece.append(k // (2 * length))
