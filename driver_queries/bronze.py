@@ -9,6 +9,7 @@ from driver_queries import fixtures as fx
 from driver_queries.fixtures import as_columns, table
 from driver_queries.silver import EVENT_DROP, UNIFY_SQL
 from driver_queries.workbooks import write_workbooks
+from siltstone import fs
 from siltstone.operators import tag_source, unify
 from siltstone.plans.bronze import ingest, unified_entity
 from siltstone.plans.silver import run_silver
@@ -127,6 +128,39 @@ def bronze_schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
     return raw.select("event_id", "user_id", "value", "event_type", "_source")
 
 
+def bronze_evolution_old_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The second delivery has a new column and a time stamp weeks before the first."""
+    work = scratch_dir(spark, "bronze-old-file")
+    events = table(spark, sf, "events")
+    spec = SourceSpec("landed", "events", format="json", base_path=f"{work}/landing")
+    events.filter("event_id % 2 = 0").select("event_id", "user_id").write.json(f"{work}/landing")
+    _ingested(spark, spec, work)
+    known = {path for path, _ in fs.glob(spark, f"{work}/landing/part-*")}
+    late = events.filter("event_id % 2 = 1").select("event_id", "user_id", "value")
+    late.write.mode("append").json(f"{work}/landing")
+    for path in {path for path, _ in fs.glob(spark, f"{work}/landing/part-*")} - known:
+        fs.set_modified_ms(spark, path, fs.modified_ms(spark, path) - 30 * 86_400_000)
+    return _ingested(spark, spec, work).select("event_id", "user_id", "value")
+
+
+def bronze_evolution_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole numbers, then only NULLs and a struct with one field more, then fractions, which are rescued."""
+    work = scratch_dir(spark, "bronze-sparse")
+    events = table(spark, sf, "events")
+    spec = SourceSpec("landed", "events", format="json", base_path=f"{work}/landing", rescue="_rescued")
+    whole, one = F.floor("value").alias("value"), F.struct("user_id").alias("who")
+    two = F.struct("user_id", "event_type").alias("who")
+    deliveries = [(whole, one), (F.lit(None).cast("double").alias("value"), two), (F.col("value"), two)]
+    for part, (value, who) in enumerate(deliveries):
+        rows = events.filter(F.col("event_id") % 3 == part).select("event_id", value, who)
+        rows.write.mode("append").option("ignoreNullFields", "false").json(f"{work}/landing")
+        raw = _ingested(spark, spec, work)
+    rescued = F.get_json_object("_rescued", "$.value").cast("double")
+    return raw.select(
+        "event_id", "who.user_id", "who.event_type", F.coalesce(F.col("value").cast("double"), rescued).alias("value")
+    )
+
+
 def unify_sources_stream(spark: SparkSession, sf: str) -> DataFrame:
     work = scratch_dir(spark, "unify")
     path, schema = fx.landing(spark, sf, "events"), table(spark, sf, "events").schema
@@ -183,7 +217,7 @@ QUERIES = {
     for f in (
         bronze_stream_parquet, bronze_stream_json, bronze_stream_csv, bronze_stream_orc, bronze_stream_xml,
         bronze_xlsx, bronze_stream_xlsx, bronze_rest_records, bronze_connector_stream,
-        bronze_schema_evolution, unify_sources_stream, silver_events_clean_stream, bronze_from_registry,
+        bronze_schema_evolution, bronze_evolution_old_file, bronze_evolution_sparse, unify_sources_stream, silver_events_clean_stream, bronze_from_registry,
     )
 }
 
@@ -202,6 +236,10 @@ SQL = {
     "bronze_connector_stream": "select *, 'lakeflow_s3' _source from orders",
     "bronze_schema_evolution": """select event_id, user_id, case when event_id % 2 = 1 then value end as value,
       case when event_id % 2 = 1 then event_type end event_type, 'landed' _source from events""",
+    "bronze_evolution_old_file": """select event_id, user_id, case when event_id % 2 = 1 then value end as value
+      from events""",
+    "bronze_evolution_sparse": """select event_id, user_id, case when event_id % 3 > 0 then event_type end event_type,
+      case event_id % 3 when 0 then floor(value) when 2 then value end as value from events""",
     "unify_sources_stream": UNIFY_SQL,
     "silver_events_clean_stream": "select event_id, user_id, event_type, ts from events",
     "bronze_from_registry": """select l_orderkey,

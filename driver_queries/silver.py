@@ -153,6 +153,13 @@ QUERIES = {
 
 EVENTS_CLEAN_SQL = """select event_id, user_id, event_type, ts from events
   where coalesce(user_id is not null and event_type is not null, false)"""
+METRICS_SQL = """
+      select 'valid_amount' as name, 'warn' as action, count(*) total,
+        count(*) filter (where not coalesce(value > 100, false)) failed from events
+      union all select 'valid_event', 'drop', count(*),
+        count(*) filter (where user_id is null or event_type is null) from events
+      union all select 'valid_kind', 'drop', count(*),
+        count(*) filter (where not coalesce(event_type <> 'error', false)) from events"""
 UNIFY_SQL = """select event_id, user_id, value, cast(null as varchar) props, 'lakeflow_s3' _source
   from events where event_id % 2 = 0
   union all select event_id, user_id, cast(null as double), props, 'volume_c1'
@@ -172,13 +179,7 @@ SQL = {
     "silver_events_clean": EVENTS_CLEAN_SQL,
     "expect_metrics": """select 'valid_amount' as name, 'warn' as action, count(*) total, cast(sum(case when
       coalesce(value > 100, false) then 0 else 1 end) as bigint) failed from events""",
-    "expect_metrics_many": """
-      select 'valid_amount' as name, 'warn' as action, count(*) total,
-        count(*) filter (where not coalesce(value > 100, false)) failed from events
-      union all select 'valid_event', 'drop', count(*),
-        count(*) filter (where user_id is null or event_type is null) from events
-      union all select 'valid_kind', 'drop', count(*),
-        count(*) filter (where not coalesce(event_type <> 'error', false)) from events""",
+    "expect_metrics_many": METRICS_SQL,
     "expect_drop": "select event_id, user_id, value from events where coalesce(value > 100, false)",
     "expect_quarantine": """select event_id, event_type, value, concat_ws(',',
       case when not coalesce(value > 100, false) then 'valid_amount' end,

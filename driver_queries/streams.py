@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from driver_queries import fixtures as fx
 from driver_queries.fixtures import table
 from driver_queries.gold import HOURLY_SQL, rounded
-from driver_queries.silver import SCD1_SQL
+from driver_queries.silver import AMOUNT_WARN, BUSY_DROP, EVENT_DROP, METRICS_SQL, SCD1_SQL
+from siltstone.plans.run import FlowRun
 from siltstone.session import scratch_dir
+from siltstone.specs import parse_flow
 from siltstone.streaming.keyed import keep_updates, scd1_stream as upsert_stream
 from siltstone.streaming.runner import run_available_now
 from siltstone.streaming.windows import pump_hourly
@@ -53,7 +55,37 @@ def pump_hourly_stream(spark: SparkSession, sf: str) -> DataFrame:
     kept, _ = keep_updates(
         _windows(stream), f"{work}/table", ["pump_id", "window_start", "window_end"], f"{work}/checkpoint", 8
     )
-    return _zoneless(kept.current().drop("_batch"))
+    return _zoneless(kept.current().drop("_stream", "_batch"))
+
+
+def pump_hourly_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Wrong values first; a new checkpoint then replays the corrected ones over them."""
+    work = scratch_dir(spark, "pump-replay")
+    events = table(spark, sf, "events")
+    wrong = events.withColumn("value", F.col("value") * 7)
+    for attempt, rows in enumerate((wrong, events)):
+        rows.write.parquet(f"{work}/landing-{attempt}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{work}/landing-{attempt}")
+        keys = ["pump_id", "window_start", "window_end"]
+        kept, _ = keep_updates(_windows(stream), f"{work}/table", keys, f"{work}/checkpoint-{attempt}", 8)
+    return _zoneless(kept.current().drop("_stream", "_batch"))
+
+
+def expect_metrics_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """What the rules counted over two runs of several batches each."""
+    work = scratch_dir(spark, "rules-stream")
+    events = table(spark, sf, "events")
+    rules = (AMOUNT_WARN, EVENT_DROP, BUSY_DROP)
+    feed = parse_flow({"flow": "rules", "feeds": ["events"], "format": "parquet", "silver": {}, "gold": {}, "feed_rules": {
+        action: {r.name: r.constraint for r in rules if r.action == action} for action in ("warn", "drop")
+    }})
+    for part in range(2):
+        half = events.filter(F.col("event_id") % 2 == part)
+        half.repartition(3).write.mode("append").parquet(f"{work}/landing/events")
+        run = FlowRun(spark, feed, f"{work}/root", f"{work}/landing", batch_bytes=1)
+        run.bronze()
+    counted = run.rule_results().groupBy(F.col("rule").alias("name"), "action")
+    return counted.agg(F.sum("total").alias("total"), F.sum("failed").alias("failed"))
 
 
 def pump_late_drop(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,11 +103,13 @@ def pump_late_drop(spark: SparkSession, sf: str) -> DataFrame:
     return _zoneless(spark.read.parquet(f"{work}/out"))
 
 
-QUERIES = {f.__name__: f for f in (scd1_stream, pump_hourly_stream, pump_late_drop)}
+QUERIES = {f.__name__: f for f in (scd1_stream, pump_hourly_stream, pump_hourly_replay, expect_metrics_stream, pump_late_drop)}
 
 SQL = {
     "scd1_stream": SCD1_SQL,
     "pump_hourly_stream": HOURLY_SQL,
+    "pump_hourly_replay": HOURLY_SQL,
+    "expect_metrics_stream": METRICS_SQL,
     # The watermark after a delivery is ten minutes behind its newest event. A row of a later
     # delivery is dropped if its window ended by then; a window is written once it has ended
     # by the last watermark.

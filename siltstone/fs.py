@@ -61,6 +61,11 @@ def modified_ms(spark: SparkSession, path: str) -> int:
     return fs.getFileStatus(p).getModificationTime()
 
 
+def set_modified_ms(spark: SparkSession, path: str, at: int) -> None:
+    fs, p = _resolve(spark, path)
+    fs.setTimes(p, at, -1)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _resolve(spark, path)
     fs.delete(p, True)

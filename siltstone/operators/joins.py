@@ -106,7 +106,8 @@ def pair_all(left: DataFrame, right: DataFrame, small_rows: int = 10_000, splits
 
     The result is as large as the two sides make it; what matters is not to move the right
     one. A left side proven small is broadcast. A larger one is copied once per split and
-    met by the right rows of that split, so no task holds a whole side.
+    met by the right rows of that split: a task meets the whole left side, in a sorted join
+    that spills, and one part of the right.
     """
     if broadcastable(left, small_rows):
         return F.broadcast(left).join(right)

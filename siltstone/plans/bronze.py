@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from pathlib import PurePosixPath
 
@@ -57,6 +58,15 @@ def unified_entity(
     return empty(spark, schema)
 
 
+def raw_rules(spec: SourceSpec, rules: tuple[Expectation, ...]) -> tuple[Expectation, ...]:
+    """The rules counted while the source is taken in; XML and workbooks lose the file they are about."""
+    if spec.source_type == "volume" and spec.format in ("xml", "xlsx"):
+        return ()
+    if spec.rescue and spec.format in ("json", "csv"):
+        return (*rules, Expectation("fits_schema", f"`{spec.rescue}` IS NULL"))
+    return rules
+
+
 def ingest(
     spark: SparkSession,
     spec: SourceSpec,
@@ -68,12 +78,17 @@ def ingest(
     """Append the source's new files to the raw table at `path`, with a schema that may grow.
 
     `state` holds the stream's checkpoint and the schema. The rules are counted per batch.
+    A folder without files is passed over, with a warning and no query.
     """
     schema = None
     if spec.source_type == "volume" and spec.format != "xlsx":
         schema = evolve_schema(spark, spec, f"{state}/schema.json")
+        if schema is None:
+            logging.getLogger(__name__).warning("%s: no files in %s yet", spec.source_id, spec.base_path)
+            return None
     raw = read_raw(spark, spec, streaming=True, schema=schema)
-    if rules and spec.format not in ("xml", "xlsx"):
+    rules = raw_rules(spec, rules)
+    if rules:
         raw = observe_stream(raw, rules, PurePosixPath(path).name)
     if tag:
         raw = raw.withColumn("_source", F.lit(spec.source_id))

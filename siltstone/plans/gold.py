@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions import band, with_share_of_total
-from siltstone.operators.joins import Measure, enrich, pair_all, summarize
+from siltstone.operators.joins import Measure, enrich, summarize
 from siltstone.streaming.windows import pump_hourly
 
 Steps = Sequence[tuple[float, str]]
@@ -144,7 +144,8 @@ def technician_performance(
     """Every score next to the technician of one setup (the join tests one side only)."""
     chosen = setups.filter(F.col("setup_id") == setup_id).select("technician_name")
     measured = scores.select("kpi_score", "status", "event_date")
-    return pair_all(chosen, measured).select(
+    # Spark broadcasts the side its estimate calls small, else pairs partitions.
+    return chosen.crossJoin(measured).select(
         "technician_name",
         "kpi_score",
         F.col("status").alias("pressure_status"),

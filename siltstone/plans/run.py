@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from siltstone import fs, versions
 from siltstone.operators.layout import replace_table
-from siltstone.operators.unify import tag_source, unify
-from siltstone.plans.bronze import FILE_RULE, ingest
+from siltstone.operators.quality import stream_results
+from siltstone.operators.unify import empty, tag_source, unify
+from siltstone.plans.bronze import FILE_RULE, ingest, raw_rules
 from siltstone.plans.gold import build_view
 from siltstone.plans.publish import publish
 from siltstone.plans.silver import keyed_table, read_silver, run_silver
 from siltstone.sources.readers import read_table
-from siltstone.specs import FlowSpec, GoldSpec, SourceSpec, TableSpec
+from siltstone.specs import Expectation, FlowSpec, GoldSpec, SourceSpec, TableSpec
+
+RULE_RESULTS = (
+    "run timestamp, layer string, table string, source string, rule string, action string, total long, failed long"
+)
 
 
 class FlowRun:
@@ -37,6 +45,7 @@ class FlowRun:
     ):
         self.spark, self.flow, self.root = spark, flow, root.rstrip("/")
         self.batch_bytes = batch_bytes
+        self.started = datetime.now(timezone.utc)
         self.sources = list(sources) if sources is not None else [
             SourceSpec(
                 source_id=feed, entity=feed, format=flow.format, base_path=f"{landing}/{feed}",
@@ -59,7 +68,29 @@ class FlowRun:
         rules = self.flow.feed_rules or (FILE_RULE,)
         for s in self.sources:
             names = (s.entity, s.source_id)
-            ingest(self.spark, s, self.path("bronze", *names), self.state("bronze", *names), rules)
+            query = ingest(self.spark, s, self.path("bronze", *names), self.state("bronze", *names), rules)
+            self._note(query, "bronze", s.entity, s, raw_rules(s, rules), s.source_id)
+
+    def _note(
+        self, query: StreamingQuery | None, layer: str, table: str, source: SourceSpec,
+        rules: Sequence[Expectation], observed: str,
+    ) -> None:
+        """Keep what the rules of a stream have counted. A crash before this loses a run's counts."""
+        results = stream_results(query, rules, observed) if query is not None and rules else []
+        rows = [(self.started, layer, table, source.source_id, *r) for r in results if r[2]]
+        if rows:
+            kept = self.spark.createDataFrame(rows, RULE_RESULTS).coalesce(1)
+            kept.write.mode("append").parquet(self.state("rules"))
+
+    def rule_results(self) -> DataFrame:
+        """One row per run, table, source and rule: rows seen and rows failed."""
+        if not fs.exists(self.spark, self.state("rules")):
+            return self.spark.createDataFrame([], RULE_RESULTS)
+        return self.spark.read.parquet(self.state("rules"))
+
+    def landed(self, feed: str) -> list[SourceSpec]:
+        """The feed's sources that have brought files so far."""
+        return [s for s in self.sources_of(feed) if fs.exists(self.spark, self.path("bronze", feed, s.source_id))]
 
     def raw(self, source: SourceSpec, streaming: bool = False) -> DataFrame:
         raw = read_table(self.spark, self.path("bronze", source.entity, source.source_id), streaming, self.batch_bytes)
@@ -69,18 +100,19 @@ class FlowRun:
 
     def bronze_table(self, feed: str) -> DataFrame:
         """The raw rows of all sources of a feed."""
-        return unify([self.raw(s) for s in self.sources_of(feed)])
+        return unify([self.raw(s) for s in self.landed(feed)])
 
     def silver(self) -> None:
         """Bring every typed table up to date, source by source; the order does not matter."""
         for spec in self.flow.silver:
-            for s in self.sources_of(spec.source):
-                run_silver(
+            for s in self.landed(spec.source):
+                query = run_silver(
                     self.raw(s, streaming=True),
                     spec,
                     self._silver_path(spec, s),
                     self.state("silver", spec.name, s.source_id),
                 )
+                self._note(query, "silver", spec.name, s, spec.expectations, spec.name)
 
     def _silver_path(self, spec: TableSpec, source: SourceSpec) -> str:
         path = self.path("silver", spec.name)
@@ -88,10 +120,12 @@ class FlowRun:
 
     def silver_table(self, name: str) -> DataFrame:
         spec = self.flow.table(name)
+        landed = self.landed(spec.source)
+        if not landed:
+            return empty(self.spark, StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in spec.columns.items())))
         if spec.cdc:
             return read_silver(self.spark, spec, self.path("silver", name))
-        parts = [read_silver(self.spark, spec, self._silver_path(spec, s)) for s in self.sources_of(spec.source)]
-        return unify(parts)
+        return unify([read_silver(self.spark, spec, self._silver_path(spec, s)) for s in landed])
 
     def view(self, spec: GoldSpec) -> DataFrame:
         secondary = self.silver_table(spec.secondary) if spec.secondary else None
@@ -118,6 +152,8 @@ class FlowRun:
         for name in self.flow.compact:
             spec, target = self.flow.table(name), self.path("arranged", name)
             mark, now = f"{target}/arranged_from", None
+            if not self.landed(spec.source):
+                continue
             if spec.cdc:
                 now = str(keyed_table(self.spark, spec, self.path("silver", name)).version())
                 if fs.exists(self.spark, mark) and fs.read_text(self.spark, mark) == now:

@@ -22,7 +22,12 @@ ATTRIBUTE = "@"  # no XML name can hold it, so an attribute never collides with
 CORRUPT = "_corrupt_record"
 
 
+def _rescue(spec: SourceSpec) -> str | None:
+    return spec.rescue if spec.format in ("json", "csv") else None
+
+
 def file_options(spec: SourceSpec) -> dict[str, str]:
+    rescue = {"columnNameOfCorruptRecord": _rescue(spec)} if _rescue(spec) else {}
     if spec.format == "csv":
         # Columns are matched by position; a file whose header disagrees fails the job
         # instead of filling the wrong columns.
@@ -31,9 +36,9 @@ def file_options(spec: SourceSpec) -> dict[str, str]:
             "sep": spec.delimiter,
             "encoding": spec.encoding,
             "enforceSchema": str(not spec.has_header).lower(),
-        }
+        } | rescue
     if spec.format == "json":
-        return {"encoding": spec.encoding}
+        return {"encoding": spec.encoding} | rescue
     if spec.format == "xml":
         return {
             "rowTag": spec.row_tag,
@@ -55,8 +60,8 @@ def infer_options(spec: SourceSpec) -> dict[str, str]:
     }.get(spec.format, {})
 
 
-def source_schema(spark: SparkSession, spec: SourceSpec, **options: str) -> StructType:
-    """The declared schema, else the one of the files.
+def source_schema(spark: SparkSession, spec: SourceSpec, files: list[str] | None = None, **options: str) -> StructType:
+    """The declared schema, else the one of the files (all of them unless some are named).
 
     XML columns are all text. Whole numbers in CSV are bigint, so that a column does not
     outgrow the size its first files suggest.
@@ -64,7 +69,11 @@ def source_schema(spark: SparkSession, spec: SourceSpec, **options: str) -> Stru
     if spec.schema is not None:
         return spec.schema
     reader = spark.read.format(spec.format).options(**file_options(spec), **infer_options(spec), **options)
-    found = _checked(spec, lambda: reader.load(spec.base_path)).schema
+    if files and not any(c in spec.base_path for c in "*?{["):
+        reader = reader.option("basePath", spec.base_path)
+    found = _checked(spec, lambda: reader.load(files or spec.base_path)).schema
+    if _rescue(spec):
+        found = StructType([f for f in found.fields if f.name != _rescue(spec)])
     if spec.format == "csv":
         wide = {f.name: LongType() if f.dataType == IntegerType() else f.dataType for f in found.fields}
         return StructType([StructField(n, t) for n, t in wide.items()])
@@ -88,12 +97,14 @@ def _checked(spec: SourceSpec, load):
 
 def _read_files(spark: SparkSession, spec: SourceSpec, streaming: bool, schema: StructType | None) -> DataFrame:
     options = file_options(spec)
-    if schema is None and not streaming and spec.format != "csv":
+    if schema is None and not streaming and spec.format != "csv" and not _rescue(spec):
         reader = spark.read.format(spec.format).options(**options, **infer_options(spec))
     else:
         entry = spark.readStream if streaming else spark.read
         limit = _limit(spec.batch_bytes) if streaming else {}
         found = schema or source_schema(spark, spec)
+        if _rescue(spec):
+            found = StructType([*found.fields, StructField(_rescue(spec), StringType())])
         reader = entry.format(spec.format).options(**options, **limit).schema(found)
     return _checked(spec, lambda: reader.load(spec.base_path))
 

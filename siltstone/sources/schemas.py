@@ -3,42 +3,41 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Row, SparkSession
 from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
 from siltstone import fs
 from siltstone.sources.readers import source_schema
 from siltstone.specs import SourceSpec
 
-OVERLAP_MS = 10 * 60 * 1000  # clocks of writers and store may differ by this much
-
 # A column of the first type also holds values of the second.
 WIDER = {("double", "bigint"), ("double", "int"), ("bigint", "int"), ("timestamp", "date")}
 
 
-def _held_type(name: str, ours: DataType, theirs: DataType, text_format: bool) -> DataType:
+def _held_type(name: str, ours: DataType, theirs: DataType, text_format: bool, rescued: bool) -> DataType:
     """The type that holds both; structs, also in arrays, gain the fields they lack."""
     if isinstance(ours, StructType) and isinstance(theirs, StructType):
-        return merge_schemas(ours, theirs, text_format)
+        return merge_schemas(ours, theirs, text_format, rescued)
     if isinstance(ours, ArrayType) and isinstance(theirs, ArrayType):
-        return ArrayType(_held_type(name, ours.elementType, theirs.elementType, text_format), ours.containsNull)
+        return ArrayType(_held_type(name, ours.elementType, theirs.elementType, text_format, rescued), ours.containsNull)
     a, b = ours.simpleString(), theirs.simpleString()
-    if a == b or (text_format and (a == "string" or (a, b) in WIDER)):
+    if a == b or (text_format and (rescued or a == "string" or (a, b) in WIDER)):
         return ours
     raise ValueError(f"column {name} was {a}, new files have {b}; declare a schema")
 
 
-def merge_schemas(held: StructType, found: StructType, text_format: bool = True) -> StructType:
+def merge_schemas(
+    held: StructType, found: StructType, text_format: bool = True, rescued: bool = False
+) -> StructType:
     """`held` with the columns of `found` that it lacks at its end.
 
     A column whose values no longer fit is an error: reading on would turn them into NULL.
+    With `rescued` the reader keeps the text of such records, and the column stays as it is.
     """
     theirs = {f.name: f.dataType for f in found.fields}
     merged = [
-        StructField(f.name, _held_type(f.name, f.dataType, theirs[f.name], text_format), f.nullable, f.metadata)
+        StructField(f.name, _held_type(f.name, f.dataType, theirs[f.name], text_format, rescued), f.nullable, f.metadata)
         if f.name in theirs
         else f
         for f in held.fields
@@ -46,34 +45,35 @@ def merge_schemas(held: StructType, found: StructType, text_format: bool = True)
     return StructType(merged + [f for f in found.fields if f.name not in held.names])
 
 
-def _newest_ms(spark: SparkSession, path: str) -> int | None:
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.agg(F.max(F.unix_millis("modificationTime")).alias("at")).first()["at"]
-
-
-def evolve_schema(spark: SparkSession, spec: SourceSpec, store: str) -> StructType:
-    """The stored schema, widened by the files that arrived since, and stored again.
+def evolve_schema(spark: SparkSession, spec: SourceSpec, store: str) -> StructType | None:
+    """The stored schema, widened by the files not yet inspected, and stored again.
 
-    Only files changed since the last call (less an overlap) are inspected, so the cost
-    follows the arrivals and not the size of the folder.
+    Files are told apart by path, as the stream does, so an old time stamp hides none. The
+    paths are listed and compared as a table beside `store`; only those of new files reach the
+    driver, as they do in the stream. None while the folder holds no file.
     """
     if spec.schema is not None:
         return spec.schema
-    held = json.loads(fs.read_text(spark, store)) if fs.exists(spark, store) else None
-    newest = _newest_ms(spark, spec.base_path)
-    if held is None:
-        schema = source_schema(spark, spec)
+    seen = f"{store}.files"
+    held = StructType.fromJson(json.loads(fs.read_text(spark, store))["schema"]) if fs.exists(spark, store) else None
+    new: list[Row] = []
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(spec.base_path).select("path")
+    if held is None or not fs.exists(spark, seen):
+        # Listed before they are inspected: what arrives in between is inspected again later.
+        files.write.mode("overwrite").parquet(seen)
+        if spark.read.schema(files.schema).parquet(seen).isEmpty():
+            return held
+        found = source_schema(spark, spec)
     else:
-        schema = StructType.fromJson(held["schema"])
-        if newest is None or newest == held["newest_ms"]:
-            return schema
-        since = datetime.fromtimestamp((held["newest_ms"] - OVERLAP_MS) / 1000, timezone.utc)
+        new = files.join(spark.read.schema(files.schema).parquet(seen), "path", "left_anti").collect()
+        if not new:
+            return held
         # A column of only NULLs says nothing of its type; JSON inference would call it text.
         sparse = {"dropFieldIfAllNull": "true"} if spec.format == "json" else {}
-        found = source_schema(
-            spark, spec, modifiedAfter=since.strftime("%Y-%m-%dT%H:%M:%S"), timeZone="UTC", **sparse
-        )
-        schema = merge_schemas(schema, found, spec.format in ("json", "csv"))
-    record = {"schema": schema.jsonValue(), "newest_ms": newest}
-    fs.write_text(spark, store, json.dumps(record), overwrite=True)
+        found = source_schema(spark, spec, [r["path"] for r in new], **sparse)
+    text_format = spec.format in ("json", "csv")
+    schema = merge_schemas(held, found, text_format, bool(spec.rescue)) if held else found
+    fs.write_text(spark, store, json.dumps({"schema": schema.jsonValue()}), overwrite=True)
+    if new:
+        spark.createDataFrame(new, files.schema).coalesce(1).write.mode("append").parquet(seen)
     return schema

@@ -68,6 +68,7 @@ class SourceSpec:
     encoding: str = "UTF-8"
     schema: StructType | None = None
     batch_bytes: int | None = None  # cap of one batch of a stream
+    rescue: str | None = None  # JSON and CSV: column for the text of records that do not fit the schema
     rename: dict[str, str] = field(default_factory=dict)
 
 

@@ -158,7 +158,7 @@ def scd1_stream(
     return table, run_batches(stream, apply, checkpoint, wait=wait)
 
 
-UPDATED_IN = "_batch"
+UPDATED_BY, UPDATED_IN = "_stream", "_batch"
 
 
 def keep_updates(
@@ -171,12 +171,15 @@ def keep_updates(
 ) -> tuple[KeyedTable, StreamingQuery]:
     """Store a streaming aggregate as a table of its latest results.
 
-    In `update` mode each batch hands over the groups it changed; the newest batch wins.
+    In `update` mode each batch hands over the groups it changed; the newest batch of the
+    newest checkpoint wins, as a new one counts its batches from 0 again.
     """
     spark = stream.sparkSession
-    table = KeyedTable(spark, path, tuple(keys), UPDATED_IN, (), buckets)
+    table = KeyedTable(spark, path, tuple(keys), UPDATED_BY, (UPDATED_IN,), buckets)
 
     def apply(updates: DataFrame, batch: int) -> None:
-        table.apply(updates.withColumn(UPDATED_IN, F.lit(batch)), batch, _stream_id(spark, checkpoint))
+        began = fs.modified_ms(spark, f"{checkpoint}/metadata")
+        stamped = updates.withColumns({UPDATED_BY: F.lit(began).cast("long"), UPDATED_IN: F.lit(batch).cast("long")})
+        table.apply(stamped, batch, _stream_id(spark, checkpoint))
 
     return table, run_batches(stream, apply, checkpoint, mode="update", wait=wait)
