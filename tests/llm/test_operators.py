@@ -315,6 +315,36 @@ def test_licenses(spark, odd, none):
     assert licenses.scan_licenses(none, F.lit("/a/b")).count() == 0
 
 
+def test_wrapped_headers_and_license_files(spark):
+    body = dict(licenses.BODIES)
+    gpl = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:"""
+    mpl = """ * This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0."""
+    code = "\n\n" + "\n".join(" ".join(words(9, 300 + i)) for i in range(40))
+    rows = [
+        ("/m/LICENSE", "MIT License\n\nCopyright (c) 2020 Jo Doe\n\n" + body["MIT"]), ("/m/src/x.c", "plain words"),
+        ("/g/h.py", gpl + code), ("/g/b.py", bsd + code), ("/g/m.c", mpl + code), ("/g/s.rs", "// SPDX-License-Identifier: MIT" + code),
+        ("/g/t.md", "MIT License" + code), ("/g/d.rs", "// SPDX-License-Identifier: GPL-2.0-only" + code),
+        ("/g/u.rs", "// SPDX-License-Identifier: Unheard-1.0" + code),
+        *((f"/{name}/COPYING", text) for name, text in body.items()), ("/GPL-2.0/y.c", "plain"),
+    ]
+    docs = spark.createDataFrame([(i, t, p) for i, (p, t) in enumerate(rows)], "doc_id long, text string, path string")
+    got = {r["path"]: (r["license"], r["is_file"], r["inherited_from"]) for r in licenses.scan_licenses(docs, F.col("path")).collect()}
+    want = {
+        "/m/LICENSE": ("MIT", True, None), "/m/src/x.c": ("MIT", False, "/m"), "/g/h.py": ("GPL-3.0", False, None),
+        "/g/b.py": ("BSD-3-Clause", False, None), "/g/m.c": ("MPL-2.0", False, None), "/g/s.rs": ("MIT", False, None),
+        "/g/t.md": ("MIT", False, None), "/g/d.rs": ("GPL-2.0", False, None), "/g/u.rs": (None, False, None),
+        "/GPL-2.0/y.c": ("GPL-2.0", False, "/GPL-2.0"),
+    }
+    assert got == want | {f"/{name}/COPYING": (name, True, None) for name in body}
+
+
 def test_quality_classifier(spark, odd, none):
     rows = [(i, " ".join(w if i % 2 else f"{w}###" for w in words(40, i)), "s") for i in range(200)]
     docs = frame(spark, rows)
