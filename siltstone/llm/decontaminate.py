@@ -1,10 +1,11 @@
 """Benchmark decontamination by spaced seeds.
 
 Words are runs of letters, digits and bytes beyond ASCII, with A-Z folded. A seed hashes the
-words of a window at the places a fixed mask keeps and ignores the others, so a hit survives
-substitutions at ignored places; several masks ignore different ones. Around every hit the text
-and the item are laid side by side without gaps and followed both ways; the stretch counts if it
-has enough equal words and few others among them. Items shorter than a window are one seed each.
+words of a window at the places a mask keeps and ignores the others. A hit names a diagonal, the
+text and the item laid side by side without gaps; its stretch with most equal words among those
+with few others counts if it has enough of them. The masks meet every stretch that can count: by
+`ALIKE`, at least three equal words stand for each other one, so one run of equal words has four, or
+a run of three has two more behind the next word; only items of 5 and 6 words need masks besides.
 
 The item side is a broadcast of sorted seeds while the items have at most `most_item_bytes` bytes
 (measured first); larger benchmarks are compared in blocks of about that size, each against all texts.
@@ -26,22 +27,16 @@ from pyspark.sql import functions as F
 from siltstone.llm.frames import give_back, map_batches
 from siltstone.llm.textops import NOT_ALNUM, Words, mix, pieces, windows, words
 
-#: Kept places of each mask, in a window of `SPAN` words.
-SPAN = 12
-MASKS = (
-    (0, 1, 2, 3, 4, 5, 6, 7),
-    (0, 1, 2, 4, 7, 8, 10, 11),
-    (0, 1, 3, 5, 6, 9, 10, 11),
-    (0, 2, 3, 4, 6, 8, 9, 11),
-    (0, 1, 4, 5, 6, 7, 10, 11),
-)
+#: Kept places of each mask, and of those that only items of so many words need.
+MASKS = ((0, 1, 2, 3), (0, 1, 2, 4, 5))
+SHORT_MASKS = {5: ((0, 1, 2, 4), (0, 1, 3, 4), (0, 2, 3, 4)), 6: ((0, 1, 3, 4, 5),)}
 MIN_WORDS = 5
 #: A stretch counts with so many equal words (or that share of a shorter item) ...
 ENOUGH, SHARE = 13, 0.8
 #: ... and at least this share of equal words in it.
 ALIKE = 0.75
-#: Following a stretch ends when substitutions outweigh equal words by this much.
-DROP, COST = 6, 2
+#: Words laid side by side at a time.
+BESIDE = 1 << 21
 
 
 class Seeds:
@@ -55,12 +50,15 @@ class Seeds:
         self.ids, self.hash, self.first = ids, found.hash, found.first
         counts = found.counts
         owner = np.repeat(np.arange(len(counts)), counts)
-        self.short = sorted({int(n) for n in counts if MIN_WORDS <= n < SPAN})
+        self.need = np.minimum(ENOUGH, np.ceil(SHARE * counts)).astype(np.int64)
+        self.masks = [*MASKS, *(m for n, masks in SHORT_MASKS.items() if n in counts for m in masks)]
         seeds, places = [], []
-        for size, mask, fits in self.kinds(counts, owner):
-            h, at = windows(found, size, mask)
-            good = fits[at]
-            seeds.append(_named(h, size, mask)[good])
+        for mask in self.masks:
+            h, at = _seeds(found, mask)
+            lengths = [n for n, masks in SHORT_MASKS.items() if mask in masks]
+            size = counts[owner[at]]
+            good = np.isin(size, lengths) if lengths else size >= MIN_WORDS
+            seeds.append(h[good])
             places.append(at[good])
         seed, at = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((seeds, np.uint64), (places, np.int64)))
         order = np.argsort(seed, kind="stable")
@@ -69,21 +67,11 @@ class Seeds:
         self.bitmap = np.zeros(1 << self.BITS, dtype=bool)
         self.bitmap[self.seed >> np.uint64(64 - self.BITS)] = True
 
-    def kinds(self, counts: np.ndarray, owner: np.ndarray):
-        for mask in MASKS:
-            yield SPAN, mask, counts[owner] >= SPAN
-        for size in self.short:
-            yield size, None, counts[owner] == size
-
-    def masks(self) -> list[tuple[int, tuple[int, ...] | None]]:
-        return [(SPAN, m) for m in MASKS] + [(n, None) for n in self.short]
-
     def hits(self, found: Words) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of a text's and an item's word index where a seed is shared, one per diagonal at least."""
         here, there = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for size, mask in self.masks():
-            h, at = windows(found, size, mask)
-            h = _named(h, size, mask)
+        for mask in self.masks:
+            h, at = _seeds(found, mask)
             maybe = np.flatnonzero(self.bitmap[h >> np.uint64(64 - self.BITS)])
             low = np.searchsorted(self.seed, h[maybe], "left")
             many = np.searchsorted(self.seed, h[maybe], "right") - low
@@ -96,8 +84,9 @@ class Seeds:
         return np.concatenate(here), np.concatenate(there)
 
 
-def _named(h: np.ndarray, size: int, mask) -> np.ndarray:
-    return mix(h + np.uint64(hash((size, mask or ())) % 2**63))
+def _seeds(found: Words, mask: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    h, at = windows(found, mask[-1] + 1, mask)
+    return mix(h + np.uint64(hash(mask) % 2**63)), at
 
 
 def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -105,17 +94,16 @@ def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
 
 
-def _followed(same: np.ndarray) -> tuple[int, int]:
-    """Length and equal words of the best stretch from the start of `same`, given up after `DROP`."""
-    score = best = length = equal = seen = 0
-    for i, one in enumerate(same):
-        seen += one
-        score += 1 if one else -COST
-        if score > best:
-            best, length, equal = score, i + 1, seen
-        elif score < best - DROP:
-            break
-    return length, int(equal)
+def _best(same: np.ndarray) -> tuple[int, int, int]:
+    """Start, length and equal words of the stretch with most equal words among those alike enough."""
+    score = np.concatenate([[0], np.cumsum(np.where(same, 1 - ALIKE, -ALIKE))])
+    equal = np.concatenate([[0], np.cumsum(same)])
+    # The earliest start from which the score has not fallen.
+    start = np.searchsorted(-np.minimum.accumulate(score), -score, "left")
+    end = int(np.argmax(equal - equal[start]))
+    first = int(start[end])
+    first += int(np.argmax(same[first:]))
+    return first, end - first, int(equal[end] - equal[first])
 
 
 def _stretches(seeds: Seeds, found: Words) -> Iterator[tuple[int, int, int, int, int]]:
@@ -124,26 +112,32 @@ def _stretches(seeds: Seeds, found: Words) -> Iterator[tuple[int, int, int, int,
     if not len(here):
         return
     row = np.searchsorted(found.first, here, "right") - 1
-    item = seeds.owner[there]
-    order = np.lexsort((here, here - there, item, row))
+    item, lead = seeds.owner[there], here - there
+    order = np.lexsort((lead, item, row))
+    row, item, lead = row[order], item[order], lead[order]
+    fresh = np.ones(len(row), dtype=bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (lead[1:] != lead[:-1])
+    row, item, lead = row[fresh], item[fresh], lead[fresh]
+    begin = np.maximum(found.first[row], seeds.first[item] + lead)
+    size = np.minimum(found.first[row + 1], seeds.first[item + 1] + lead) - begin
+    ends = np.cumsum(size)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    last, until = None, -1
-    for k in order:
-        r, i, p, q = int(row[k]), int(item[k]), int(here[k]), int(there[k])
-        line = (r, i, p - q)
-        if line == last and p < until:
-            continue
-        back = min(p - found.first[r], q - seeds.first[i])
-        ahead = min(found.first[r + 1] - p, seeds.first[i + 1] - q)
-        fore, fore_equal = _followed(found.hash[p : p + ahead] == seeds.hash[q : q + ahead])
-        rear, rear_equal = _followed((found.hash[p - back : p] == seeds.hash[q - back : q])[::-1])
-        last, until = line, p + max(fore, 1)
-        length, equal = fore + rear, fore_equal + rear_equal
-        need = min(ENOUGH, int(np.ceil(SHARE * (seeds.first[i + 1] - seeds.first[i]))))
-        if equal >= need and equal >= ALIKE * length and equal > best.get((r, i), (0, 0, -1))[2]:
-            best[r, i] = (p - rear - int(found.first[r]), length, equal)
+    at = 0
+    while at < len(row):
+        base = ends[at] - size[at]
+        to = max(at + 1, int(np.searchsorted(ends, base + BESIDE, "right")))
+        starts = ends[at:to] - size[at:to] - base
+        text = np.arange(ends[to - 1] - base) + np.repeat(begin[at:to] - starts, size[at:to])
+        same = found.hash[text] == seeds.hash[text - np.repeat(lead[at:to], size[at:to])]
+        enough = np.add.reduceat(same, starts, dtype=np.int64) >= seeds.need[item[at:to]]
+        for k in np.flatnonzero(enough):
+            r, i = int(row[at + k]), int(item[at + k])
+            first, length, equal = _best(same[starts[k] : starts[k] + size[at + k]])
+            if equal >= seeds.need[i] and equal > best.get((r, i), (0, 0, -1))[2]:
+                best[r, i] = (int(begin[at + k] - found.first[r]) + first, length, equal)
+        at = to
     for (r, i), (start, length, equal) in sorted(best.items()):
-        yield r, i, int(start), int(length), int(equal)
+        yield r, i, start, length, equal
 
 
 def _blocks(benchmark: DataFrame, id: str, text: str, most_item_bytes: int) -> Iterator[Seeds]:

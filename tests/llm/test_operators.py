@@ -298,6 +298,46 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.overlaps(docs, bench.limit(0)).count() == 0
 
 
+def brute_overlap(text, item):
+    """Most equal words of a stretch without gaps that counts, by all diagonals, starts and ends; 0 if none."""
+    need, most = min(13, -(-4 * len(item) // 5)), 0
+    for lead in range(-len(item), len(text)):
+        same = [x == y for k, y in enumerate(item) if 0 <= k + lead < len(text) for x in [text[k + lead]]]
+        for a in range(len(same)):
+            equal = 0
+            for b in range(a, len(same)):
+                equal += same[b]
+                if equal >= need and 4 * equal >= 3 * (b + 1 - a):
+                    most = max(most, equal)
+    return most
+
+
+def test_every_stretch_that_counts_has_a_seed():
+    rng, pairs = np.random.default_rng(8), []
+    for n in [*range(5, 18)] * 12 + [20, 30] * 30:
+        item = words(n, int(rng.integers(10**6)))
+        share = rng.choice([0.1, 0.2, 0.25, 0.3])
+        pairs.append(([f"v{k}" if rng.random() < share else w for k, w in enumerate(item)], item))
+    for n in range(5, 13):  # all single and double substitutions
+        item = words(n, n)
+        pairs += [([f"v{k}" if k in (a, b) else w for k, w in enumerate(item)], item) for a in range(n) for b in range(a, n)]
+    for n in (30, 50, 200):  # every fourth word, at each phase
+        item = words(n, n)
+        pairs += [([f"v{k}" if k % 4 == phase else w for k, w in enumerate(item)], item) for phase in range(4)]
+    item = words(16, 3)
+    pairs += [(item[1:], item), (item[:13], item), (["pre", *item[2:], "post"], item), (words(5, 9)[1:], words(5, 9))]
+    counted = 0
+    for text, item in pairs:
+        seeds = decontaminate.Seeds([1], [" ".join(item)])
+        data, offsets = decontaminate._joined([" ".join(text)])
+        found = decontaminate.words(data, offsets, decontaminate.NOT_ALNUM)
+        got = [equal for *_, equal in decontaminate._stretches(seeds, found)]
+        want = brute_overlap(text, item) if len(item) <= 50 else len([x for x, y in zip(text, item, strict=True) if x == y])
+        assert got == ([want] if want else [])
+        counted += bool(want)
+    assert len(pairs) > 300 and 100 < counted < len(pairs)
+
+
 def test_licenses(spark, odd, none):
     rows = [
         ("/r/LICENSE", "Licensed under the Apache License, Version 2.0."), ("/r/a/x.txt", "plain words"),
