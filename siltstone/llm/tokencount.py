@@ -64,8 +64,8 @@ def proven_tokens(tokenizer) -> list[str]:
 class WordCounts(dict):
     """Token counts of words (folded, as UTF-8 bytes), learnt a piece of texts at a time."""
 
-    #: The tokenizer's own split, for ASCII words in lower case.
-    ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+    #: The tokenizer's own split, for ASCII words in lower case; U+001C to U+001F are no space to it.
+    ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+")
 
     def __init__(self, path: str, proven: frozenset[str]):
         super().__init__()

@@ -122,6 +122,16 @@ def test_token_counts(spark, odd, none):
     assert all(len(library.encode(s, add_special_tokens=False).ids) == 1 for s in tokencount.proven_tokens(library)[::500])
 
 
+def test_token_counts_of_every_ascii_character():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = tokencount.library(path)
+    counts = tokencount.WordCounts(path, frozenset(tokencount.proven_tokens(library)))
+    forms = ("{0}", "ab{0}cd", "{0}{0}", " {0} ", "x1{0}9", "'{0}s", "!{0}!", "a{0}\x1c{0}\x1fB")
+    texts = [f.format(chr(c)) for c in range(128) for f in forms]
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert tokencount.texts_tokens(counts, [t.encode() for t in texts]) == want
+
+
 def plain_best_fit(sizes, capacity):
     bins = []
     for s in sorted(sizes, reverse=True):
