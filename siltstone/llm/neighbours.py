@@ -16,6 +16,7 @@ rows of documents are rows like others; no rows give no rows; other columns are
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,7 +50,7 @@ _KIND = _kinds()
 
 
 def term_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """rows x TERMS counts, up to 65,535 each."""
+    """rows x TERMS counts."""
     n = len(offsets) - 1
     out = np.zeros((n, TERMS), dtype=np.float32)
     row = np.repeat(np.arange(n), np.diff(offsets))
@@ -79,7 +80,7 @@ def term_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
                   found.end - found.start > 15, _KIND[last] == 6, np.ones(len(owner), bool))
         for i, shape in enumerate(shapes):
             out[:, TRIGRAMS + KINDS + i] = np.bincount(owner[shape], minlength=n)
-    return np.minimum(out, 65_535)
+    return out
 
 
 def _weighted(counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
@@ -126,7 +127,8 @@ class Model:
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, to, data, offsets in pieces(batch.column(1), ROWS):
-            counts = [c.tobytes() for c in term_counts(data, offsets).astype("<u2")]
+            # Most counts are 0: packed, they take less than 16 bits each.
+            counts = [zlib.compress(c.tobytes(), 1) for c in term_counts(data, offsets).astype("<u4")]
             yield pa.record_batch(
                 [batch.column(0).slice(at, to - at), batch.column(2).slice(at, to - at), pa.array(counts, pa.binary())],
                 names=["doc_id", "label", "counts"],
@@ -148,7 +150,9 @@ def fit(
     if not taken.num_rows:
         none = np.zeros((0, 1), np.float32)
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), none, np.zeros(0), 0.5, neighbours, power)
-    counts = np.frombuffer(b"".join(x.as_buffer() for x in taken["counts"]), dtype="<u2").reshape(-1, TERMS)
+    counts = np.empty((taken.num_rows, TERMS), dtype="<u4")
+    for row, packed in zip(counts, taken["counts"], strict=True):
+        row[:] = np.frombuffer(zlib.decompress(packed.as_buffer()), dtype="<u4")
     y = taken["label"].to_numpy()
     del taken
     rarity = (np.log((1 + len(y)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)

@@ -412,3 +412,16 @@ def test_quality_classifier(spark, odd, none):
     good = neighbours.good_documents(docs, model)
     assert good.columns == docs.columns and {r["doc_id"] for r in good.collect()} == {i for i, s in score.items() if s >= 0.3}
     assert neighbours.score_quality(none, model).count() == 0
+
+
+def test_counts_of_very_long_texts(spark):
+    long = " ".join(["Capital"] * 20_000 + ["small"] * 180_000)
+    data = np.frombuffer(long.encode(), np.uint8)
+    counts = neighbours.term_counts(data, np.array([0, len(data)]))
+    assert counts[0, -1] == 200_000
+    weighted = neighbours._weighted(counts, np.ones(neighbours.TERMS, np.float32))
+    assert np.isclose(weighted[0, neighbours.TRIGRAMS + neighbours.KINDS + 2] ** 2, 0.1)
+    docs = frame(spark, [(0, long, "s"), *((i, " ".join(words(40, i)), "s") for i in range(1, 9))])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, label int")
+    model = neighbours.fit(docs, labels)
+    assert np.isclose(model.vectors @ model.project(counts)[0], 1, atol=1e-5).sum() == 1  # fitted from the same counts
