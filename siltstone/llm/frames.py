@@ -14,6 +14,10 @@ from siltstone.session import scratch_dir
 #: White space of the words `[^\x20\x09-\x0D]+`.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
+#: What lies between the words `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` of a text with A-Z as a-z.
+PLAIN_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -67,6 +71,12 @@ def word_count(text: str | Column = "text") -> Column:
     return F.regexp_count(text_or_empty(text), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def plain_words(text: str | Column = "text") -> Column:
+    """Runs of digits, letters and everything beyond ASCII, A-Z as a-z; NULL has none."""
+    lower = F.translate(text_or_empty(text), UPPER, LOWER)
+    return F.filter(F.split(lower, PLAIN_GAP), lambda w: w != "")
+
+
 def text_key(text: str | Column = "text") -> Column:
     """128 bits of two hashes and the length that stand for a text's equality."""
     t = text_or_empty(text)

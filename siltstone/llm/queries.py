@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import decontaminate, licenses, linerules, mixing, neardup, neighbours, secretscan, sharding, tokencount, tokenpack
+from siltstone.llm import decontaminate, imatch, licenses, linerules, merkle, mixing, neardup, neighbours, resample, secretscan, sharding, tokencount, tokenpack
 from siltstone.llm.frames import table
 
 
@@ -71,5 +71,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {q.__name__: q for q in (op1_secret_scans, op2_quality_classifier, op3_quality_rules, op4_sharding, op5_token_packing, op6_mixing, op7_minhash, op8_decontamination, op9_license_scans, op10_token_counts)}
-SQL: dict[str, str] = {"op1_secret_scans": secretscan.ORACLE, "op3_quality_rules": linerules.ORACLE}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seventh of the rows, by crc32 of the id, is checked with n_chars one too large."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.manifest_check(table(spark, sf_dir, "documents"), tampered)
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+QUERIES = {q.__name__: q for q in (op1_secret_scans, op2_quality_classifier, op3_quality_rules, op4_sharding, op5_token_packing, op6_mixing, op7_minhash, op8_decontamination, op9_license_scans, op10_token_counts, op11_merkle_manifest, op12_fingerprints, op13_resampling)}
+SQL: dict[str, str] = {"op1_secret_scans": secretscan.ORACLE, "op3_quality_rules": linerules.ORACLE, "op11_merkle_manifest": merkle.ORACLE, "op12_fingerprints": imatch.ORACLE, "op13_resampling": resample.ORACLE}
