@@ -10,8 +10,8 @@
    text has.
 
 The band bounds the lexicon whatever the number of documents: it has at most e**high times a text's
-mean number of distinct terms. So it is handed to the tasks as one array of hash buckets, counted
-against `LARGEST` before, and looking terms up needs neither join nor shuffle.
+mean number of distinct terms. So it is handed to the tasks as one constant array, counted against
+`LARGEST` before, and looking terms up needs neither join nor shuffle.
 
 Contract: NULL and empty texts have no terms and an empty fingerprint; a text without a term of the
 lexicon is told by the hash of all its terms alone; two empty fingerprints are alike; equal texts have
@@ -21,10 +21,10 @@ other columns are not carried and can't clash. Texts are told apart by 96 bits o
 
 from __future__ import annotations
 
-import json
 import math
 import zlib
 from collections.abc import Iterable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +34,10 @@ from siltstone.llm.oracles import plain_words_sql
 from siltstone.llm.ranking import numbered
 
 #: The band of ln(N / df), the number of random parts, and the exponents of their shares.
-BAND, SUBSETS, SHARES = (2.0, 7.0), 48, range(2, 10)
+BAND, SUBSETS, SHARES = (2.5, 6.2), 48, range(2, 10)
+LETTERS = (ascii_uppercase + ascii_lowercase)[: SUBSETS + 1]
 #: Terms that a lexicon may have; beyond, a narrower band has to be chosen.
-LARGEST = 2_000_000
+LARGEST = 500_000
 NONE = "--------"
 
 
@@ -49,16 +50,15 @@ def _draws(term: Column) -> Column:
     return F.concat(*(F.sha2(F.concat(F.lit(str(i)), term), 256) for i in range(3)))
 
 
-def _parts(term: Column, drawn: Column) -> Column:
-    """The term under the number of each part it is drawn into, such as `07:term`; part 0 has all terms.
+def _parts(drawn: Column) -> Column:
+    """The letters of the parts a term is drawn into; part A has all terms.
 
     Every other part takes 12 bits of the draws, as hex text, and its share of their values.
     """
     taken = [
-        F.when(F.substring(drawn, 3 * j + 1, 3) < f"{4096 >> SHARES[j % len(SHARES)]:03x}", f"{j + 1:02d}:")
-        for j in range(SUBSETS)
+        F.when(F.substring(drawn, 3 * j + 1, 3) < f"{4096 >> SHARES[j % len(SHARES)]:03x}", LETTERS[j + 1]) for j in range(SUBSETS)
     ]
-    return F.transform(F.array_compact(F.array(F.lit("00:"), *taken)), lambda part: F.concat(part, term))
+    return F.concat_ws("", F.lit(LETTERS[0]), *taken)
 
 
 def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
@@ -68,29 +68,37 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     terms = docs.select(F.explode(F.array_distinct(plain_words())).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     kept = terms.where((F.col("df") * F.lit(low) <= total) & (F.col("df") * F.lit(high) >= total))
     kept = kept.withColumn("drawn", _draws(F.col("term")))
-    return kept.select("term", "df", _parts(F.col("term"), F.col("drawn")).alias("parts"))
+    return kept.select("term", "df", _parts(F.col("drawn")).alias("parts"))
 
 
 def lookup(words: DataFrame) -> tuple[Column, int]:
-    """The lexicon as a constant array of hash buckets of its terms, and the number of buckets."""
+    """The lexicon as a constant array of hash buckets, such as `term:ACf,other:A`, and their number."""
     found = words.select("term", "parts").limit(LARGEST + 1).collect()
     if len(found) > LARGEST:
         raise ValueError(f"the lexicon has more than {LARGEST} terms; choose a narrower band")
-    buckets: list[list[dict]] = [[] for _ in range(1 << (2 * len(found) + 1).bit_length())]
+    buckets = [""] * (1 << len(found).bit_length())
     for term, parts in sorted(found):
-        buckets[zlib.crc32(term.encode()) % len(buckets)].append({"t": term, "p": parts})
-    table = json.dumps(buckets, ensure_ascii=False, separators=(",", ":"))
-    return F.from_json(F.lit(table), "array<array<struct<t:string,p:array<string>>>>"), len(buckets)
+        buckets[zlib.crc32(term.encode()) % len(buckets)] += f"{term}:{parts},"
+    # The plan shows the array wherever it is used, so it is used once and kept short.
+    return F.split(F.lit("\n".join(buckets)), "\n"), len(buckets)
 
 
-def parts_held(terms: Column, table: Column, buckets: int) -> Column:
-    """The entries `part:term` of all terms that are in the lexicon."""
+def _letters(term: Column, bucket: Column) -> Column:
+    """The parts of a term that the bucket may hold, else NULL."""
+    mark = F.concat(F.lit(","), term, F.lit(":"))
+    inside = F.concat(F.lit(","), bucket)
+    after = F.call_function("substring_index", inside, mark, F.lit(-1))
+    return F.when(F.instr(inside, mark) > 0, F.substring_index(after, ",", 1))
 
-    def found(term: Column) -> Column:
-        bucket = F.get(table, (F.crc32(term.cast("binary")) % buckets).cast("int"))
-        return F.get(F.filter(bucket, lambda entry: entry["t"] == term), F.lit(0))["p"]
 
-    return F.flatten(F.array_compact(F.transform(terms, found)))
+def parts_held(terms: Column | str, buckets: Column | str) -> Column:
+    """The entries `part:term` of all terms that are in the lexicon, given each one's bucket."""
+
+    def entries(term: Column, bucket: Column) -> Column:
+        letters = F.filter(F.split(_letters(term, bucket), ""), lambda part: part != "")
+        return F.when(F.instr(bucket, term) > 0, F.transform(letters, lambda part: F.concat(part, F.lit(":"), term)))
+
+    return F.flatten(F.array_compact(F.zip_with(terms, buckets, entries)))
 
 
 def _short(text: Column) -> Column:
@@ -99,9 +107,9 @@ def _short(text: Column) -> Column:
 
 def hashes(held: Column, terms: Column) -> Column:
     """Per part the hash of its sorted entries; without any, the hash of all terms stands for part 0."""
-    # A mark `07!` sorts before the entries `07:...`, and no term holds a `!`: one sort, one split.
-    marks = F.lit([f"{j:02d}!" for j in range(SUBSETS + 1)])
-    sorted_parts = F.split(F.array_join(F.sort_array(F.concat(marks, held)), " "), "[0-9][0-9]!")
+    # A mark `C!` sorts before the entries `C:...`, and no term holds a `!`: one sort, one split.
+    marks = F.lit([f"{part}!" for part in LETTERS])
+    sorted_parts = F.split(F.array_join(F.sort_array(F.concat(marks, held)), " "), "[A-Za-z]!")
     each = F.transform(F.slice(sorted_parts, 2, SUBSETS + 1), lambda p: F.when(F.trim(p) == "", NONE).otherwise(_short(F.trim(p))))
     everything = F.when(F.size(terms) == 0, NONE).otherwise(_short(F.concat(F.lit("* "), F.array_join(F.sort_array(terms), " "))))
     return F.when(F.size(held) == 0, F.concat(F.array(everything), F.array_repeat(F.lit(NONE), SUBSETS))).otherwise(each)
@@ -117,13 +125,18 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprints(rows: DataFrame, texts: Iterable[str], words: DataFrame) -> DataFrame:
     """`rows` with the array of hashes of each of the text columns, as `{column}_hashes`."""
-    table, buckets = lookup(words)
+    table, n_buckets = lookup(words)
     texts = list(texts)
-    terms, held = [f"_{c}_terms" for c in texts], [f"_{c}_held" for c in texts]
-    out = rows.withColumns({t: F.array_distinct(plain_words(c)) for c, t in zip(texts, terms)})
-    out = out.withColumns({h: parts_held(F.col(t), table, buckets) for t, h in zip(terms, held)})
-    out = out.withColumns({f"{c}_hashes": hashes(F.col(h), F.col(t)) for c, t, h in zip(texts, terms, held)})
-    return out.drop(*terms, *held)
+    rows = rows.withColumns({f"{c}_terms": F.array_distinct(plain_words(c)) for c in texts})
+    asked = F.concat(*(F.col(f"{c}_terms") for c in texts))
+    rows = rows.withColumn("_found", F.transform(asked, lambda t: F.get(table, (F.crc32(t.cast("binary")) % n_buckets).cast("int"))))
+    start = F.lit(1)
+    for c in texts:
+        many = F.size(f"{c}_terms")
+        rows = rows.withColumn(f"{c}_held", parts_held(F.col(f"{c}_terms"), F.slice("_found", start, many)))
+        start = start + many
+    rows = rows.withColumns({f"{c}_hashes": hashes(F.col(f"{c}_held"), F.col(f"{c}_terms")) for c in texts})
+    return rows.drop("_found", *(f"{c}_{x}" for c in texts for x in ("terms", "held")))
 
 
 KEY = ["has", "id", "a", "b", "c"]
@@ -209,7 +222,7 @@ with docs as (select doc_id, coalesce(text, '') as text, row_number() over (orde
     where df * {_LOW!r}::double <= (select count(*) from docs) and df * {_HIGH!r}::double >= (select count(*) from docs)),
   held as (select pos, side, list({{'t': term, 'p': parts}} order by term) terms from flat join lexicon using (term) group by pos, side),
   entries as (select pos, side, list_transform(range({SUBSETS + 1}), lambda j: array_to_string(list_transform(
-    list_filter(terms, lambda x: list_contains(x.p, j)), lambda x: printf('%02d:%s', j, x.t)), ' ')) e from held),
+    list_filter(terms, lambda x: list_contains(x.p, j)), lambda x: substr('{LETTERS}', j + 1, 1) || ':' || x.t), ' ')) e from held),
   prints as (select pos, side, case when e is not null then list_transform(e, lambda x: case when x = '' then '{NONE}' else substr(md5(x), 1, 8) end)
       else [case when len(terms) = 0 then '{NONE}' else substr(md5('* ' || array_to_string(terms, ' ')), 1, 8) end] || list_transform(range({SUBSETS}), lambda j: '{NONE}') end f
     from sides s left join entries using (pos, side))
