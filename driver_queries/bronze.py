@@ -161,6 +161,59 @@ def bronze_evolution_sparse(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def bronze_evolution_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole numbers, then fractions under a header in another order and with a column more, then fewer columns.
+
+    The last two come as one delivery, so that one batch holds files of both headers.
+    """
+    work = scratch_dir(spark, "bronze-evolution-csv")
+    events = table(spark, sf, "events")
+    spec = SourceSpec("landed", "events", format="csv", base_path=f"{work}/landing")
+    deliveries = [
+        [(0, ["event_id", "user_id", F.floor("value").alias("value")])],
+        [(1, ["value", "event_type", "event_id", "user_id"]), (2, ["user_id", "event_id"])],
+    ]
+    for delivery in deliveries:
+        for part, columns in delivery:
+            rows = events.filter(F.col("event_id") % 3 == part).select(*columns)
+            rows.write.mode("append").option("header", "true").csv(f"{work}/landing")
+        raw = _ingested(spark, spec, work)
+    return raw.select("event_id", "user_id", "value", "event_type")
+
+
+def bronze_evolution_parquet(spark: SparkSession, sf: str) -> DataFrame:
+    """int keys, then int and bigint beside each other, floats beside doubles, and at last text beside numbers."""
+    work = scratch_dir(spark, "bronze-evolution-parquet")
+    events = table(spark, sf, "events")
+    spec = SourceSpec("landed", "events", format="parquet", base_path=f"{work}/landing")
+    narrow, whole = F.col("event_id").cast("int").alias("event_id"), F.floor("value").cast("int").alias("value")
+    deliveries = [
+        [(0, [narrow, whole, F.col("user_id").cast("int").alias("user_id")])],
+        [(1, ["event_id", "value", "user_id", "event_type"]), (2, [narrow, "value", "user_id"])],
+        [(3, ["event_id", "value", F.concat(F.lit("u"), "user_id").alias("user_id")])],
+    ]
+    for delivery in deliveries:
+        for part, columns in delivery:
+            rows = events.filter(F.col("event_id") % 4 == part).select(*columns)
+            rows.write.mode("append").parquet(f"{work}/landing")
+        raw = _ingested(spark, spec, work)
+    return raw.select("event_id", "user_id", "value", "event_type")
+
+
+def bronze_evolution_race(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with a new column land after a run has looked at its folder and before it reads on."""
+    work = scratch_dir(spark, "bronze-evolution-race")
+    events = table(spark, sf, "events")
+    spec = SourceSpec("landed", "events", format="json", base_path=f"{work}/landing", batch_bytes=1)
+    first = events.filter("event_id % 2 = 0").select("event_id", "user_id")
+    first.repartition(2).write.json(f"{work}/landing")
+    query = ingest(spark, spec, f"{work}/bronze", f"{work}/state", tag=True, wait=False)
+    second = events.filter("event_id % 2 = 1").select("event_id", "user_id", "value")
+    second.write.mode("append").json(f"{work}/landing")
+    query.awaitTermination()
+    return _ingested(spark, spec, work).select("event_id", "user_id", "value")
+
+
 def unify_sources_stream(spark: SparkSession, sf: str) -> DataFrame:
     work = scratch_dir(spark, "unify")
     path, schema = fx.landing(spark, sf, "events"), table(spark, sf, "events").schema
@@ -217,7 +270,8 @@ QUERIES = {
     for f in (
         bronze_stream_parquet, bronze_stream_json, bronze_stream_csv, bronze_stream_orc, bronze_stream_xml,
         bronze_xlsx, bronze_stream_xlsx, bronze_rest_records, bronze_connector_stream,
-        bronze_schema_evolution, bronze_evolution_old_file, bronze_evolution_sparse, unify_sources_stream, silver_events_clean_stream, bronze_from_registry,
+        bronze_schema_evolution, bronze_evolution_old_file, bronze_evolution_sparse, bronze_evolution_csv, bronze_evolution_parquet,
+        bronze_evolution_race, unify_sources_stream, silver_events_clean_stream, bronze_from_registry,
     )
 }
 
@@ -240,6 +294,12 @@ SQL = {
       from events""",
     "bronze_evolution_sparse": """select event_id, user_id, case when event_id % 3 > 0 then event_type end event_type,
       case event_id % 3 when 0 then floor(value) when 2 then value end as value from events""",
+    "bronze_evolution_csv": """select event_id, user_id, case event_id % 3 when 0 then floor(value) when 1 then value end as value,
+      case when event_id % 3 = 1 then event_type end event_type from events""",
+    "bronze_evolution_parquet": """select event_id, case when event_id % 4 = 3 then 'u' else '' end || user_id user_id,
+      case when event_id % 4 = 0 then floor(value) else value end as value,
+      case when event_id % 4 = 1 then event_type end event_type from events""",
+    "bronze_evolution_race": """select event_id, user_id, case when event_id % 2 = 1 then value end as value from events""",
     "unify_sources_stream": UNIFY_SQL,
     "silver_events_clean_stream": "select event_id, user_id, event_type, ts from events",
     "bronze_from_registry": """select l_orderkey,

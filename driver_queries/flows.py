@@ -10,7 +10,7 @@ from driver_queries.fixtures import ORD, table
 from driver_queries.gold import rounded
 from siltstone.plans.run import FlowRun, run_flow
 from siltstone.session import scratch_dir
-from siltstone.specs import SourceSpec, bundled_flow, with_buckets
+from siltstone.specs import SourceSpec, bundled_flow, parse_flow, with_buckets
 
 
 def layered_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,6 +116,42 @@ def layered_carts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def unified_entity_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Three sources of one entity that come one run after another, as one stored table and one stream.
+
+    The second names the quantity otherwise and brings the price as text, the third lacks it. After the
+    last run the first source is no longer listed; what it brought stays.
+    """
+    work = scratch_dir(spark, "unified-entity")
+    lines = table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey").alias("cart_id"), "l_quantity",
+        "l_extendedprice", F.col("l_shipdate").cast("string").alias("updated_at"), (F.col("l_linenumber") % 3).alias("part"),
+    )
+    formats = [
+        ("parquet", {}, ["cart_id", F.col("l_quantity").cast("int").alias("quantity"), F.col("l_extendedprice").alias("total_amount"), "updated_at"]),
+        ("json", {"qty": "quantity"}, ["cart_id", F.col("l_quantity").cast("long").alias("qty"), F.col("l_extendedprice").cast("string").alias("total_amount"), "updated_at"]),
+        ("csv", {}, ["updated_at", F.col("l_quantity").alias("quantity"), "cart_id"]),
+    ]
+    flow = parse_flow({"flow": "entity", "tagged": True, "feeds": ["carts_raw"], "gold": {}, "silver": {"carts_clean": {
+        "from": "carts_raw", "upsert": {"keys": ["cart_id"], "latest": "updated_at", "buckets": 4},
+        "columns": {"cart_id": "string", "quantity": "int", "total_amount": "double", "updated_at": "timestamp", "_source": "string"},
+    }}})
+    sources: list[SourceSpec] = []
+    for part, (fmt, rename, columns) in enumerate(formats):
+        rows = lines.filter(F.col("part") == part).select(*columns)
+        rows.write.format(fmt).options(header="true").save(f"{work}/{fmt}")
+        sources.append(SourceSpec(f"volume_{fmt}", "carts_raw", format=fmt, base_path=f"{work}/{fmt}", rename=rename))
+        run = FlowRun(spark, flow, f"{work}/root", sources=sources[-2:])
+        run.bronze()
+        run.silver()
+    raw = run.bronze_table("carts_raw").groupBy("_source").agg(F.count(F.lit(1)).alias("raw_rows"))
+    clean = run.silver_table("carts_clean").groupBy("_source").agg(
+        F.count(F.lit(1)).alias("carts"), F.sum("quantity").alias("quantity"), F.round(F.sum("total_amount"), 2).alias("total_amount"),
+        F.max("updated_at").cast("timestamp_ntz").alias("updated_at"),
+    )
+    return raw.join(clean, "_source")
+
+
 def layered_kpi(spark: SparkSession, sf: str) -> DataFrame:
     work = scratch_dir(spark, "layered-kpi")
     land = f"{work}/landing"
@@ -150,7 +186,7 @@ def layered_telemetry(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (layered_orders, layered_carts, layered_kpi, layered_telemetry)
+    f.__name__: f for f in (layered_orders, layered_carts, unified_entity_stream, layered_kpi, layered_telemetry)
 }
 
 SQL = {
@@ -170,6 +206,15 @@ SQL = {
         case when sum(total_amount) >= 5000 then 'Platinum' when sum(total_amount) >= 2000 then 'Gold'
         when sum(total_amount) >= 500 then 'Silver' else 'Bronze' end customer_tier
       from c left join supplier on user_id = cast(s_suppkey as varchar) group by 1, 2, 3""",
+    "unified_entity_stream": """
+      with l as (select concat_ws('-', l_orderkey, l_linenumber, l_suppkey, l_partkey) cart_id, l_quantity, l_shipdate,
+          case when l_linenumber % 3 < 2 then l_extendedprice end price,
+          'volume_' || case l_linenumber % 3 when 0 then 'parquet' when 1 then 'json' else 'csv' end _source from lineitem),
+        c as (select * from (select *, row_number() over (partition by cart_id
+          order by l_shipdate desc, l_quantity desc, price desc) rn from l) x where rn = 1)
+      select _source, raw_rows, carts, quantity, total_amount, updated_at from
+        (select _source, count(*) raw_rows from l group by 1) r join (select _source, count(*) carts,
+          sum(cast(l_quantity as int)) quantity, round(sum(price), 2) total_amount, max(l_shipdate) updated_at from c group by 1) k using (_source)""",
     "layered_kpi": """select s_name technician_name, o_totalprice / 5000 kpi_score,
       o_orderstatus pressure_status, cast(o_orderdate as date) event_date,
       case when o_totalprice / 5000 >= 90 then 'Optimal' else 'Action Required' end operational_health

@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.specs import Expectation
 
@@ -64,27 +63,3 @@ def observe(
     observation = Observation(name)
     counters = [F.count_if(~passes(r)).alias(r.name) for r in rules]
     return df.observe(observation, F.count(F.lit(1)).alias("total"), *counters), observation
-
-
-#: Spark forgets all but the last hundred batches of a run; so many are kept, a few KB each.
-PROGRESS, BATCHES = "spark.sql.streaming.numRecentProgressUpdates", 1_000_000
-
-
-def observe_stream(df: DataFrame, rules: Sequence[Expectation], name: str) -> DataFrame:
-    """The same counters on a stream; they show up in each batch's `observedMetrics`."""
-    df.sparkSession.conf.set(PROGRESS, str(BATCHES))
-    counters = [F.count_if(~passes(r)).alias(r.name) for r in rules]
-    return df.observe(name, F.count(F.lit(1)).alias("total"), *counters)
-
-
-def stream_results(
-    query: StreamingQuery, rules: Sequence[Expectation], name: str
-) -> list[tuple[str, str, int, int]]:
-    """(rule, action, rows seen, rows failed) of a finished run, over all its batches."""
-    batches = {}
-    for progress in query.recentProgress:
-        counted = progress.observedMetrics.get(name)
-        if counted is not None:
-            batches[progress.batchId] = counted.asDict()
-    total = sum(b["total"] or 0 for b in batches.values())
-    return [(r.name, r.action, total, sum(b[r.name] or 0 for b in batches.values())) for r in rules]

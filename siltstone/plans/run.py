@@ -5,33 +5,42 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltstone import fs, versions
 from siltstone.operators.layout import replace_table
-from siltstone.operators.quality import stream_results
-from siltstone.operators.unify import empty, tag_source, unify
-from siltstone.plans.bronze import FILE_RULE, ingest, raw_rules
+from siltstone.operators.ledger import RuleLedger
+from siltstone.operators.unify import SOURCE, empty
+from siltstone.plans.bronze import FILE_RULE, ingest
 from siltstone.plans.gold import build_view
 from siltstone.plans.publish import publish
-from siltstone.plans.silver import keyed_table, read_silver, run_silver
-from siltstone.sources.readers import read_table
-from siltstone.specs import Expectation, FlowSpec, GoldSpec, SourceSpec, TableSpec
+from siltstone.plans.silver import follow_silver, keyed_table, read_silver
+from siltstone.sources.widening import as_type, wider
+from siltstone.specs import FlowSpec, GoldSpec, SourceSpec
+from siltstone.streaming.appended import AppendTable
 
-RULE_RESULTS = (
-    "run timestamp, layer string, table string, source string, rule string, action string, total long, failed long"
-)
+
+def _moved(rows: DataFrame, mine: Column, old: str, new: str) -> DataFrame:
+    """The column under its new name where `mine` holds, and under the old one elsewhere."""
+    value, kind = F.col(f"`{old}`"), rows.schema[old].dataType
+    if new not in rows.columns:
+        return rows.withColumns({new: F.when(mine, value), old: F.when(~mine, value)})
+    held = rows.schema[new].dataType
+    both = wider(held, kind)
+    moved = F.when(mine, as_type(old, kind, both)).otherwise(as_type(new, held, both))
+    return rows.withColumns({new: moved, old: F.when(~mine, value)})
 
 
 class FlowRun:
     """One flow in one root folder, its tables at `{root}/{layer}_{flow}/{table}`.
 
     `sources` lists where the feeds come from; by default each feed is one folder of that
-    name under `landing`. A feed may have any number of sources. Each has a raw table and
-    checkpoints of its own, so sources can come and go between runs. `batch_bytes` caps the
-    input of one batch; a run still takes in everything new, in as many batches as it needs.
+    name under `landing`. A feed may have any number of sources. Each has a checkpoint of its
+    own and a folder in the feed's raw table, so sources can come and go between runs while one
+    stream per typed table follows them all. `batch_bytes` caps the input of one batch; a run
+    still takes in everything new, in as many batches as it needs.
     """
 
     def __init__(
@@ -45,7 +54,7 @@ class FlowRun:
     ):
         self.spark, self.flow, self.root = spark, flow, root.rstrip("/")
         self.batch_bytes = batch_bytes
-        self.started = datetime.now(timezone.utc)
+        self.ledger = RuleLedger(spark, f"{self.root}/state_{flow.name}/rules", datetime.now(timezone.utc))
         self.sources = list(sources) if sources is not None else [
             SourceSpec(
                 source_id=feed, entity=feed, format=flow.format, base_path=f"{landing}/{feed}",
@@ -67,65 +76,50 @@ class FlowRun:
         """Take in the new files of every source."""
         rules = self.flow.feed_rules or (FILE_RULE,)
         for s in self.sources:
-            names = (s.entity, s.source_id)
-            query = ingest(self.spark, s, self.path("bronze", *names), self.state("bronze", *names), rules)
-            self._note(query, "bronze", s.entity, s, raw_rules(s, rules), s.source_id)
-
-    def _note(
-        self, query: StreamingQuery | None, layer: str, table: str, source: SourceSpec,
-        rules: Sequence[Expectation], observed: str,
-    ) -> None:
-        """Keep what the rules of a stream have counted. A crash before this loses a run's counts."""
-        results = stream_results(query, rules, observed) if query is not None and rules else []
-        rows = [(self.started, layer, table, source.source_id, *r) for r in results if r[2]]
-        if rows:
-            kept = self.spark.createDataFrame(rows, RULE_RESULTS).coalesce(1)
-            kept.write.mode("append").parquet(self.state("rules"))
+            state = self.state("bronze", s.entity, s.source_id)
+            ingest(self.spark, s, self.path("bronze", s.entity), state, rules, tag=True, ledger=self.ledger)
 
     def rule_results(self) -> DataFrame:
-        """One row per run, table, source and rule: rows seen and rows failed."""
-        if not fs.exists(self.spark, self.state("rules")):
-            return self.spark.createDataFrame([], RULE_RESULTS)
-        return self.spark.read.parquet(self.state("rules"))
-
-    def landed(self, feed: str) -> list[SourceSpec]:
-        """The feed's sources that have brought files so far."""
-        return [s for s in self.sources_of(feed) if fs.exists(self.spark, self.path("bronze", feed, s.source_id))]
+        """One row per run, table, source and rule: rows seen and rows failed.
 
-    def raw(self, source: SourceSpec, streaming: bool = False) -> DataFrame:
-        raw = read_table(self.spark, self.path("bronze", source.entity, source.source_id), streaming, self.batch_bytes)
-        for old, new in source.rename.items():
-            raw = raw.withColumnRenamed(old, new)
-        return tag_source(raw, source.source_id) if self.flow.tagged else raw
+        Typed tables read all sources as one stream; their source is `all`.
+        """
+        return self.ledger.results()
+
+    def raw_table(self, feed: str) -> AppendTable:
+        """The feed's raw rows, from all sources it has had."""
+        return AppendTable(self.spark, self.path("bronze", feed))
+
+    def _prepared(self, feed: str, rows: DataFrame) -> DataFrame:
+        """Raw rows with the names their sources give the columns, tagged if the flow is."""
+        sources = self.sources_of(feed)
+        for old in {old for s in sources for old in s.rename if old in rows.columns}:
+            renaming = [s for s in sources if old in s.rename]
+            for s in renaming:
+                rows = _moved(rows, F.col(SOURCE) == s.source_id, old, s.rename[old])
+            if len(renaming) == len(sources):
+                rows = rows.drop(old)
+        return rows if self.flow.tagged else rows.drop(SOURCE)
 
     def bronze_table(self, feed: str) -> DataFrame:
         """The raw rows of all sources of a feed."""
-        return unify([self.raw(s) for s in self.landed(feed)])
+        return self._prepared(feed, self.raw_table(feed).read())
 
     def silver(self) -> None:
-        """Bring every typed table up to date, source by source; the order does not matter."""
+        """Bring every typed table up to date, each as one stream over all sources of its feed."""
         for spec in self.flow.silver:
-            for s in self.landed(spec.source):
-                query = run_silver(
-                    self.raw(s, streaming=True),
-                    spec,
-                    self._silver_path(spec, s),
-                    self.state("silver", spec.name, s.source_id),
+            raw = self.raw_table(spec.source)
+            if raw.exists():
+                follow_silver(
+                    raw, spec, self.path("silver", spec.name), self.state("silver", spec.name), self.ledger,
+                    lambda rows, feed=spec.source: self._prepared(feed, rows), self.batch_bytes,
                 )
-                self._note(query, "silver", spec.name, s, spec.expectations, spec.name)
-
-    def _silver_path(self, spec: TableSpec, source: SourceSpec) -> str:
-        path = self.path("silver", spec.name)
-        return path if spec.cdc else f"{path}/{source.source_id}"
 
     def silver_table(self, name: str) -> DataFrame:
         spec = self.flow.table(name)
-        landed = self.landed(spec.source)
-        if not landed:
+        if not self.raw_table(spec.source).exists():
             return empty(self.spark, StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in spec.columns.items())))
-        if spec.cdc:
-            return read_silver(self.spark, spec, self.path("silver", name))
-        return unify([read_silver(self.spark, spec, self._silver_path(spec, s)) for s in landed])
+        return read_silver(self.spark, spec, self.path("silver", name))
 
     def view(self, spec: GoldSpec) -> DataFrame:
         secondary = self.silver_table(spec.secondary) if spec.secondary else None
@@ -152,7 +146,7 @@ class FlowRun:
         for name in self.flow.compact:
             spec, target = self.flow.table(name), self.path("arranged", name)
             mark, now = f"{target}/arranged_from", None
-            if not self.landed(spec.source):
+            if not self.raw_table(spec.source).exists():
                 continue
             if spec.cdc:
                 now = str(keyed_table(self.spark, spec, self.path("silver", name)).version())

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.operators.cdc import scd1
-from siltstone.operators.quality import drop_failing, observe_stream
+from siltstone.operators.ledger import RuleLedger
+from siltstone.operators.quality import drop_failing
 from siltstone.operators.typing import cast_columns, project
+from siltstone.operators.unify import empty
 from siltstone.specs import TableSpec
+from siltstone.streaming.appended import AppendTable
 from siltstone.streaming.keyed import KeyedTable, scd1_stream
 from siltstone.streaming.runner import run_available_now
 
@@ -46,10 +52,7 @@ def build_silver(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def run_silver(stream: DataFrame, spec: TableSpec, path: str, checkpoint: str):
     """The streaming form: bring the table at `path` up to date with the stream."""
-    checked = _declared(stream, spec)
-    if spec.expectations:
-        checked = observe_stream(checked, spec.expectations, spec.name)
-    rows = drop_failing(checked, spec.expectations)
+    rows = typed(stream, spec)
     if spec.cdc is None:
         return run_available_now(rows, path, checkpoint, partition_by=spec.layout.partition_by)
     cdc = spec.cdc
@@ -60,6 +63,40 @@ def run_silver(stream: DataFrame, spec: TableSpec, path: str, checkpoint: str):
     return query
 
 
+def follow_silver(
+    raw: AppendTable,
+    spec: TableSpec,
+    path: str,
+    checkpoint: str,
+    ledger: RuleLedger,
+    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    batch_bytes: int | None = None,
+) -> StreamingQuery:
+    """Bring the table at `path` up to date with all sources of its raw table, as one stream.
+
+    `prepare` is what happens to raw rows before they are typed. The rules are counted while each
+    batch is stored. A keyed table takes a batch as upserts; others append it, ordered by the
+    declared layout.
+    """
+    spark = raw.spark
+    _declared(prepare(empty(spark, raw.schema())), spec)  # a lack of keys is told before the stream starts
+    order = (spec.layout.partition_by,) if spec.layout.partition_by else (spec.layout.cluster_by or spec.layout.zorder_by)
+
+    def ordered(rows: DataFrame) -> DataFrame:
+        return rows.sortWithinPartitions(*(F.col(f"`{c}`") for c in order))
+
+    def apply(rows: DataFrame, stream: str, batch: int) -> None:
+        def write(checked: DataFrame) -> bool:
+            kept = drop_failing(checked, spec.expectations)
+            if spec.cdc:
+                return keyed_table(spark, spec, path).apply(kept, batch, stream)
+            return AppendTable(spark, path).append(kept, "all", stream, batch, ordered if order else None)
+
+        ledger.counting(_declared(prepare(rows), spec), spec.expectations, write, "silver", spec.name, "all", stream, batch)
+
+    return raw.follow(apply, checkpoint, batch_bytes)
+
+
 def keyed_table(spark: SparkSession, spec: TableSpec, path: str) -> KeyedTable:
     cdc = spec.cdc
     return KeyedTable(
@@ -68,7 +105,7 @@ def keyed_table(spark: SparkSession, spec: TableSpec, path: str) -> KeyedTable:
 
 
 def read_silver(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
-    return spark.read.parquet(path) if spec.cdc is None else keyed_table(spark, spec, path).current()
+    return AppendTable(spark, path).read() if spec.cdc is None else keyed_table(spark, spec, path).current()
 
 
 def cleanse_telemetry(df: DataFrame, key: str = "pump_id", stamp: bool = True) -> DataFrame:

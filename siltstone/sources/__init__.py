@@ -11,11 +11,11 @@ from siltstone.sources.registry import (
     with_defaults,
     with_table_names,
 )
-from siltstone.sources.schemas import evolve_schema
+from siltstone.sources.schemas import merge_schemas
 from siltstone.sources.xlsx import read_xlsx
 
 __all__ = [
-    "REGISTRY_SCHEMA", "active_sources", "create_registry", "discover_sources", "evolve_schema",
+    "REGISTRY_SCHEMA", "active_sources", "create_registry", "discover_sources", "merge_schemas",
     "list_registry", "read_records", "read_source", "read_table", "read_xlsx", "register",
     "source_schema", "specs_of", "with_defaults", "with_table_names",
 ]

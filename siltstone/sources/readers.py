@@ -1,8 +1,8 @@
 """One entry point for every source: files of any format, tables and landed records.
 
 Each reader serves batch and streaming. A stream needs its schema up front: the declared
-one, else one inferred from the files that are there at the start (see `schemas.py` for a
-schema that grows between runs).
+one, else one inferred from the files that are there at the start (see `arrivals.py` for
+streams that find the schema of each batch).
 """
 
 from __future__ import annotations
@@ -22,12 +22,12 @@ ATTRIBUTE = "@"  # no XML name can hold it, so an attribute never collides with
 CORRUPT = "_corrupt_record"
 
 
-def _rescue(spec: SourceSpec) -> str | None:
+def rescue_column(spec: SourceSpec) -> str | None:
     return spec.rescue if spec.format in ("json", "csv") else None
 
 
 def file_options(spec: SourceSpec) -> dict[str, str]:
-    rescue = {"columnNameOfCorruptRecord": _rescue(spec)} if _rescue(spec) else {}
+    rescue = {"columnNameOfCorruptRecord": rescue_column(spec)} if rescue_column(spec) else {}
     if spec.format == "csv":
         # Columns are matched by position; a file whose header disagrees fails the job
         # instead of filling the wrong columns.
@@ -71,9 +71,9 @@ def source_schema(spark: SparkSession, spec: SourceSpec, files: list[str] | None
     reader = spark.read.format(spec.format).options(**file_options(spec), **infer_options(spec), **options)
     if files and not any(c in spec.base_path for c in "*?{["):
         reader = reader.option("basePath", spec.base_path)
-    found = _checked(spec, lambda: reader.load(files or spec.base_path)).schema
-    if _rescue(spec):
-        found = StructType([f for f in found.fields if f.name != _rescue(spec)])
+    found = checked(spec, lambda: reader.load(files or spec.base_path)).schema
+    if rescue_column(spec):
+        found = StructType([f for f in found.fields if f.name != rescue_column(spec)])
     if spec.format == "csv":
         wide = {f.name: LongType() if f.dataType == IntegerType() else f.dataType for f in found.fields}
         return StructType([StructField(n, t) for n, t in wide.items()])
@@ -83,7 +83,7 @@ def source_schema(spark: SparkSession, spec: SourceSpec, files: list[str] | None
     return StructType([StructField(n, StringType()) for n in dict.fromkeys(names)])
 
 
-def _checked(spec: SourceSpec, load):
+def checked(spec: SourceSpec, load):
     try:
         return load()
     except AnalysisException as error:
@@ -97,16 +97,16 @@ def _checked(spec: SourceSpec, load):
 
 def _read_files(spark: SparkSession, spec: SourceSpec, streaming: bool, schema: StructType | None) -> DataFrame:
     options = file_options(spec)
-    if schema is None and not streaming and spec.format != "csv" and not _rescue(spec):
+    if schema is None and not streaming and spec.format != "csv" and not rescue_column(spec):
         reader = spark.read.format(spec.format).options(**options, **infer_options(spec))
     else:
         entry = spark.readStream if streaming else spark.read
         limit = _limit(spec.batch_bytes) if streaming else {}
         found = schema or source_schema(spark, spec)
-        if _rescue(spec):
-            found = StructType([*found.fields, StructField(_rescue(spec), StringType())])
+        if rescue_column(spec):
+            found = StructType([*found.fields, StructField(rescue_column(spec), StringType())])
         reader = entry.format(spec.format).options(**options, **limit).schema(found)
-    return _checked(spec, lambda: reader.load(spec.base_path))
+    return checked(spec, lambda: reader.load(spec.base_path))
 
 
 def _read_xml(spark: SparkSession, spec: SourceSpec, streaming: bool, schema: StructType | None) -> DataFrame:
@@ -129,14 +129,16 @@ def _read_xml(spark: SparkSession, spec: SourceSpec, streaming: bool, schema: St
     )
 
 
-def read_raw_xml(spark: SparkSession, spec: SourceSpec, streaming: bool, names: list[str]) -> DataFrame:
+def read_raw_xml(
+    spark: SparkSession, spec: SourceSpec, streaming: bool, names: list[str], paths: list[str] | None = None
+) -> DataFrame:
     text = [StructField(n, StringType()) for name in names for n in (name, ATTRIBUTE + name)]
     entry = spark.readStream if streaming else spark.read
     return (
         entry.format("xml")
         .options(**file_options(spec), **(_limit(spec.batch_bytes) if streaming else {}))
         .schema(StructType([*text, StructField(CORRUPT, StringType())]))
-        .load(spec.base_path)
+        .load(paths or spec.base_path)
     )
 
 
@@ -159,21 +161,28 @@ def _read_xlsx(spark: SparkSession, spec: SourceSpec, streaming: bool, schema: S
 READERS = {**dict.fromkeys(FILE_FORMATS, _read_files), "xml": _read_xml, "xlsx": _read_xlsx}
 
 
-def _limit(batch_bytes: int | None) -> dict[str, str]:
-    """Options of a file stream: every unseen file is read, however old its time stamp is.
+#: Spark by default passes over files a week older than the newest one without a word.
+EVERY_AGE = {"maxFileAge": "36500d"}
 
-    Spark by default passes over files a week older than the newest one without a word.
-    """
-    age = {"maxFileAge": "36500d"}
-    return age | {"maxBytesPerTrigger": str(batch_bytes)} if batch_bytes else age
+
+def _limit(batch_bytes: int | None) -> dict[str, str]:
+    """Options of a file stream: every unseen file is read, however old its time stamp is."""
+    return EVERY_AGE | {"maxBytesPerTrigger": str(batch_bytes)} if batch_bytes else EVERY_AGE
 
 
 def read_table(
     spark: SparkSession, name: str, streaming: bool = False, batch_bytes: int | None = None
 ) -> DataFrame:
-    """A catalog table, or a table folder when the name holds a slash."""
+    """A catalog table, or a table folder when the name holds a slash.
+
+    A table that batches were appended to has its schema stored; of other folders every footer is read.
+    """
     if "/" not in name:
         return spark.readStream.options(**_limit(batch_bytes)).table(name) if streaming else spark.read.table(name)
+    from siltstone.streaming.appended import AppendTable  # which reads what has arrived, by way of this module
+
+    if (held := AppendTable(spark, name)).exists():
+        return held.as_stream(batch_bytes) if streaming else held.read()
     stored = spark.read.option("mergeSchema", "true").parquet(name)
     if not streaming:
         return stored

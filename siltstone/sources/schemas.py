@@ -1,16 +1,9 @@
-"""A schema that grows by the columns new files bring, kept between runs."""
+"""Schemas that may gain columns but whose types must hold: for feeds with `on_type_change="fail"`."""
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import Row, SparkSession
 from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
-from siltstone import fs
-from siltstone.sources.readers import source_schema
-from siltstone.specs import SourceSpec
-
 # A column of the first type also holds values of the second.
 WIDER = {("double", "bigint"), ("double", "int"), ("bigint", "int"), ("timestamp", "date")}
 
@@ -43,37 +36,3 @@ def merge_schemas(
         for f in held.fields
     ]
     return StructType(merged + [f for f in found.fields if f.name not in held.names])
-
-
-def evolve_schema(spark: SparkSession, spec: SourceSpec, store: str) -> StructType | None:
-    """The stored schema, widened by the files not yet inspected, and stored again.
-
-    Files are told apart by path, as the stream does, so an old time stamp hides none. The
-    paths are listed and compared as a table beside `store`; only those of new files reach the
-    driver, as they do in the stream. None while the folder holds no file.
-    """
-    if spec.schema is not None:
-        return spec.schema
-    seen = f"{store}.files"
-    held = StructType.fromJson(json.loads(fs.read_text(spark, store))["schema"]) if fs.exists(spark, store) else None
-    new: list[Row] = []
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(spec.base_path).select("path")
-    if held is None or not fs.exists(spark, seen):
-        # Listed before they are inspected: what arrives in between is inspected again later.
-        files.write.mode("overwrite").parquet(seen)
-        if spark.read.schema(files.schema).parquet(seen).isEmpty():
-            return held
-        found = source_schema(spark, spec)
-    else:
-        new = files.join(spark.read.schema(files.schema).parquet(seen), "path", "left_anti").collect()
-        if not new:
-            return held
-        # A column of only NULLs says nothing of its type; JSON inference would call it text.
-        sparse = {"dropFieldIfAllNull": "true"} if spec.format == "json" else {}
-        found = source_schema(spark, spec, [r["path"] for r in new], **sparse)
-    text_format = spec.format in ("json", "csv")
-    schema = merge_schemas(held, found, text_format, bool(spec.rescue)) if held else found
-    fs.write_text(spark, store, json.dumps({"schema": schema.jsonValue()}), overwrite=True)
-    if new:
-        spark.createDataFrame(new, files.schema).coalesce(1).write.mode("append").parquet(seen)
-    return schema

@@ -70,6 +70,11 @@ class SourceSpec:
     batch_bytes: int | None = None  # cap of one batch of a stream
     rescue: str | None = None  # JSON and CSV: column for the text of records that do not fit the schema
     rename: dict[str, str] = field(default_factory=dict)
+    on_type_change: str = "widen"  # or "fail": a column whose type changes stops the feed
+
+    def __post_init__(self):
+        if self.on_type_change not in ("widen", "fail"):
+            raise ValueError(f"{self.source_id}: on_type_change must be 'widen' or 'fail'")
 
 
 @dataclass(frozen=True)

@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 from siltstone import fs
 from siltstone.operators.cdc import latest_per_key
 from siltstone.operators.unify import empty
-from siltstone.streaming.runner import run_batches
+from siltstone.streaming.runner import run_batches, stream_id
 
 BUCKET = "_bucket"
 
@@ -71,11 +71,11 @@ class KeyedTable:
     def _bucket_of(self):
         return F.pmod(F.xxhash64(*(F.col(f"`{k}`") for k in self.keys)), F.lit(self.buckets)).cast("int")
 
-    def apply(self, changes: DataFrame, batch: int, stream: str = "") -> None:
-        """Upsert one batch of a stream: any number of rows per key, in any order."""
+    def apply(self, changes: DataFrame, batch: int, stream: str = "") -> bool:
+        """Upsert one batch of a stream: any number of rows per key, in any order. False if it was applied before."""
         state = self._manifest()
         if batch <= state["batches"].get(stream, -1):
-            return
+            return False
         version = state["version"] + 1
         staged = f"{self.path}/staged/{version:012d}"
         target = f"{self.path}/data/{version:012d}"
@@ -87,7 +87,7 @@ class KeyedTable:
         touched = sorted(str(r[BUCKET]) for r in rows.select(BUCKET).distinct().collect())
         if state["schema"] is not None and not touched:
             fs.delete(self.spark, staged)
-            return
+            return True
         if any(b in state["folders"] for b in touched):
             held = self._read(state, touched).withColumn(BUCKET, self._bucket_of())
             both = rows.unionByName(held, allowMissingColumns=True).repartition(self.buckets, BUCKET)
@@ -107,6 +107,7 @@ class KeyedTable:
         }
         fs.write_text(self.spark, f"{self.path}/manifest/{version:012d}.json", json.dumps(manifest))
         fs.delete(self.spark, staged)
+        return True
 
     def expire(self, retain_hours: float = 168) -> int:
         """Delete superseded states published more than `retain_hours` ago; returns how many.
@@ -128,11 +129,6 @@ class KeyedTable:
         return len(old)
 
 
-def _stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id Spark gave the checkpoint; a new checkpoint counts its batches from 0 again."""
-    return json.loads(fs.read_text(spark, f"{checkpoint}/metadata"))["id"]
-
-
 def scd1_stream(
     stream: DataFrame,
     path: str,
@@ -153,33 +149,6 @@ def scd1_stream(
     table = KeyedTable(spark, path, tuple(keys), sequence_by, tuple(tie), buckets, tuple(sort_by))
 
     def apply(changes: DataFrame, batch: int) -> None:
-        table.apply(changes, batch, _stream_id(spark, checkpoint))
+        table.apply(changes, batch, stream_id(spark, checkpoint))
 
     return table, run_batches(stream, apply, checkpoint, wait=wait)
-
-
-UPDATED_BY, UPDATED_IN = "_stream", "_batch"
-
-
-def keep_updates(
-    stream: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    checkpoint: str,
-    buckets: int = 64,
-    wait: bool = True,
-) -> tuple[KeyedTable, StreamingQuery]:
-    """Store a streaming aggregate as a table of its latest results.
-
-    In `update` mode each batch hands over the groups it changed; the newest batch of the
-    newest checkpoint wins, as a new one counts its batches from 0 again.
-    """
-    spark = stream.sparkSession
-    table = KeyedTable(spark, path, tuple(keys), UPDATED_BY, (UPDATED_IN,), buckets)
-
-    def apply(updates: DataFrame, batch: int) -> None:
-        began = fs.modified_ms(spark, f"{checkpoint}/metadata")
-        stamped = updates.withColumns({UPDATED_BY: F.lit(began).cast("long"), UPDATED_IN: F.lit(batch).cast("long")})
-        table.apply(stamped, batch, _stream_id(spark, checkpoint))
-
-    return table, run_batches(stream, apply, checkpoint, mode="update", wait=wait)

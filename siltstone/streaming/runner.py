@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from siltstone import fs
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the checkpoint; a new checkpoint counts its batches from 0 again."""
+    return json.loads(fs.read_text(spark, f"{checkpoint}/metadata"))["id"]
+
 
 def run_available_now(
     stream: DataFrame,

@@ -5,6 +5,7 @@ import os
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.plans.bronze import ingest
@@ -12,7 +13,7 @@ from siltstone.plans.run import FlowRun, run_flow
 from siltstone.sources.readers import read_source, read_table
 from siltstone.sources.schemas import merge_schemas
 from siltstone.specs import SourceSpec, parse_flow
-from siltstone.streaming.keyed import keep_updates
+from siltstone.streaming.windowtable import keep_windows
 
 FLOW = {
     "flow": "small",
@@ -105,6 +106,7 @@ def test_a_new_checkpoint_wins(spark, work):
     for attempt, value in enumerate((500, 2)):
         for n in range(2):
             put(f"{work}/in{attempt}", f"{n}.json", [{"k": "a", "v": value}])
-            sums = spark.readStream.schema(schema).json(f"{work}/in{attempt}").groupBy("k").sum("v")
-            table, _ = keep_updates(sums, f"{work}/t", ["k"], f"{work}/cp{attempt}", 2)
+            rows_in = spark.readStream.schema(schema).json(f"{work}/in{attempt}")
+            sums = rows_in.groupBy("k", F.lit("2026-01-01").alias("window_start")).sum("v")
+            table, _ = keep_windows(sums, f"{work}/t", ["k"], f"{work}/cp{attempt}")
     assert rows(table.current().select("k", "sum(v)")) == [("a", 4)]

@@ -5,6 +5,7 @@ import zipfile
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import types as T
 
 from driver_queries.workbooks import workbook
@@ -182,7 +183,7 @@ def test_xlsx_folder(spark, tmp_path):
 
 
 def test_schema_grows_and_conflicts_fail(spark, tmp_path, work):
-    spec = SourceSpec("s", "e", base_path=str(tmp_path / "in"))
+    spec = SourceSpec("s", "e", base_path=str(tmp_path / "in"), on_type_change="fail")
     put(tmp_path / "in", "1.json", '{"id": 1, "v": 2}\n')
     ingest(spark, spec, f"{work}/b", f"{work}/s")
     put(tmp_path / "in", "2.json", '{"id": 2, "w": {"x": 1}}\n')
@@ -191,7 +192,7 @@ def test_schema_grows_and_conflicts_fail(spark, tmp_path, work):
     got = read_table(spark, f"{work}/b").select("id", "v", "w.x")
     assert rows(got) == [(1, 2, None), (2, None, 1)]
     put(tmp_path / "in", "3.json", '{"id": "three"}\n')
-    with pytest.raises(ValueError, match="id"):
+    with pytest.raises(StreamingQueryException, match="column id was bigint"):
         ingest(spark, spec, f"{work}/b", f"{work}/s")
 
 

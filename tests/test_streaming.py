@@ -4,8 +4,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from siltstone.plans.silver import cleanse_telemetry
-from siltstone.streaming.keyed import keep_updates
 from siltstone.streaming.windows import pump_hourly
+from siltstone.streaming.windowtable import keep_windows
 
 SCHEMA = "pump_id string, timestamp timestamp, sensor_001 double, sensor_002 double"
 
@@ -29,8 +29,8 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     for number, batch in enumerate(batches):
         (tmp_path / "in" / f"{number}.json").write_text("\n".join(batch))
         stream = spark.readStream.schema(SCHEMA).json(str(tmp_path / "in"))
-        table, query = keep_updates(
-            windows(stream), str(tmp_path / "t"), ["pump_id", "window_start", "window_end"], str(tmp_path / "cp"), 2
+        table, query = keep_windows(
+            windows(stream), str(tmp_path / "t"), ["pump_id", "window_start", "window_end"], str(tmp_path / "cp")
         )
         dropped += sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
     got = table.current().select(F.hour("window_start"), "avg_sensor_01_val", "max_sensor_02_val")
