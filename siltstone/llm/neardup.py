@@ -1,17 +1,19 @@
 """Near-duplicate groups by MinHash bands, sequential Bayesian verification and exact sets.
 
 1. Every text becomes its set of word shingles and a signature; equal sets are one class.
-2. Classes that share a band meet in a bucket; all are paired with the bucket's least class.
+2. Classes that share a band meet in a bucket; all are paired with the bucket's hub. Hubs are drawn
+   by a hash of class and bucket, so a class meets other partners in each of its buckets.
 3. A pair's signatures are compared a batch at a time. As soon as the posterior probability that
    the similarity reaches the threshold falls under `miss`, the pair is dropped.
 4. Survivors are verified on their full sets; links are joined to components.
-5. In buckets whose members are still in different components, each member is also paired with
-   its most similar one of another component, verified as before.
+5. Buckets whose members are still in different components draw another hub, and members of other
+   components than the hub's are paired with it, verified as before.
 6. Buckets that are open even then are compared wholly, so that no link is lost to the choice of
-   partners. Pairs that cross components are verified on the spot, the likeliest first, and those
-   that earlier ones have connected are passed over.
-   Both steps work in blocks of `BLOCK` members: a block pair is one bounded piece of work, and
-   what leaves it grows with the members, not with their pairs.
+   partners. Members of the component that is commonest in the bucket need no comparison with each
+   other: they are dealt out in blocks once, and the few other members meet each block. Pairs that
+   cross components are verified on the spot, the likeliest first, and those that earlier ones have
+   connected are passed over. What leaves a block grows with its members, not with their pairs.
+   A block has at most `BLOCK` members and about `BLOCK_SHINGLES` shingles, or one longer text.
 
 With 28 bands of 4 rows a pair of similarity 0.8 meets with probability 1 - 4e-7.
 
@@ -28,14 +30,14 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import components
 from siltstone.llm.frames import map_batches, stored
 from siltstone.llm.textops import mix, pieces, windows, words
 
-BANDS, ROWS, BATCH, BLOCK = 28, 4, 16, 1024
+BANDS, ROWS, BATCH, BLOCK, BLOCK_SHINGLES = 28, 4, 16, 1024, 1 << 20
 SIZE = BANDS * ROWS
 _random = np.random.default_rng(90210)
 _A = _random.integers(1, 2**63, SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -211,18 +213,6 @@ class _Block:
         a, b = self.node[x], self.node[y]
         return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    def nearest(self) -> pa.RecordBatch:
-        """Every member with its likeliest partner."""
-        order = np.argsort(self.matches, kind="stable")
-        best = np.full(len(self.rows), -1)
-        best[self.x[order]] = self.y[order]
-        at = dict(zip(self.x[order].tolist(), self.matches[order].tolist(), strict=True))
-        for x, y, m in zip(self.x[order].tolist(), self.y[order].tolist(), self.matches[order].tolist(), strict=True):
-            if m >= at.get(y, -1):
-                best[y], at[y] = x, m
-        some = np.flatnonzero(best >= 0)
-        return self.pairs(some, best[some])
-
     def links(self, percent: int) -> pa.RecordBatch:
         """Links that join roots not yet joined here. A pair is taken in the first band it shares."""
         band = self.rows[0]["band"]
@@ -246,6 +236,10 @@ class _Block:
         return self.pairs(x[kept], y[kept]) if kept else self.pairs(x[:0], y[:0])
 
 
+#: One bounded piece of work: a bucket's block `i` against block `j`, or against itself.
+UNIT = ("bucket", "i", "j")
+
+
 def _blocks(least: list[int], result):
     """`result` of each block of rows sorted by (bucket, i, j)."""
 
@@ -253,7 +247,7 @@ def _blocks(least: list[int], result):
         held: list[dict] = []
         for batch in batches:
             for row in batch.to_pylist():
-                if held and any(row[k] != held[0][k] for k in ("bucket", "i", "j")):
+                if held and any(row[k] != held[0][k] for k in UNIT):
                     yield result(_Block(held, least))
                     held = []
                 held.append(row)
@@ -264,29 +258,59 @@ def _blocks(least: list[int], result):
 
 
 def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of buckets that hold several components, dealt to pairs of blocks.
+    """bucket, band, node, root of members of buckets that hold several components."""
+    found = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ends = found.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return found.join(ends.where("low != high").select("bucket"), "bucket").select("bucket", "band", "node", "root", "n_shingles")
+
+
+def _hubs(rows: DataFrame, *more: Column) -> DataFrame:
+    """One member of each bucket, drawn by a hash."""
+    return rows.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", "bucket", *more)).alias("hub"))
 
-    The hub was compared with all others, so it and buckets of nothing else are left out.
-    """
-    found = members.where("node != hub").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rest = found.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
-    open_ = rest.where("low != high").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).select("bucket", "blocks")
-    rows = found.join(open_, "bucket")
-    own = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return rows.select(
-        "bucket",
-        "band",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"),
-        "node",
-        "root",
-    )
+
+def _star_pairs(rows: DataFrame, hubs: DataFrame) -> DataFrame:
+    met = rows.join(hubs, "bucket").where("node != hub")
+    return met.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+
+
+def _again(rows: DataFrame) -> DataFrame:
+    """Pairs of open members with another hub of another component."""
+    drawn = F.min_by(F.struct("node", "root"), F.xxhash64("node", "bucket", F.lit(1))).alias("hub")
+    hubs = rows.groupBy("bucket").agg(drawn).select("bucket", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root"))
+    apart = rows.join(hubs, "bucket").where("root != hub_root")
+    return apart.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
+    """Open members with the units of work they take part in.
+
+    A bucket's commonest component is dealt into blocks with numbers from 0 on, which meet those of
+    all other members, numbered from -1 down; these also meet each other. So a member of the
+    commonest component is repeated once per block of the others, and these once per block of all.
+    """
+    sizes = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+    common = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all_n"), F.sum("s").alias("all_s"))
+    common = common.join(sizes.select("bucket", F.col("root").alias("top_root"), F.col("s").alias("top_s")),
+                         (common["bucket"] == sizes["bucket"]) & (F.col("top.root") == F.col("top_root"))).drop(sizes["bucket"])
+
+    def blocks(n: Column, s: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(s / BLOCK_SHINGLES)).cast("int")
+
+    plan = common.select(
+        "bucket", "top_root", blocks(F.col("top.n"), F.col("top_s")).alias("many"),
+        blocks(F.col("all_n") - F.col("top.n"), F.col("all_s") - F.col("top_s")).alias("few"),
+    )
+    rows = rows.join(plan, "bucket").withColumn("major", F.col("root") == F.col("top_root"))
+    h = F.xxhash64("node", "bucket")
+    own = F.when(F.col("major"), F.pmod(h, F.col("many"))).otherwise(-1 - F.pmod(h, F.col("few"))).cast("int")
+    others = F.sequence(-F.col("few"), F.lit(-1))
+    others = F.when(F.col("major"), others).otherwise(F.concat(others, F.sequence(F.lit(0), F.col("many") - 1)))
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(others))
+    return rows.select(
+        "bucket", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "root",
+    )
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -306,30 +330,29 @@ def near_duplicates(
     least = least_matches(percent / 100, miss)
     rows = stored(_signed(docs, size, id, text), "signatures")
     full = rows.where("node is not null")
-    classes = full.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("sig").alias("sig"))
+    classes = full.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
     classes = stored(
-        classes.select("node", "least_id", F.col("one.doc_id").alias("first_id"), F.col("one.text_key").alias("text_key"), "sig"),
+        classes.select("node", "least_id", F.col("one.doc_id").alias("first_id"), F.col("one.text_key").alias("text_key"), "sig", "n_shingles"),
         "classes",
     )
     sigs = classes.select("node", "sig")
     banded = map_batches(sigs, _banded, "node long, band int, bucket long")
-    hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub != most")
-    members = stored(banded.join(hubs.select("bucket", "hub"), "bucket"), "buckets")
+    shared = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
+    members = banded.join(shared.select("bucket"), "bucket").join(classes.select("node", "n_shingles"), "node")
+    members = stored(members, "buckets")
     met = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "first_id", "text_key")
     sets = stored(_sets(docs, met, size, id, text).dropDuplicates(["node"]), "shingle-sets")
 
-    pairs = members.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    signed = pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
-    signed = signed.join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
-    survivors = map_batches(signed.select("a", "b", "sig_a", "sig_b"), _compared(least), "a long, b long")
-    links = stored(_linked(survivors, sets, percent), "links")
-
-    roots = components(links)
-    near = _dealt(_open(members, roots).join(sigs, "node"))
-    near = map_batches(near, _blocks(least, _Block.nearest), "a long, b long").distinct()
-    roots = _joined(roots, stored(_linked(near, sets, percent), "links"))
+    def linked(pairs: DataFrame) -> DataFrame:
+        signed = pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
+        signed = signed.join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
+        survivors = map_batches(signed.select("a", "b", "sig_a", "sig_b"), _compared(least), "a long, b long")
+        return stored(_linked(survivors, sets, percent), "links")
 
-    rest = _dealt(_open(members, roots).join(sigs, "node").join(sets, "node"))
+    roots = components(linked(_star_pairs(members, _hubs(members))))
+    roots = _joined(roots, linked(_again(_open(members, roots))))
+    rest = _dealt(_open(members, roots)).join(sigs, "node").join(sets, "node")
+    rest = rest.repartition(*UNIT).sortWithinPartitions(*UNIT, "node")
     rest = map_batches(rest, _blocks(least, lambda block: block.links(percent)), "a long, b long")
     roots = _joined(roots, stored(rest, "links"))
     grouped = classes.select("node", "least_id").join(roots, "node", "left")
