@@ -3,14 +3,14 @@
 A text found in several sources belongs to all of them; the set of those sources is its
 membership pattern. Each (pattern, source) cell can give up to `repeats` times its words to the
 source's quota, and the k-th use of a pattern's words costs more than the one before (convex).
-As the cost sits on the pattern's side alone, the least-cost flow is found level by level: open
-one more use of every pattern's words, route as much as the quotas still take, and go on.
+As the cost sits on the pattern's side alone, the least-cost flow is the one that uses the patterns
+as evenly as the cells and quotas allow; `fairflow` finds it without a limit on patterns or uses.
 
-Only per-cell and per-source sums reach the driver; cells are bounded by `MAX_PATTERNS` (see there)
-times the sources of a pattern. A cell's flow is `whole` copies of all its rows and one copy
+Only sums reach the driver: a row of three numbers per source set that occurs and source in it.
+A cell's flow is `whole` copies of all its rows and one copy
 more of a seeded part of them: rows are ordered by a seeded hash, in hash buckets whose sums are
-added up first, so no task orders a whole source. What the small cells miss by rounding, each
-source's largest cell makes good; the few words then left are filled by `TOP_UPS` single rows, each
+added up first, so no task orders a whole source. Whether a small cell's last row counts
+is drawn, so that cells of few rows are right on the whole; what they miss even so, each source's largest cell makes good; the few words then left are filled by `TOP_UPS` single rows, each
 the largest that still fits.
 
 Contract: a NULL text has no words; NULL is a source of its own, last; sources without words have
@@ -20,21 +20,18 @@ the input are carried by `mixed_documents` only and can't clash.
 
 from __future__ import annotations
 
-from collections import deque
-
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.llm.fairflow import even_flow
 from siltstone.llm.frames import stored, text_key, text_or_empty, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUCKETS = 256
 #: Rows a source's mix is topped up by, one at a time.
 TOP_UPS = 3
-#: Patterns that the flow tells apart. Beyond, the rows of patterns with the fewest words count as
-#: unshared: they stay in the mix and fill their own source's quota, at a repetition cost that may
-#: be a little above the least one.
-MAX_PATTERNS = 20_000
 
 
 def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = WEIGHTS, most: float = 3.0) -> dict:
@@ -59,106 +56,50 @@ def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = WE
 def route(
     cells: dict[tuple, int], quota: dict[object, float], repeats: int = 3, once: dict[object, int] | None = None
 ) -> dict:
-    """Words each (pattern, source) cell gives.
+    """Words each (pattern, source) cell gives, see `fairflow`.
 
-    `cells` has the words of the cells' rows, `once` those of a pattern's texts taken once. The
-    k-th use of a pattern is level k (the 64th level opens all the rest). Within a level the flow
-    is a maximum flow by breadth-first augmentation, and later levels may reroute earlier ones.
+    `cells` has the words of the cells' rows, `once` those of a pattern's texts taken once (by
+    default those of its smallest cell).
     """
-    by_pattern: dict[str, list] = {}
-    for (p, s), words in cells.items():
-        if words:
-            by_pattern.setdefault(p, []).append(s)
-    least = {p: min(cells[p, s] for s in sources) for p, sources in by_pattern.items()}
-    once = {p: max(1, (once or least).get(p, least[p])) for p in by_pattern}
-    by_source: dict[object, list[str]] = {}
-    for p, sources in by_pattern.items():
-        for s in sources:
-            by_source.setdefault(s, []).append(p)
-    flow = {(p, s): 0.0 for p, sources in by_pattern.items() for s in sources}
-    open_quota = dict(quota)
-    room = {k: float(repeats * cells[k]) for k in flow}
-    levels = max((sum(-(-repeats * cells[p, s] // once[p]) for s in by_pattern[p]) for p in once), default=0)
-    shared = [p for p in once if len(by_pattern[p]) > 1]
-    used = dict.fromkeys(once, 0.0)
-    for level in range(1, min(levels, 64) + 1):
-        last = level == min(levels, 64)
-        supply = {p: (sum(room[p, s] for s in by_pattern[p]) if last else float(once[p] * level)) - used[p] for p in once}
-        for p in (p for p in once if len(by_pattern[p]) == 1):  # nowhere else to go
-            s = by_pattern[p][0]
-            give = min(supply[p], room[p, s] - flow[p, s], open_quota[s])
-            if give > 0:
-                flow[p, s] += give
-                used[p] += give
-                supply[p] -= give
-                open_quota[s] -= give
-        dead: set = set()  # sources from which no open quota can be reached within this level
-        for p in shared:
-            while supply[p] > 0.5:
-                path = _augment(p, by_pattern, by_source, flow, room, open_quota, dead)
-                if path is None:
-                    break
-                give = min(
-                    supply[p],
-                    open_quota[path[-1][1]],
-                    *(room[k] - flow[k] for k in path[0::2]),
-                    *(flow[k] for k in path[1::2]),
-                )
-                for i, k in enumerate(path):
-                    flow[k] += give if i % 2 == 0 else -give
-                supply[p] -= give
-                used[p] += give
-                open_quota[path[-1][1]] -= give
-        if all(q <= 0.5 for q in open_quota.values()):
-            break
-    return flow
-
-
-def _augment(start, by_pattern, by_source, flow, room, open_quota, dead):
-    """Cells of a shortest path from a pattern to a source with open quota; every second one gives back."""
-    came: dict = {("p", start): None}
-    queue = deque([start])
-    while queue:
-        p = queue.popleft()
-        for s in by_pattern[p]:
-            if s in dead or ("s", s) in came or room[p, s] - flow[p, s] <= 0.5:
-                continue
-            came["s", s] = (p, s)
-            if open_quota[s] > 0.5:
-                path, at = [], ("s", s)
-                while came[at] is not None:
-                    path.append(came[at])
-                    at = ("p", came[at][0]) if at[0] == "s" else ("s", came[at][1])
-                return path[::-1]
-            for q in by_source[s]:
-                if len(by_pattern[q]) > 1 and ("p", q) not in came and flow[q, s] > 0.5:
-                    came["p", q] = (q, s)
-                    queue.append(q)
-    dead.update(at for kind, at in came if kind == "s")
-    return None
-
-
-def _seeded(rows: DataFrame, cells: DataFrame) -> DataFrame:
-    """Rows with `copies`: `whole` for all of a cell, one more for its first `part` words by seeded hash."""
-    bucketed = rows.join(F.broadcast(cells), "cell").withColumn("bucket", F.pmod(F.shiftright("order", 20), F.lit(BUCKETS)))
+    keys = list(cells)
+    patterns = {p: i for i, p in enumerate(dict.fromkeys(p for p, _ in keys))}
+    sources = {s: i for i, s in enumerate(quota)}
+    least: dict = {}
+    for (p, _), words in cells.items():
+        least[p] = min(words, least.get(p, words)) if words else least.get(p, 1)
+    flow = even_flow(
+        np.array([patterns[p] for p, _ in keys], np.int64), np.array([sources[s] for _, s in keys], np.int64),
+        repeats * np.array([cells[k] for k in keys], float), np.array([(once or {}).get(p, least[p]) for p in patterns], float),
+        np.array([quota[s] for s in sources], float),
+    )
+    return dict(zip(keys, flow.tolist()))
+
+
+def _seeded(rows: DataFrame, cells: DataFrame, share: Column) -> DataFrame:
+    """Rows with `copies`: `whole` for all of a cell, one more for its first `part` words by seeded hash.
+
+    The row that `part` ends in counts if at least `share` of its words lie before that end.
+    """
+    bucketed = rows.join(cells, "cell").withColumn("bucket", F.pmod(F.shiftright("order", 20), F.lit(BUCKETS)))
     sums = bucketed.groupBy("cell", "bucket").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("cell").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("cell", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
     within = Window.partitionBy("cell", "bucket").orderBy("order", "doc_id", "size")
     running = F.coalesce(F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     summed = bucketed.withColumn("running", running).join(starts, ["cell", "bucket"])
-    more = F.col("start") + F.col("running") + F.col("size") <= F.col("part")
+    more = F.col("start") + F.col("running") + F.col("size") * share <= F.col("part")
     return summed.withColumn("copies", F.col("whole") + more.cast("int"))
 
 
-def _cell_plan(spark, wanted: dict[tuple[int, int], float], words: dict[tuple[int, int], int], repeats: int) -> DataFrame:
-    """cell (pattern code, source code), whole copies and the words of one copy more."""
-    plan = []
-    for key, take in wanted.items():
-        whole = min(repeats, int(take // words[key])) if words[key] else 0
-        part = take - whole * words[key] if whole < repeats else -1.0
-        plan.append((key, whole, float(part)))
-    return spark.createDataFrame(plan, "cell struct<pattern:long,source:int>, whole int, part double")
+def _cell_plan(spark, cells: dict[str, np.ndarray], wanted: np.ndarray, repeats: int, which: np.ndarray) -> DataFrame:
+    """cell, whole copies and the words of one copy more, of the cells `which`."""
+    words = np.maximum(cells["words"], 1)
+    whole = np.where(cells["words"] > 0, np.minimum(repeats, wanted // words), 0).astype(np.int32)
+    part = np.where(whole < repeats, wanted - whole * cells["words"], -1.0)
+    plan = pa.table({"pattern": cells["pattern"][which], "source": cells["source"][which].astype(np.int32),
+                     "whole": whole[which], "part": part[which].astype(float)})
+    frame = spark.createDataFrame(plan)
+    return frame.select(F.struct("pattern", "source").alias("cell"), "whole", "part")
 
 
 def mix_documents(
@@ -196,11 +137,7 @@ def mix_documents(
         members.select("key", "size", F.when(F.col("low") == F.col("high"), own).otherwise(several).alias("pattern")),
         "mix-members",
     )
-    patterns = members.groupBy("pattern").agg(F.sum("size").alias("once"))
-    told = patterns.where("pattern >= 0").orderBy(F.desc("once"), "pattern").limit(MAX_PATTERNS)
-    once = {r["pattern"]: r["once"] for r in told.union(patterns.where("pattern < 0")).collect()}
-    kept = spark.createDataFrame([(p,) for p in once if p >= 0], "pattern long")
-    shared = members.where("pattern >= 0").join(F.broadcast(kept), "pattern").select("key", "pattern")
+    shared = members.where("pattern >= 0").select("key", "pattern")
     celled = stored(
         coded.join(shared, "key", "left").select(
             "doc_id",
@@ -216,21 +153,28 @@ def mix_documents(
         ),
         "mix-cells",
     )
-    sums = celled.groupBy("cell").agg(F.sum("size").alias("words")).collect()
-    cells = {(r["cell"]["pattern"], r["cell"]["source"]): r["words"] for r in sums}
-    flow = route(cells, {code[s]: q for s, q in quota.items()}, repeats, once)
-    wanted = {k: flow.get(k, 0.0) for k in cells}
-    largest: dict[int, tuple[int, int]] = {}
-    for k in sorted(cells):
-        if k[1] not in largest or cells[k] > cells[largest[k[1]]]:
-            largest[k[1]] = k
-    main = set(largest.values())
-    small = _seeded(celled, _cell_plan(spark, {k: v for k, v in wanted.items() if k not in main}, cells, repeats))
-    small = stored(small, "mix-small") if len(main) < len(cells) else small
+    # One row of numbers per pattern and source, the only thing that the flow needs.
+    sums = celled.groupBy("cell").agg(F.sum("size").alias("words")).select("cell.pattern", "cell.source", "words")
+    cells = {c: v.to_numpy() for c, v in zip(sums.columns, sums.orderBy("pattern", "source").toArrow().columns)}
+    once = members.groupBy("pattern").agg(F.sum("size").alias("once")).toArrow()
+    known, number = np.unique(cells["pattern"], return_inverse=True)
+    words_once = np.ones(len(known))
+    words_once[np.searchsorted(known, once["pattern"].to_numpy())] = once["once"].to_numpy()
+    limits = np.array([quota[s] for s in names], float)
+    wanted = even_flow(number, cells["source"].astype(np.int64), repeats * cells["words"].astype(float), words_once, limits)
+    # Each source's largest cell, the least pattern among equals, makes good what the others miss.
+    order = np.lexsort((cells["pattern"], -cells["words"], cells["source"]))
+    main = np.zeros(len(order), bool)
+    main[order[np.unique(cells["source"][order], return_index=True)[1]]] = True
+    # Drawn per cell, so that many cells of few rows give what they should on the whole.
+    drawn = (F.pmod(F.xxhash64("cell.pattern", "cell.source", F.lit(seed)), F.lit(1 << 20)) + 1) / float(1 << 20)
+    small = _seeded(celled, _cell_plan(spark, cells, wanted, repeats, ~main), drawn)
+    small = stored(small, "mix-small")
     got = small.groupBy(F.col("cell.source").alias("s")).agg(F.sum(F.col("copies") * F.col("size")).alias("w")).collect()
     taken = {r["s"]: r["w"] for r in got}
-    rest = {k: min(max(0.0, quota[names[s]] - taken.get(s, 0)), float(repeats * cells[k])) for s, k in largest.items()}
-    large = _seeded(celled, _cell_plan(spark, rest, cells, repeats))
+    missing = np.array([max(0.0, quota[s] - taken.get(i, 0)) for i, s in enumerate(names)])
+    rest = np.minimum(missing[cells["source"]], repeats * cells["words"].astype(float))
+    large = _seeded(celled, _cell_plan(spark, cells, rest, repeats, main), F.lit(1.0))
     columns = ["doc_id", "source", "size", "source_size", "target", "copies", "key", F.col("cell.source").alias("code"), "order"]
     mixed = stored(small.select(*columns).unionByName(large.select(*columns)), "mix-taken")
     picked = _top_ups(mixed, {code[s]: q for s, q in quota.items()}, repeats)
