@@ -128,7 +128,7 @@ def _signed(docs: DataFrame, size: int, id: str, text: str) -> DataFrame:
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node, band and its bucket for each band of each signature."""
+    """node, band, its bucket and n_shingles for each band of each signature."""
     seeds = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
     for batch in batches:
         sigs = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint32).reshape(-1, BANDS, ROWS)
@@ -138,7 +138,9 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node = np.repeat(batch.column(0).to_numpy(), BANDS)
         band = np.tile(np.arange(BANDS, dtype=np.int32), len(sigs))
         bucket = key.reshape(-1).view(np.int64)
-        yield pa.record_batch([pa.array(node), pa.array(band), pa.array(bucket)], names=["node", "band", "bucket"])
+        many = np.repeat(batch.column(2).to_numpy(), BANDS)
+        columns = [pa.array(node), pa.array(band), pa.array(bucket), pa.array(many)]
+        yield pa.record_batch(columns, names=["node", "band", "bucket", "n_shingles"])
 
 
 def _compared(least: list[int]):
@@ -201,11 +203,15 @@ class _Block:
             x, y = (g.ravel() for g in np.meshgrid(np.flatnonzero(side == 0), np.flatnonzero(side == 1)))
         apart = self.root[x] != self.root[y]
         x, y = x[apart], y[apart]
-        hits, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        band, none = rows[0]["band"], np.zeros(0, np.int64)
+        hits, found = [none], [none]
         for at in range(0, len(x), 8192):
-            hit, matches = surviving(self.sigs[x[at : at + 8192]], self.sigs[y[at : at + 8192]], least)
-            hits.append(at + hit)
-            found.append(matches)
+            u, v = self.sigs[x[at : at + 8192]], self.sigs[y[at : at + 8192]]
+            hit, matches = surviving(u, v, least)
+            # A pair is taken in the first band it shares.
+            early = (u[hit, : band * ROWS] == v[hit, : band * ROWS]).reshape(len(hit), band, ROWS).all(axis=2).any(axis=1)
+            hits.append(at + hit[~early])
+            found.append(matches[~early])
         hit, self.matches = np.concatenate(hits), np.concatenate(found)
         self.x, self.y = x[hit], y[hit]
 
@@ -214,11 +220,8 @@ class _Block:
         return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def links(self, percent: int) -> pa.RecordBatch:
-        """Links that join roots not yet joined here. A pair is taken in the first band it shares."""
-        band = self.rows[0]["band"]
-        early = (self.sigs[self.x, : band * ROWS] == self.sigs[self.y, : band * ROWS]).reshape(len(self.x), band, ROWS)
-        mine = ~early.all(axis=2).any(axis=1)
-        x, y, matches = self.x[mine], self.y[mine], self.matches[mine]
+        """Links that join roots not yet joined here."""
+        x, y, matches = self.x, self.y, self.matches
         sets = [np.frombuffer(r["set"], np.uint64) for r in self.rows]
         up: dict[int, int] = {}
 
@@ -258,27 +261,26 @@ def _blocks(least: list[int], result):
 
 
 def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """bucket, band, node, root of members of buckets that hold several components."""
-    found = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    """Members, with their roots by now, of buckets that hold several components."""
+    found = members.select("bucket", "band", "node", "n_shingles").join(roots, "node", "left")
+    found = found.withColumn("root", F.coalesce("root", "node"))
     ends = found.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return found.join(ends.where("low != high").select("bucket"), "bucket").select("bucket", "band", "node", "root", "n_shingles")
+    return found.join(ends.where("low != high").select("bucket"), "bucket")
 
 
-def _hubs(rows: DataFrame, *more: Column) -> DataFrame:
-    """One member of each bucket, drawn by a hash."""
-    return rows.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", "bucket", *more)).alias("hub"))
+def _hubs(rows: DataFrame, seed: int) -> DataFrame:
+    """bucket, hub and its root: one member of each bucket, drawn by a hash."""
+    drawn = F.min_by(F.struct("node", "root"), F.xxhash64("node", "bucket", F.lit(seed))).alias("hub")
+    return rows.groupBy("bucket").agg(drawn).select("bucket", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root"))
 
 
-def _star_pairs(rows: DataFrame, hubs: DataFrame) -> DataFrame:
-    met = rows.join(hubs, "bucket").where("node != hub")
-    return met.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+def _met(rows: DataFrame, hubs: DataFrame) -> DataFrame:
+    """All members but the hub, which has met every other component's once its pairs are compared."""
+    return rows.join(hubs, "bucket").where("node != hub")
 
 
-def _again(rows: DataFrame) -> DataFrame:
-    """Pairs of open members with another hub of another component."""
-    drawn = F.min_by(F.struct("node", "root"), F.xxhash64("node", "bucket", F.lit(1))).alias("hub")
-    hubs = rows.groupBy("bucket").agg(drawn).select("bucket", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root"))
-    apart = rows.join(hubs, "bucket").where("root != hub_root")
+def _pairs(met: DataFrame) -> DataFrame:
+    apart = met.where("root != hub_root")
     return apart.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
 
 
@@ -336,10 +338,9 @@ def near_duplicates(
         "classes",
     )
     sigs = classes.select("node", "sig")
-    banded = map_batches(sigs, _banded, "node long, band int, bucket long")
+    banded = map_batches(classes.select("node", "sig", "n_shingles"), _banded, "node long, band int, bucket long, n_shingles long")
     shared = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
-    members = banded.join(shared.select("bucket"), "bucket").join(classes.select("node", "n_shingles"), "node")
-    members = stored(members, "buckets")
+    members = stored(banded.join(shared.select("bucket"), "bucket").withColumn("root", F.col("node")), "buckets")
     met = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "first_id", "text_key")
     sets = stored(_sets(docs, met, size, id, text).dropDuplicates(["node"]), "shingle-sets")
 
@@ -349,9 +350,12 @@ def near_duplicates(
         survivors = map_batches(signed.select("a", "b", "sig_a", "sig_b"), _compared(least), "a long, b long")
         return stored(_linked(survivors, sets, percent), "links")
 
-    roots = components(linked(_star_pairs(members, _hubs(members))))
-    roots = _joined(roots, linked(_again(_open(members, roots))))
-    rest = _dealt(_open(members, roots)).join(sigs, "node").join(sets, "node")
+    first = _met(members, _hubs(members, 0))
+    roots = components(linked(_pairs(first)))
+    open_ = stored(_open(first, roots), "open-buckets")
+    second = _met(open_, _hubs(open_, 1))
+    roots = _joined(roots, linked(_pairs(second)))
+    rest = _dealt(_open(second, roots)).join(sigs, "node").join(sets, "node")
     rest = rest.repartition(*UNIT).sortWithinPartitions(*UNIT, "node")
     rest = map_batches(rest, _blocks(least, lambda block: block.links(percent)), "a long, b long")
     roots = _joined(roots, stored(rest, "links"))
