@@ -104,6 +104,24 @@ def bronze_rest_records(spark: SparkSession, sf: str) -> DataFrame:
     return read_records(spark, f"{work}/landing", "users", lines=True)
 
 
+def bronze_rest_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Response documents in three runs; later ones bring fields, other types and a page without records."""
+    work = scratch_dir(spark, "bronze-rest-runs")
+    customers = table(spark, sf, "customer")
+    spec = SourceSpec("api", "users", "rest_api", base_path=f"{work}/landing", response_key="users", lines=True)
+    fields = [
+        [F.col("c_custkey").alias("id"), F.col("c_name").alias("name")],
+        [F.col("c_custkey").alias("id"), F.struct("c_nationkey", "c_mktsegment").alias("address")],
+        [F.concat(F.lit("c"), "c_custkey").alias("id"), F.col("c_acctbal").alias("name")],
+    ]
+    for part, columns in enumerate(fields):
+        page = F.to_json(F.struct(F.array(F.struct(*columns)).alias("users")))
+        pages = customers.where(F.col("c_custkey") % 3 == part).select(page.alias("value"))
+        pages.union(spark.range(1).select(F.lit('{"total": 0}'))).write.mode("append").text(f"{work}/landing")
+        raw = _ingested(spark, spec, work)
+    return raw.select("id", "name", "address", "_source")
+
+
 def bronze_connector_stream(spark: SparkSession, sf: str) -> DataFrame:
     """A catalog table as the source of a stream."""
     work = scratch_dir(spark, "bronze-connector")
@@ -269,7 +287,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         bronze_stream_parquet, bronze_stream_json, bronze_stream_csv, bronze_stream_orc, bronze_stream_xml,
-        bronze_xlsx, bronze_stream_xlsx, bronze_rest_records, bronze_connector_stream,
+        bronze_xlsx, bronze_stream_xlsx, bronze_rest_records, bronze_rest_incremental, bronze_connector_stream,
         bronze_schema_evolution, bronze_evolution_old_file, bronze_evolution_sparse, bronze_evolution_csv, bronze_evolution_parquet,
         bronze_evolution_race, unify_sources_stream, silver_events_clean_stream, bronze_from_registry,
     )
@@ -287,6 +305,10 @@ SQL = {
       '{"c_nationkey":' || c_nationkey || ',"c_mktsegment":"' || c_mktsegment || '"}' address,
       case when c_acctbal > 0 then cast(c_acctbal as varchar) end balance
       from customer, (values ('buyer'), ('payer')) r(role)""",
+    "bronze_rest_incremental": """select case when c_custkey % 3 = 2 then 'c' else '' end || c_custkey id,
+      case c_custkey % 3 when 0 then c_name when 2 then cast(c_acctbal as varchar) end as name,
+      case when c_custkey % 3 = 1 then '{"c_nationkey":' || c_nationkey || ',"c_mktsegment":"' || c_mktsegment || '"}' end address,
+      'api' _source from customer""",
     "bronze_connector_stream": "select *, 'lakeflow_s3' _source from orders",
     "bronze_schema_evolution": """select event_id, user_id, case when event_id % 2 = 1 then value end as value,
       case when event_id % 2 = 1 then event_type end event_type, 'landed' _source from events""",

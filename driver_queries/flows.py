@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driver_queries import fixtures as fx
-from driver_queries.fixtures import ORD, table
+from driver_queries.fixtures import CART, ORD, table
 from driver_queries.gold import rounded
+from siltstone.operators.joins import Measure
+from siltstone.operators.sketches import MergedSummary, standard_error
 from siltstone.plans.run import FlowRun, run_flow
 from siltstone.session import scratch_dir
 from siltstone.specs import SourceSpec, bundled_flow, parse_flow, with_buckets
+from siltstone.streaming.appended import AppendTable
 
 
-def layered_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """JSON change records of orders, customers and products up to the daily revenue.
-
-    Each order arrives twice, first at a tenth of its price and a day earlier: the upsert
-    has to keep the later record, also where the earlier one is delivered last.
-    """
-    work = scratch_dir(spark, "layered-orders")
-    land = f"{work}/landing"
+def _landed_orders(spark: SparkSession, sf: str, land: str) -> Callable[[float, int], DataFrame]:
+    """Orders, customers, products and events as JSON; returns change records of orders to land more."""
     orders = table(spark, sf, "orders").join(
         table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey"
     )
@@ -60,8 +60,20 @@ def layered_orders(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("placed").alias("event_type"),
         F.col("o_orderdate").alias("event_timestamp"),
     ).write.json(f"{land}/order_events_raw")
+    changes(1, 0).write.json(f"{land}/orders_raw")
+    return changes
+
+
+def layered_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON change records of orders, customers and products up to the daily revenue.
+
+    Each order arrives twice, first at a tenth of its price and a day earlier: the upsert
+    has to keep the later record, also where the earlier one is delivered last.
+    """
+    work = scratch_dir(spark, "layered-orders")
+    land = f"{work}/landing"
+    changes = _landed_orders(spark, sf, land)
     run = FlowRun(spark, with_buckets(bundled_flow("orders"), 8), f"{work}/root", land)
-    changes(1, 0).write.mode("append").json(f"{land}/orders_raw")
     run.bronze()
     run.silver()
     changes(0.1, 1).write.mode("append").json(f"{land}/orders_raw")
@@ -69,6 +81,49 @@ def layered_orders(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(run.gold_table("daily_revenue_summary"), ("total_revenue",), ("avg_order_value",))
 
 
+def colocated_product_performance(spark: SparkSession, sf: str) -> DataFrame:
+    """The view over orders and products that are stored by product, after a second delivery of older records."""
+    work = scratch_dir(spark, "colocated")
+    land = f"{work}/landing"
+    changes = _landed_orders(spark, sf, land)
+    flow = replace(
+        with_buckets(bundled_flow("orders"), 4), buckets=8, compact=(), silver=tuple(t for t in bundled_flow("orders").silver if t.name in ("orders_clean", "products_clean")),
+        gold=tuple(v for v in bundled_flow("orders").gold if v.name == "product_performance"),
+        colocate={"orders_clean": "product_id", "products_clean": "product_id"},
+    )
+    sources = [SourceSpec(f, f, base_path=f"{land}/{f}") for f in ("orders_raw", "products_raw")]
+    run = FlowRun(spark, flow, f"{work}/root", sources=sources)
+    run.bronze()
+    run.silver()
+    run.colocate()
+    changes(0.1, 1).write.mode("append").json(f"{land}/orders_raw")
+    run_flow(run)
+    return rounded(run.gold_table("product_performance"), ("total_revenue",), ("avg_revenue_per_order",))
+
+
+def merged_contribution(spark: SparkSession, sf: str) -> DataFrame:
+    """Carts per source and status over three runs, each reading what is new; users by merged sketches.
+
+    The estimate stands the test if it lies within three standard errors of the exact count.
+    """
+    work = scratch_dir(spark, "merged-contribution")
+    carts = fx.carts(spark, sf)
+    kept = MergedSummary(spark, f"{work}/summary", ("_source", "cart_status"), (
+        Measure("total_carts", "count", "cart_id"), Measure("total_revenue", "sum", "total_amount"),
+        Measure("avg_cart_value", "avg", "total_amount"), Measure("last_activity", "max", "updated_at"),
+    ), {"unique_users": "user_id"})
+    raw = AppendTable(spark, f"{work}/carts")
+    for part in range(3):
+        raw.append(carts.where(F.col("product_id") % 3 == part), "carts", "landing", part)
+        raw.follow(lambda rows, stream, batch: kept.add(rows, stream, batch), f"{work}/checkpoint").awaitTermination()
+        if part == 1:
+            kept.compact()
+    exact = raw.read().groupBy("_source", "cart_status").agg(F.countDistinct("user_id").alias("exact"))
+    both = kept.result().join(exact, ["_source", "cart_status"])
+    near = F.abs(F.col("unique_users") - F.col("exact")) <= 3 * standard_error() * F.col("exact") + 1
+    return rounded(both.withColumn("users_within", near).drop("unique_users"), ("total_revenue",), ("avg_cart_value",))
+
+
 def layered_carts(spark: SparkSession, sf: str) -> DataFrame:
     """Carts from JSON, CSV and Parquet folders, products from XML and users from documents."""
     work = scratch_dir(spark, "layered-carts")
@@ -186,7 +241,7 @@ def layered_telemetry(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (layered_orders, layered_carts, unified_entity_stream, layered_kpi, layered_telemetry)
+    f.__name__: f for f in (layered_orders, colocated_product_performance, merged_contribution, layered_carts, unified_entity_stream, layered_kpi, layered_telemetry)
 }
 
 SQL = {
@@ -195,6 +250,13 @@ SQL = {
       round(avg(order_amount), 7) avg_order_value,
       case when sum(order_amount) >= 10000 then 'High' when sum(order_amount) >= 5000 then 'Medium'
       else 'Low' end revenue_tier from {ORD} o group by 1, 2, 3""",
+    "colocated_product_performance": """select cast(o_orderkey % 100 as varchar) product_id, p_name product_name, p_type category,
+      round(sum(o_totalprice), 2) total_revenue, count(*) units_sold, round(avg(o_totalprice), 7) avg_revenue_per_order,
+      case when count(*) >= 100 then 'Top Seller' when count(*) >= 50 then 'Mid Tier' else 'Low Volume' end performance_band
+      from orders join customer on o_custkey = c_custkey left join part on o_orderkey % 100 = p_partkey group by 1, 2, 3""",
+    "merged_contribution": f"""select _source, cart_status, count(cart_id) total_carts, round(sum(total_amount), 2) total_revenue,
+      round(avg(total_amount), 7) avg_cart_value, max(updated_at) last_activity, count(distinct user_id) exact, true users_within
+      from {CART} c group by 1, 2""",
     "layered_carts": """
       with c as (select * from (select l_orderkey, l_linenumber, cast(l_suppkey as varchar) user_id,
           l_extendedprice total_amount, l_shipdate, 'volume_' || case l_linenumber % 3 when 0 then 'json'

@@ -103,12 +103,21 @@ def enrich_qualified(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def enrich_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Two thirds of the order lines are sold by one supplier; its rows are joined without a shuffle."""
+    lines = fx.table(spark, sf, "lineitem").select(
+        F.when(F.col("l_linenumber") % 3 > 0, 1).otherwise(F.col("l_suppkey")).alias("s_suppkey"), "l_orderkey", "l_linenumber"
+    )
+    suppliers = fx.table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    return enrich(lines, suppliers, "s_suppkey", split_hot=True)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         daily_revenue_summary, order_status_summary, product_performance,
         source_contribution_summary, product_cart_summary, user_purchase_summary,
-        technician_performance, pump_hourly, gold_fallback, enrich_qualified,
+        technician_performance, pump_hourly, gold_fallback, enrich_qualified, enrich_hot_keys,
     )
 }
 
@@ -159,6 +168,8 @@ SQL = {
     "pump_hourly": HOURLY_SQL,
     "gold_fallback": """select l_orderkey order_id, l_partkey product_id, l_extendedprice order_amount,
       p_name product_name, p_type category from lineitem left join part on l_partkey = p_partkey""",
+    "enrich_hot_keys": """select s_suppkey, l_orderkey, l_linenumber, s_name, s_nationkey from (select *,
+      case when l_linenumber % 3 > 0 then 1 else l_suppkey end k from lineitem) l left join supplier on k = s_suppkey""",
     "enrich_qualified": f"""select order_id, customer_id, country_code order_country,
       c_nationkey customer_country, c_mktsegment segment
       from {ORD} o left join customer on customer_id = c_custkey""",

@@ -1,6 +1,5 @@
 from siltstone.functions.columns import (
     band,
-    broadcastable,
     flatten_to_strings,
     orderable,
     row_hash,
@@ -10,6 +9,6 @@ from siltstone.functions.columns import (
 )
 
 __all__ = [
-    "band", "broadcastable", "flatten_to_strings", "orderable", "row_hash", "share_of_total", "text_of",
+    "band", "flatten_to_strings", "orderable", "row_hash", "share_of_total", "text_of",
     "with_share_of_total",
 ]

@@ -75,12 +75,3 @@ def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
             if f.name in names
         )
     )
-
-
-def broadcastable(df: DataFrame, max_rows: int = 10_000, max_bytes: int = 8 << 20) -> bool:
-    """Whether the frame is small, by counting its rows and the bytes of their values."""
-    text = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))
-    size = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes")
-    ).first()
-    return size["rows"] <= max_rows and size["bytes"] <= max_bytes

@@ -14,6 +14,7 @@ from siltstone.operators.layout import replace_table
 from siltstone.operators.ledger import RuleLedger
 from siltstone.operators.unify import SOURCE, empty
 from siltstone.plans.bronze import FILE_RULE, ingest
+from siltstone.plans.colocate import bucketed, bucketed_name, refresh_bucketed
 from siltstone.plans.gold import build_view
 from siltstone.plans.publish import publish
 from siltstone.plans.silver import follow_silver, keyed_table, read_silver
@@ -121,13 +122,36 @@ class FlowRun:
             return empty(self.spark, StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in spec.columns.items())))
         return read_silver(self.spark, spec, self.path("silver", name))
 
+    def _version(self, name: str) -> str:
+        """Stands for the state of a typed table."""
+        spec, path = self.flow.table(name), self.path("silver", name)
+        return str(keyed_table(self.spark, spec, path).version() if spec.cdc else AppendTable(self.spark, path).version())
+
+    def colocate(self) -> list[str]:
+        """Bring the bucketed copies that views join up to date; returns those that were rewritten."""
+        rewritten = []
+        for name, key in self.flow.colocate.items():
+            if self.raw_table(self.flow.table(name).source).exists():
+                copy = bucketed_name(self.flow.name, self.root, name)
+                folder = self.path("colocated", name)
+                if refresh_bucketed(self.silver_table(name), copy, folder, self._version(name), key, self.flow.buckets):
+                    rewritten.append(name)
+        return rewritten
+
+    def _joined(self, name: str, key: str | None) -> DataFrame:
+        """A typed table as a view on this key reads it: the bucketed copy if there is one."""
+        copy = None
+        if key is not None and self.flow.colocate.get(name) == key:
+            copy = bucketed(self.spark, bucketed_name(self.flow.name, self.root, name))
+        return self.silver_table(name) if copy is None else copy
+
     def view(self, spec: GoldSpec) -> DataFrame:
-        secondary = self.silver_table(spec.secondary) if spec.secondary else None
+        secondary = self._joined(spec.secondary, spec.key) if spec.secondary else None
         options = dict(spec.options)
         if spec.view == "daily_revenue_summary" and spec.secondary:
             upserted_by = self.flow.table(spec.secondary).cdc
             options["unique_secondary"] = bool(upserted_by and upserted_by.keys == (spec.key,)) or None
-        return build_view(spec.view, self.silver_table(spec.primary), secondary, spec.key, **options)
+        return build_view(spec.view, self._joined(spec.primary, spec.key), secondary, spec.key, **options)
 
     def gold(self) -> None:
         for spec in self.flow.gold:
@@ -145,16 +169,13 @@ class FlowRun:
         rewritten = []
         for name in self.flow.compact:
             spec, target = self.flow.table(name), self.path("arranged", name)
-            mark, now = f"{target}/arranged_from", None
             if not self.raw_table(spec.source).exists():
                 continue
-            if spec.cdc:
-                now = str(keyed_table(self.spark, spec, self.path("silver", name)).version())
-                if fs.exists(self.spark, mark) and fs.read_text(self.spark, mark) == now:
-                    continue
+            mark, now = f"{target}/arranged_from", self._version(name)
+            if fs.exists(self.spark, mark) and fs.read_text(self.spark, mark) == now:
+                continue
             replace_table(self.silver_table(name), target, spec.layout)
-            if now:
-                fs.write_text(self.spark, mark, now, overwrite=True)
+            fs.write_text(self.spark, mark, now, overwrite=True)
             rewritten.append(name)
         return rewritten
 
@@ -191,7 +212,7 @@ class FlowRun:
 
 def run_flow(run: FlowRun) -> FlowRun:
     """All layers in order. Names move on to the new versions before old ones are deleted."""
-    for step in (run.bronze, run.silver, run.gold, run.arrange, run.publish, run.expire):
+    for step in (run.bronze, run.silver, run.colocate, run.gold, run.arrange, run.publish, run.expire):
         step()
     return run
 

@@ -112,6 +112,8 @@ class FlowSpec:
     tagged: bool = False  # rows carry the id of their source
     compact: tuple[str, ...] = ()
     feed_rules: tuple[Expectation, ...] = ()
+    colocate: dict[str, str] = field(default_factory=dict)  # typed table: key its copy for joins is bucketed by
+    buckets: int = 64  # of those copies
 
     def table(self, name: str) -> TableSpec:
         return next(t for t in self.silver if t.name == name)
@@ -178,6 +180,8 @@ def parse_flow(raw: dict) -> FlowSpec:
         tagged=raw.get("tagged", False),
         compact=tuple(raw.get("compact") or ()),
         feed_rules=_rules(raw.get("feed_rules") or {}),
+        colocate=dict(raw.get("colocate") or {}),
+        buckets=raw.get("buckets", 64),
     )
 
 

@@ -79,6 +79,10 @@ class AppendTable:
         aligned.write.mode("overwrite").parquet(f"{self.path}/rows/{number:06d}/{_folder(source)}/{name}")
         return True
 
+    def version(self) -> int:
+        """How many batches have been appended."""
+        return len(fs.glob(self.spark, f"{self.path}/rows/*/*/*/_SUCCESS"))
+
     def _read(self, held: list[StructType], number: int, paths: Sequence[str]) -> DataFrame:
         """Files of one schema as the last one."""
         wide, own = held[-1], {f.name: f.dataType for f in held[number].fields}
