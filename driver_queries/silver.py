@@ -105,7 +105,14 @@ def scd1_products(spark: SparkSession, sf: str) -> DataFrame:
 
 def scd1_conversations(spark: SparkSession, sf: str) -> DataFrame:
     """The last turn of every conversation, with its whole text."""
-    return scd1(table(spark, sf, "conversations"), ["conv_id"], "turn")
+    return scd1(table(spark, sf, "conversations"), ["conv_id"], "turn", late=True)
+
+
+def scd1_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The longest document of every source and language, whole texts; one source has a third of all rows."""
+    documents = table(spark, sf, "documents")
+    latest = scd1(documents, ["source", "lang"], "n_chars", tie=["doc_id"], late=True)
+    return latest.select("source", "lang", "n_chars", "doc_id", F.sha2("text", 256).alias("text_hash"))
 
 
 def _event_sources(spark: SparkSession, sf: str) -> list[DataFrame]:
@@ -146,7 +153,7 @@ QUERIES = {
     for f in (
         silver_cast, silver_try_cast, silver_nonnull_passthrough, silver_ingestion_ts, silver_events_clean,
         expect_metrics, expect_metrics_many, expect_drop, expect_quarantine, expect_input_file,
-        scd1_orders, scd1_products, scd1_conversations, unify_sources, unify_type_conflict, empty_source,
+        scd1_orders, scd1_products, scd1_conversations, scd1_documents, unify_sources, unify_type_conflict, empty_source,
         bronze_flatten_records,
     )
 }
@@ -192,6 +199,8 @@ SQL = {
       cast(l_quantity as int) stock_quantity, l_shipdate updated_at from (select *, row_number() over
       (partition by l_partkey order by l_shipdate desc, l_extendedprice desc, l_quantity desc) rn
       from lineitem where l_partkey is not null) x where rn = 1""",
+    "scd1_documents": """select source, lang, n_chars, doc_id, sha256(text) text_hash from (select *, row_number() over
+      (partition by source, lang order by n_chars desc nulls last, doc_id desc) rn from documents) x where rn = 1""",
     "scd1_conversations": """select conv_id, turn, role, text from (select *, row_number() over
       (partition by conv_id order by turn desc, role desc, text desc) rn from conversations) x
       where rn = 1""",

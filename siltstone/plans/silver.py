@@ -47,7 +47,7 @@ def build_silver(df: DataFrame, spec: TableSpec) -> DataFrame:
     rows = typed(df, spec)
     if spec.cdc is None:
         return rows
-    return scd1(rows, spec.cdc.keys, spec.cdc.sequence_by, list(spec.columns), spec.cdc.tie)
+    return scd1(rows, spec.cdc.keys, spec.cdc.sequence_by, list(spec.columns), spec.cdc.tie, late=True)
 
 
 def run_silver(stream: DataFrame, spec: TableSpec, path: str, checkpoint: str):

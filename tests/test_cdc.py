@@ -133,3 +133,58 @@ def test_versions(spark, work):
     assert versions.expire(spark, path, -1) == [1]
     versions.write(spark.range(7), path)
     assert versions.read(spark, path).count() == 7
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(CHANGES)
+def test_winners_found_first_are_the_same(spark, changes):
+    df = spark.createDataFrame(changes, SCHEMA)
+    assert rows(scd1(df, ["k"], "seq", late=True)) == rows(scd1(df, ["k"], "seq", late=False))
+
+
+def test_winners_first_with_hot_and_many_keys(spark):
+    """Half of the changes have one key, ties and NULL sequences among them; maps can't be compared."""
+    df = spark.range(6000).selectExpr(
+        "case when id % 2 = 0 then 'hot' when id % 97 = 1 then null else cast(id % 700 as string) end k", "id % 3 part",
+        "case when id % 5 > 0 then id % 400 end seq", "map('m', id % 11) m", "repeat(cast(id as string), 3) v")
+    got = [scd1(df, ["k", "part"], "seq", ["k", "part", "seq", "v"], ["v"], late=late) for late in (True, False)]
+    assert rows(got[0]) == rows(got[1])
+    counts = [scd1(df, ["k", "part"], "seq", late=late).groupBy("k", "part", "seq").count() for late in (True, False)]
+    assert rows(counts[0]) == rows(counts[1])
+
+
+def under_exchange(df):
+    """The operators between each scan of a plan and the first exchange above it."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if "FileScan" in line:
+            at, above = depth[i], []
+            for j in range(i - 1, -1, -1):
+                if depth[j] < at:
+                    at = depth[j]
+                    above.append(lines[j].lstrip(" :+-").split("(")[0].split(" ")[0])
+                    if "Exchange" in above[-1]:
+                        break
+            found.append(above)
+    return found
+
+
+def test_whole_rows_are_not_sorted_before_they_are_shuffled(spark, work):
+    """Wide rows, a third of them of one key; the winner of that key never leaves its place but once."""
+    wide = [f"repeat(cast(id as string), 20) c{i}" for i in range(12)]
+    spark.range(9000).selectExpr("case when id % 3 = 0 then 0 else id % 2000 + 1 end k", "id seq", *wide).write.parquet(f"{work}/in")
+    df = spark.read.parquet(f"{work}/in")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        late, early = (under_exchange(scd1(df, ["k"], "seq", late=x)) for x in (True, False))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    whole = [x for x in late if "HashAggregate" not in x]
+    assert whole and all(not any(o.startswith("Sort") for o in x) for x in whole[:2])
+    assert any(o.startswith("Sort") for x in early for o in x)  # which is what is avoided
+    latest = {r["k"]: r["seq"] for r in scd1(df, ["k"], "seq", late=True).collect()}
+    assert latest[0] == 8997 and len(latest) == df.select("k").distinct().count()
+    assert rows(scd1(df, ["k"], "seq", late=True).select("k", "seq")) == rows(scd1(df, ["k"], "seq", late=False).select("k", "seq"))
