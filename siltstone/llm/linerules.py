@@ -1,9 +1,9 @@
 """Quality rules: measures of a text, and lines that too many documents of a host share.
 
-Built-in functions only. Lines are normalised and hashed; each distinct text counts once per
-host, so that plain copies don't make their own lines common. Lines in more than `most_docs`
-texts of a host are taken away, and a document left with less than `least_left` of its words is
-rejected.
+Built-in functions only. Lines are normalised and hashed. Copies of a text on a host are looked at
+once and count as the documents they are, so that a large group of copies costs one text's lines.
+Lines in more than `most_docs` documents of a host are taken away, and a document left with less
+than `least_left` of its words is rejected.
 
 Contract: NULL and empty texts have no words and fail; a NULL host is a host of its own; NULL ids
 and repeated rows are rows like others; no rows give no rows; other columns are not carried.
@@ -79,7 +79,7 @@ def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str
 
 
 def common_words(docs: DataFrame, most_docs: int, text: str = "text", host: str = "source") -> DataFrame:
-    """host, key, common: words of the text that stand in lines of more than `most_docs` texts of the host."""
+    """host, key, common: words of the text that stand in lines of more than `most_docs` documents of the host."""
     whole = text_or_empty(text)
     normal = F.regexp_replace(F.lower(whole), r"[\x20\x09\x0B-\x0D]+", " ")
     cut = F.transform(F.split(normal, "\n"), lambda x: F.trim(x))
@@ -92,9 +92,11 @@ def common_words(docs: DataFrame, most_docs: int, text: str = "text", host: str
     )
     lines = texts.select("host", "key", F.posexplode_outer("all").alias("pos", "l"))
     lines = lines.select("host", "key", "pos", "l.line", "l.length")
-    # Copies of a text have the same rows; one of each is left.
-    lines = stored(lines.where("pos is not null").distinct(), "host-lines")
-    counted = lines.select("host", "line", "key").distinct().groupBy("host", "line").count().where(F.col("count") > most_docs)
+    # Copies of a text have the same rows; one of each is left, with their number.
+    lines = lines.where("pos is not null").groupBy("host", "key", "pos", "line", "length").agg(F.count(F.lit(1)).alias("docs"))
+    lines = stored(lines, "host-lines")
+    once = lines.select("host", "line", "key", "docs").distinct()  # a line may repeat in a text
+    counted = once.groupBy("host", "line").agg(F.sum("docs").alias("docs")).where(F.col("docs") > most_docs).drop("docs")
     salted = counted.select("host", "line", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     dealt = lines.withColumn("salt", F.pmod(F.col("key.a"), F.lit(SALTS)).cast("int"))
     common = dealt.join(salted, ["host", "line", "salt"])
@@ -149,7 +151,7 @@ with docs as (
   select rid, host, text, line, len(string_split(line, ' ')) as length
   from (select rid, host, text, unnest(norm) as line from cut)
 ), common as (
-  select host, line from line group by host, line having count(distinct text) > 50
+  select host, line from line group by host, line having count(distinct rid) > 50
 ), gone as (
   select rid, sum(length) as n from line semi join common using (host, line) group by rid
 ), m as (
