@@ -43,6 +43,31 @@ def test_publish_refuses_managed_tables(spark, work):
     spark.sql("drop table mine_named")
 
 
+def test_publish_refuses_names_of_others_and_moves_its_own(spark, work):
+    for n in (1, 2, 3):
+        spark.range(n).write.parquet(f"{work}/t{n}")
+    spark.range(4).selectExpr("id", "id % 2 p").write.partitionBy("p").parquet(f"{work}/t4")
+    spark.sql(f"create table not_ours (id bigint) using parquet location '{work}/t1'")
+    try:
+        with pytest.raises(ValueError, match="not published"):
+            publish(spark, "not_ours", f"{work}/t2")
+        assert spark.table("not_ours").count() == 1
+    finally:
+        spark.sql("drop table not_ours")
+    statements, inner = [], spark.sql
+    try:
+        spark.sql = lambda text, **k: (statements.append(text), inner(text, **k))[1]
+        publish(spark, "ours", f"{work}/t2", "a", {"quality": "gold"})
+        publish(spark, "ours", f"{work}/t3")
+        assert not any(s.startswith("DROP") for s in statements) and spark.table("ours").count() == 3
+        for _ in range(2):
+            publish(spark, "ours", f"{work}/t4")
+            assert spark.table("ours").where("p = 1").count() == 2
+    finally:
+        spark.sql = inner
+    spark.sql("drop table ours")
+
+
 def test_a_version_lives_on_after_its_successor(spark, work):
     for _ in range(2):
         versions.write(spark.range(1), f"{work}/v")
