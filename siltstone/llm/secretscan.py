@@ -33,33 +33,57 @@ SURE = ("assign", "access", "hex")
 ROLES = {"assign": "secret", "access": "id", "hex": "secret", "login": "id", "phrase": "secret", "endpoint": "endpoint"}
 
 
-def _spans(text: Column, kind: str, pattern: str, needs: Column, least: Column | None = None) -> Column:
-    """Spans of all matches, leftmost and not overlapping, from what stands between and in them.
+def _matches(text: Column, kind: str, pattern: str, needs: Column) -> Column:
+    """All matches, leftmost and not overlapping: code points before each (`gap`), in it, whether it is long enough.
 
-    `needs` is a cheap condition without which nothing can match; `least` the length a match
-    (or its second group) must have.
+    `needs` is a cheap condition without which nothing can match.
     """
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    none = F.array().cast("array<struct<start:bigint,end:bigint,ok:boolean>>")
-
-    def step(done, pair):
-        start = done["at"] + F.char_length(pair["gap"]).cast("long")
-        end = start + F.char_length(pair["hit"]).cast("long")
-        span = F.struct(start.alias("start"), end.alias("end"), _long_enough(pair["hit"], kind, pattern).alias("ok"))
-        return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
-
-    pairs = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
-    pairs = F.filter(pairs, lambda p: p["hit"].isNotNull())
-    begin = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
-    found = F.filter(F.aggregate(pairs, begin, step, lambda done: done["out"]), lambda s: s["ok"])
-    named = F.transform(
-        found, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"))
-    )
-    return F.when(needs & text.rlike(pattern), named).otherwise(
-        F.array().cast("array<struct<start:bigint,kind:string,end:bigint>>")
+    pairs = F.filter(F.arrays_zip(gaps.alias("gap"), hits.alias("hit")), lambda p: p["hit"].isNotNull())
+    found = F.transform(pairs, lambda p: F.struct(
+        F.char_length(p["gap"]).cast("long").alias("gap"), F.char_length(p["hit"]).cast("long").alias("hit"),
+        _long_enough(p["hit"], kind, pattern).alias("ok"),
+    ))
+    return F.when(needs & text.rlike(pattern), found).otherwise(F.array().cast("array<struct<gap:bigint,hit:bigint,ok:boolean>>"))
+
+
+def _running(lengths: Column) -> Column:
+    """What stands before each of the lengths; every step copies the list so far."""
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+    return F.aggregate(
+        lengths, begin, lambda d, x: F.struct((d["at"] + x).alias("at"), F.concat(d["out"], F.array(d["at"])).alias("out")), lambda d: d["out"]
     )
 
 
+def _spans(matches: str, kind: str) -> Column:
+    """(start, kind, end) of the matches that are long enough.
+
+    Starts are sums over all matches before. They are added up by pieces of about the square root of
+    their number, pieces first and then within each, so that no list that grows is longer than that.
+    """
+    found = F.col(matches)
+    piece = F.ceil(F.sqrt(F.size(found).cast("double"))).cast("int")
+    many = F.ceil(F.size(found) / piece).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), many - 1), lambda c: F.slice(found, c * piece + 1, piece))
+
+    def lengths(part: Column) -> Column:
+        return F.transform(part, lambda m: m["gap"] + m["hit"])
+
+    def total(part: Column) -> Column:
+        return F.aggregate(lengths(part), F.lit(0).cast("long"), lambda a, x: a + x)
+
+    def span(m: Column, start: Column) -> Column:
+        return F.struct((start + m["gap"]).alias("start"), F.lit(kind).alias("kind"), (start + m["gap"] + m["hit"]).alias("end"), m["ok"].alias("ok"))
+
+    placed = F.zip_with(
+        pieces, _running(F.transform(pieces, total)),
+        lambda part, base: F.zip_with(part, _running(lengths(part)), lambda m, at: span(m, base + at)),
+    )
+    kept = F.filter(F.flatten(placed), lambda s: s["ok"])
+    named = F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return F.when(F.size(found) > 0, named).otherwise(F.array().cast("array<struct<start:bigint,kind:string,end:bigint>>"))
+
+
 def _long_enough(hit: Column, kind: str, pattern: str) -> Column:
     if kind == "assign":
         return F.char_length(F.regexp_extract(hit, pattern, 1)) >= 6
@@ -88,11 +112,13 @@ def scanned(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
         "phrase": (PHRASE, assigned),
         "endpoint": (ENDPOINT, F.contains(whole, F.lit("://"))),
     }
-    spans = {k: _spans(whole, k, pattern, needs) for k, (pattern, needs) in kinds.items()}
     rows = docs.select(F.col(id).alias("doc_id"), text_or_empty(text).alias("text"))
+    matches = {f"_{k}": _matches(whole, k, pattern, needs) for k, (pattern, needs) in kinds.items()}
+    rows = rows.select("doc_id", text_key("text").alias("key"), *(m.alias(c) for c, m in matches.items()))
+    spans = {k: _spans(f"_{k}", k) for k in kinds}
     return rows.select(
         "doc_id",
-        text_key("text").alias("key"),
+        "key",
         F.concat(*(s for k, s in spans.items() if k in SURE)).alias("base"),
         F.concat(*(s for k, s in spans.items() if k not in SURE)).alias("weak"),
     )
