@@ -4,8 +4,8 @@ Each stage takes all rows its predecessor kept; all but the last return the colu
 Rows whose id and text are both repeated count as one document in the near-duplicate stage.
 
 NULL and empty texts are scored like others, are near duplicates of nothing, hold no benchmark
-passage, and have no words: the mix, which takes words, leaves them out. A NULL id is an id of its
-own, a NULL source a source of its own, last. Ties go to the least id. Very long texts are taken
+passage, and count nothing in the mix: whether they come along follows from their place in its
+seeded order. A NULL id is an id of its own, a NULL source a source of its own, last. Ties go to the least id. Very long texts are taken
 whole; a stage needs a multiple of the longest in one task. Further columns pass through, whatever
 their names, except that the last stage replaces a column `shard`. No rows give no rows.
 """
