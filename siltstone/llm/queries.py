@@ -41,7 +41,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return tokenpack.pack_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return tokenpack.id_matrix(tokenpack.pack_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

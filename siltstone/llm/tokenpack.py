@@ -1,13 +1,16 @@
 """Token ids packed into fixed-length rows by best-fit-decreasing, with lossless splitting.
 
 Documents become token ids; one longer than a row is cut into pieces that join to the same ids.
-The histogram of piece lengths (at most `length` classes, whatever the input) is packed on the
-driver with a segment tree over capacities; Spark ranks the pieces of a length and so finds each
-one's row and offset. A packed row is one group of at most `length` tokens.
+A piece as long as a row is a row: it stays in its task, and only rows are counted. Of the other
+pieces lengths and identities are ranked by ranges, the histogram of their lengths (at most
+`length` classes, whatever the input) is packed on the driver with a segment tree over capacities,
+and a piece's rank in its length says its row and offset. Then the ids join and meet by row, at most
+`length` tokens a group.
 
 Contract: NULL and empty texts have no tokens and come in no packed row; NULL ids stay NULL in
 `doc_ids`; repeated rows are packed as often as they stand; no rows give no rows; other columns
-of the input are not carried.
+of the input are not carried. A very long text is encoded whole: its task needs a few times its size.
+Which pieces share a row depends on the rows alone; the numbers of full rows follow the input's split.
 """
 
 from __future__ import annotations
@@ -19,16 +22,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.binpack import best_fit_decreasing
 from siltstone.llm.frames import map_batches, stored
+from siltstone.llm.ranking import numbered
 from siltstone.llm.textops import pieces
 
-#: Parts a length's pieces are ranked in, so that a common length is no single task.
-SPLITS = 32
-
 
 @functools.cache
 def encoding(path: str, pattern: str):
@@ -45,9 +46,13 @@ def encoded(path: str, pattern: str, text: str) -> bytes:
 
 
 def tokenized(docs: DataFrame, path: str, pattern: str, length: int, id: str, text: str) -> DataFrame:
-    """doc_id, key, piece, n, ids: the document's pieces of at most `length` tokens, in order."""
+    """doc_id, key, piece, n, ids: the document's pieces of at most `length` tokens, in order.
+
+    `nth` counts the full pieces of a task, the piece itself left out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full = 0
         for batch in batches:
             for at, to, data, offsets in pieces(batch.column(1)):
                 texts = data.tobytes()
@@ -58,34 +63,33 @@ def tokenized(docs: DataFrame, path: str, pattern: str, length: int, id: str, te
                         rows.append(at + row)
                         piece.append(k // (2 * length))
                         ids.append(coded[k : k + 2 * length])
+                n = np.array([len(x) // 2 for x in ids], np.int32)
+                upto = full + np.cumsum(n == length, dtype=np.int64)
+                full = int(upto[-1]) if len(n) else full
                 yield pa.record_batch(
                     [
                         batch.column(0).take(pa.array(rows, pa.int64())),
                         batch.column(2).take(pa.array(rows, pa.int64())),
                         pa.array(piece, pa.int32()),
-                        pa.array([len(x) // 2 for x in ids], pa.int32()),
+                        pa.array(n),
                         pa.array(ids, pa.binary()),
+                        pa.array(upto - (n == length)),
                     ],
-                    names=["doc_id", "key", "piece", "n", "ids"],
+                    names=["doc_id", "key", "piece", "n", "ids", "nth"],
                 )
 
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
-    return map_batches(rows, run, f"doc_id {kind}, key long, piece int, n int, ids binary")
+    return map_batches(rows, run, f"doc_id {kind}, key long, piece int, n int, ids binary, nth long")
 
 
-def _plan_rows(histogram: dict[int, list[int]], length: int) -> list[tuple[int, ...]]:
-    """(n, part, first rank, rank after the last, bin of the first, place in that bin, per bin, offset)."""
-    packed, _ = best_fit_decreasing([(n, sum(c)) for n, c in histogram.items()], length, tree=True)
-    out = []
-    for p in sorted(packed):
-        before = 0
-        for part, count in enumerate(histogram[p.size]):
-            a, b = max(p.lo, before), min(p.hi, before + count)
-            if a < b:
-                out.append((p.size, part, a - before, b - before, p.bin, a - p.lo, p.per_bin, p.offset))
-            before += count
-    return out
+def plan_rows(histogram: dict[int, int], length: int) -> tuple[pa.Table, int]:
+    """For ranks lo to hi - 1 of the pieces of n tokens: first row, pieces a row, offset; and the number of rows."""
+    packed, used = best_fit_decreasing(histogram.items(), length, tree=True)
+    names = ["n", "lo", "hi", "bin", "per_bin", "base"]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+    columns = zip(*packed, strict=True) if packed else [[]] * len(names)
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names), used
 
 
 def pack_tokens(
@@ -93,35 +97,55 @@ def pack_tokens(
 ) -> DataFrame:
     """One row per packed row of `length` places:
 
-    row_id, n_tokens, ids (uint16 little-endian, `n_tokens` of them), cu_seqlens (0, then the end
-    of each segment), positions (uint16, from 0 again at each segment), doc_ids and pieces.
+    row_id (0, 1, 2, ...; full pieces last), n_tokens, ids (uint16 little-endian, `n_tokens` of
+    them), cu_seqlens (0, then the end of each segment), positions (uint16, from 0 again at each
+    segment), doc_ids and pieces.
     """
     spark = docs.sparkSession
-    cut = stored(tokenized(docs, path, pattern, length, id, text), "token-pieces", "zstd")
-    part = F.pmod(F.xxhash64("doc_id", "key", "piece"), F.lit(SPLITS)).cast("int")
-    histogram: dict[int, list[int]] = {}
-    for n, at, count in cut.groupBy("n", part.alias("part")).count().toPandas().itertuples(index=False):
-        histogram.setdefault(int(n), [0] * SPLITS)[int(at)] = int(count)
-    plan = spark.createDataFrame(
-        _plan_rows(histogram, length) if histogram else [],
-        "n int, part int, lo long, hi long, bin long, skip long, per_bin long, base int",
-    )
-    order = Window.partitionBy("n", "part").orderBy("doc_id", "key", "piece")
-    ranked = cut.withColumn("part", part).withColumn("rank", F.row_number().over(order).cast("long") - 1)
-    # The plan has a few rows per length and part: bounded by the row length, not by the input.
-    nth = F.col("skip") + F.col("rank") - F.col("lo")
-    placed = ranked.join(F.broadcast(plan), ["n", "part"]).where("rank >= lo and rank < hi")
-    placed = placed.withColumns(
-        {
-            "row_id": F.col("bin") + F.floor(nth / F.col("per_bin")),
-            "at": (F.col("base") + F.pmod(nth, F.col("per_bin")) * F.col("n")).cast("int"),
-        }
-    )
-    segment = F.struct("at", "n", "doc_id", "piece", "ids")
-    rows = placed.groupBy("row_id").agg(F.array_sort(F.collect_list(segment)).alias("s"))
-    return map_batches(rows, _finished, f"row_id long, n_tokens int, ids binary, cu_seqlens array<int>, positions binary, "
-        f"doc_ids array<{docs.schema[id].dataType.simpleString()}>, pieces array<int>",
+    # The running id is stored, so it names a piece for good; its upper bits are the task that cut it.
+    cut = tokenized(docs, path, pattern, length, id, text).withColumn("at", F.monotonically_increasing_id())
+    cut = stored(cut, "token-pieces", "zstd")
+    rest = cut.where(F.col("n") < length)
+    histogram = {int(n): int(count) for n, count in rest.groupBy("n").count().toPandas().itertuples(index=False)}
+    plan, used = plan_rows(histogram, length)
+    # Broadcast or not as its size says: it grows with the lengths, not with the input.
+    plan = spark.createDataFrame(plan)
+    names = rest.select("n", "doc_id", "key", "piece", "at")
+    ranked = numbered(names, [F.col(c) for c in names.columns], "rank", within="n")
+    nth = F.col("rank") - F.col("lo")
+    placed = ranked.join(plan, "n").where("rank >= lo and rank < hi").select(
+        "at",
+        (F.col("bin") + F.floor(nth / F.col("per_bin"))).alias("row_id"),
+        (F.col("base") + F.pmod(nth, F.col("per_bin")) * F.col("n")).cast("int").alias("offset"),
+    )
+    segment = F.struct("offset", "n", "doc_id", "piece", "ids")
+    rows = rest.join(placed, "at").groupBy("row_id").agg(F.array_sort(F.collect_list(segment)).alias("s"))
+    kind = docs.schema[id].dataType.simpleString()
+    mixed = map_batches(rows, _finished, "row_id long, n_tokens int, ids binary, cu_seqlens array<int>, "
+        f"positions binary, doc_ids array<{kind}>, pieces array<int>",
     )
+    return mixed.unionByName(_full_rows(cut.where(F.col("n") == length), used, length))
+
+
+def _full_rows(full: DataFrame, used: int, length: int) -> DataFrame:
+    """Pieces that are rows, numbered from `used` on; of a task only the number of its rows is shuffled."""
+    full = full.withColumn("task", F.shiftright("at", 33))
+    counts = full.groupBy("task").agg(F.count(F.lit(1)).alias("_n"))
+    return full.join(_rows_before(counts), "task").select(
+        (F.col("_before") + F.col("nth") + used).alias("row_id"),
+        F.col("n").alias("n_tokens"),
+        "ids",
+        F.array(F.lit(0), F.col("n")).alias("cu_seqlens"),
+        F.lit(np.arange(length, dtype="<u2").tobytes()).alias("positions"),
+        F.array("doc_id").alias("doc_ids"),
+        F.array("piece").alias("pieces"),
+    )
+
+
+def _rows_before(counts: DataFrame) -> DataFrame:
+    """task and the number of rows of the tasks before it: one small row a task, summed up in one."""
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
 
 
 def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,6 +179,14 @@ def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def id_matrix(packed: DataFrame, length: int = 2048, pad: int = 0) -> DataFrame:
-    """row_id and `ids` filled up with `pad` to `length` places: rows of a binary id matrix."""
-    fill = F.expr(f"unhex(repeat('{pad.to_bytes(2, 'little').hex()}', greatest(0, {length} - n_tokens)))")
-    return packed.select("row_id", F.concat("ids", fill).alias("ids"))
+    """Packed rows with `ids` filled up with `pad`, and `positions` with 0, to `length` places each.
+
+    These are the rows of a binary matrix; what lies beyond the last of `cu_seqlens` is filling.
+    """
+
+    def filled(name: str, value: int) -> Column:
+        more = F.greatest(F.lit(0), F.lit(length) - F.col("n_tokens"))
+        return F.concat(name, F.unhex(F.repeat(F.lit(value.to_bytes(2, "little").hex()), more))).alias(name)
+
+    changed = {"ids": filled("ids", pad), "positions": filled("positions", 0)}
+    return packed.select(*(changed.get(c, F.col(c)) for c in packed.columns))

@@ -201,9 +201,46 @@ def test_token_packing(odd, none):
     assert {i: sorted(x) for i, x in back.items()} == {i: sorted(x) for i, x in want.items() if x}
     lengths = [len(p) for x in want.values() for _, p in x]
     assert len(packed) == len(plain_best_fit(lengths, 256))
+    assert sorted(r["row_id"] for r in packed) == list(range(len(packed)))
     assert tokenpack.pack_tokens(none, path, pattern).count() == 0
 
 
+def test_token_matrix_of_split_and_repeated_texts(spark):
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encode = tokenpack.encoding(path, pattern).encode_ordinary
+    rows = [(i % 150, " ".join(words(3 + 37 * (i % 9), i % 30)), "s") for i in range(400)]
+    docs = frame(spark, rows).repartition(7)
+    packed = tokenpack.pack_tokens(docs, path, pattern, length=64)
+    wide = tokenpack.id_matrix(packed, 64, pad=7)
+    assert wide.columns == packed.columns
+    rebuilt, lengths = Counter(), []
+    got = wide.collect()
+    for r in got:
+        ids, spots = np.frombuffer(r["ids"], "<u2"), np.frombuffer(r["positions"], "<u2")
+        assert len(ids) == len(spots) == 64
+        assert set(ids[r["n_tokens"] :]) <= {7} and not spots[r["n_tokens"] :].any()
+        for a, b, i, p in zip(r["cu_seqlens"], r["cu_seqlens"][1:], r["doc_ids"], r["pieces"], strict=False):
+            assert spots[a:b].tolist() == list(range(b - a))
+            rebuilt[i, p, tuple(ids[a:b].tolist())] += 1
+            lengths.append(b - a)
+    want = Counter()
+    for i, t, _ in rows:
+        ids = encode(t)
+        want.update((i, k // 64, tuple(ids[k : k + 64])) for k in range(0, len(ids), 64))
+    assert rebuilt == want and max(want.values()) > 1 and lengths.count(64) > 100
+    assert len(got) == len(plain_best_fit(lengths, 64))
+    assert sorted(r["row_id"] for r in got) == list(range(len(got)))
+    shared = {tuple(sorted(zip(r["doc_ids"], r["pieces"], strict=True))) for r in packed.where("n_tokens < 64").collect()}
+    other = tokenpack.pack_tokens(docs.repartition(3), path, pattern, length=64).where("n_tokens < 64")
+    assert shared == {tuple(sorted(zip(r["doc_ids"], r["pieces"], strict=True))) for r in other.collect()}
+
+
+def test_packing_plan_does_not_grow_with_the_input():
+    few, many = ({n: k * (1 + 4096 // n) for n in range(1, 2048)} for k in (3, 10**7))
+    (small, _), (large, rows) = tokenpack.plan_rows(few, 2048), tokenpack.plan_rows(many, 2048)
+    assert rows > 10**9 and large.num_rows < 2 * small.num_rows < 50_000
+
+
 def test_mixing(spark, odd, none):
     rows = [(i, " ".join(words(4 + i % 23, i)), "abc"[i % 3]) for i in range(600)]
     rows += [(1000 + i, f"shared text number {i} in two sources", s) for i in range(40) for s in "ab"]
