@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from driver_queries.silver import EVENT_DROP, UNIFY_SQL
 from driver_queries.workbooks import write_workbooks
 from siltstone import fs
 from siltstone.operators import tag_source, unify
+from siltstone.operators.ledger import RuleLedger
 from siltstone.plans.bronze import ingest, unified_entity
 from siltstone.plans.silver import run_silver
 from siltstone.session import scratch_dir
@@ -68,6 +71,31 @@ def bronze_stream_xml(spark: SparkSession, sf: str) -> DataFrame:
     return as_columns(_ingested(spark, spec, work), source)
 
 
+def _latin_customers(spark: SparkSession, sf: str, label: str) -> tuple[SourceSpec, str]:
+    """Elements in ISO-8859-1 without a prolog; every seventh does not close."""
+    work = scratch_dir(spark, label)
+    name = F.concat(F.lit("<name>é "), "c_name", F.lit("</name>"))
+    closing = F.when(F.col("c_custkey") % 7 == 0, "").otherwise("</customer>")
+    record = F.concat(F.lit('<customer key="'), "c_custkey", F.lit('">'), name, F.lit("<bal>"), "c_acctbal", F.lit("</bal>"), closing)
+    # As text of these bytes, which the writer leaves as they are.
+    table(spark, sf, "customer").select(F.encode(record, "ISO-8859-1").cast("string")).write.text(f"{work}/landing")
+    spec = SourceSpec("landed", "customer", format="xml", base_path=f"{work}/landing", row_tag="customer", encoding="ISO-8859-1")
+    return spec, work
+
+
+def bronze_xml_encoded(spark: SparkSession, sf: str) -> DataFrame:
+    spec, work = _latin_customers(spark, sf, "bronze-latin")
+    return _ingested(spark, spec, work).select(F.col("key").cast("long").alias("c_custkey"), "name", F.col("bal").cast("double").alias("bal"))
+
+
+def bronze_xml_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """What the ledger holds of the same files: rows seen and rows failed by rule."""
+    spec, work = _latin_customers(spark, sf, "bronze-latin-rules")
+    ledger = RuleLedger(spark, f"{work}/rules", datetime(2026, 1, 1))
+    ingest(spark, spec, f"{work}/bronze", f"{work}/state", ledger=ledger)
+    return ledger.results().select("rule", "total", "failed")
+
+
 def bronze_xlsx(spark: SparkSession, sf: str) -> DataFrame:
     work = scratch_dir(spark, "bronze-xlsx")
     source = table(spark, sf, "customer")
@@ -287,7 +315,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         bronze_stream_parquet, bronze_stream_json, bronze_stream_csv, bronze_stream_orc, bronze_stream_xml,
-        bronze_xlsx, bronze_stream_xlsx, bronze_rest_records, bronze_rest_incremental, bronze_connector_stream,
+        bronze_xml_encoded, bronze_xml_rules, bronze_xlsx, bronze_stream_xlsx, bronze_rest_records, bronze_rest_incremental, bronze_connector_stream,
         bronze_schema_evolution, bronze_evolution_old_file, bronze_evolution_sparse, bronze_evolution_csv, bronze_evolution_parquet,
         bronze_evolution_race, unify_sources_stream, silver_events_clean_stream, bronze_from_registry,
     )
@@ -299,6 +327,9 @@ SQL = {
         ("bronze_stream_json", "bronze_stream_csv", "bronze_stream_orc", "bronze_stream_xml"),
         "select * from orders",
     ),
+    "bronze_xml_encoded": """select c_custkey, 'é ' || c_name as name, c_acctbal bal from customer where c_custkey % 7 <> 0""",
+    "bronze_xml_rules": """select 'well_formed' as rule, count(*) total, count(*) filter (c_custkey % 7 = 0) failed from customer
+      union all select 'non_null_input_file', count(*), 0 from customer""",
     "bronze_xlsx": "select * from customer",
     "bronze_stream_xlsx": "select * from part",
     "bronze_rest_records": """select cast(c_custkey as varchar) id, role,

@@ -24,6 +24,7 @@ from siltstone.sources.readers import (
     ATTRIBUTE,
     CORRUPT,
     EVERY_AGE,
+    FILES,
     checked,
     file_options,
     read_raw_xml,
@@ -38,8 +39,6 @@ from siltstone.specs import SourceSpec
 #: Files of one batch unless its bytes are capped; their paths are all that reaches the driver.
 BATCH_FILES = 10_000
 META = "_metadata"
-# Fixed value: the columns of Spark's source of whole files.
-FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def new_files(spark: SparkSession, path: str, batch_bytes: int | None = None) -> DataFrame:

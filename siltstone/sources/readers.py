@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from siltstone.operators.unify import tag_source
+from siltstone.sources.decoded import field_names, is_utf8, parsed, xml_records
 from siltstone.sources.records import read_records
 from siltstone.sources.xlsx import read_xlsx
 from siltstone.specs import SourceSpec
@@ -20,6 +21,8 @@ from siltstone.specs import SourceSpec
 FILE_FORMATS = ("json", "csv", "parquet", "orc", "avro")
 ATTRIBUTE = "@"  # no XML name can hold it, so an attribute never collides with a child
 CORRUPT = "_corrupt_record"
+# Fixed value: the columns of Spark's source of whole files.
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def rescue_column(spec: SourceSpec) -> str | None:
@@ -68,6 +71,8 @@ def source_schema(spark: SparkSession, spec: SourceSpec, files: list[str] | None
     """
     if spec.schema is not None:
         return spec.schema
+    if spec.format == "xml" and not is_utf8(spec.encoding):
+        return _text_schema(field_names(_encoded_xml(spark, spec, False, files), file_options(spec)))
     reader = spark.read.format(spec.format).options(**file_options(spec), **infer_options(spec), **options)
     if files and not any(c in spec.base_path for c in "*?{["):
         reader = reader.option("basePath", spec.base_path)
@@ -77,9 +82,12 @@ def source_schema(spark: SparkSession, spec: SourceSpec, files: list[str] | None
     if spec.format == "csv":
         wide = {f.name: LongType() if f.dataType == IntegerType() else f.dataType for f in found.fields}
         return StructType([StructField(n, t) for n, t in wide.items()])
-    if spec.format != "xml":
-        return found
-    names = (f.name.removeprefix(ATTRIBUTE) for f in found.fields if f.name not in (CORRUPT, f"{ATTRIBUTE}text"))
+    return _text_schema(found.names) if spec.format == "xml" else found
+
+
+def _text_schema(found: list[str]) -> StructType:
+    """Children and attributes of these names as text."""
+    names = (n.removeprefix(ATTRIBUTE) for n in found if n not in (CORRUPT, f"{ATTRIBUTE}text"))
     return StructType([StructField(n, StringType()) for n in dict.fromkeys(names)])
 
 
@@ -114,7 +122,7 @@ def _read_xml(spark: SparkSession, spec: SourceSpec, streaming: bool, schema: St
 
     An attribute wins over a child of its name, a repeated child's last value stays and an
     empty child is NULL. What cannot be parsed is left out; `corrupt_xml` shows it. The
-    encoding is the one the file declares.
+    encoding is the one the file declares, or what the source names if that is not UTF-8.
     """
     names = (schema or source_schema(spark, spec)).names
     raw = read_raw_xml(spark, spec, streaming, names)
@@ -133,15 +141,24 @@ def read_raw_xml(
     spark: SparkSession, spec: SourceSpec, streaming: bool, names: list[str], paths: list[str] | None = None
 ) -> DataFrame:
     text = [StructField(n, StringType()) for name in names for n in (name, ATTRIBUTE + name)]
+    schema = StructType([*text, StructField(CORRUPT, StringType())])
+    if not is_utf8(spec.encoding):
+        return parsed(_encoded_xml(spark, spec, streaming, paths), schema, file_options(spec))
     entry = spark.readStream if streaming else spark.read
     return (
         entry.format("xml")
         .options(**file_options(spec), **(_limit(spec.batch_bytes) if streaming else {}))
-        .schema(StructType([*text, StructField(CORRUPT, StringType())]))
+        .schema(schema)
         .load(paths or spec.base_path)
     )
 
 
+def _encoded_xml(spark: SparkSession, spec: SourceSpec, streaming: bool, paths: list[str] | None) -> DataFrame:
+    entry = spark.readStream.options(**_limit(spec.batch_bytes)) if streaming else spark.read
+    files = entry.format("binaryFile").schema(FILES).load(paths or spec.base_path)
+    return xml_records(files, spec.encoding, spec.row_tag)
+
+
 def corrupt_xml(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """File and text of everything the XML reader leaves out, and what was read of it."""
     names = source_schema(spark, spec).names
