@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +86,23 @@ def registry_upsert(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def registry_ddl(spark: SparkSession, sf: str) -> DataFrame:
+    """The registry as a named table over a folder: made twice without harm, filled twice, read by its name."""
+    name, place = f"siltstone_control.sources_{uuid.uuid4().hex}", scratch_dir(spark, "registry-ddl")
+    reg.create_registry(spark, name, place)
+    reg.fill_registry(spark, name, _suppliers(spark, sf))
+    reg.create_registry(spark, name, place)
+    customers = table(spark, sf, "customer").select(
+        F.concat(F.lit("customer-"), F.col("c_custkey").cast("string")).alias("source_id"),
+        F.lit("users_raw").alias("entity"), F.lit("volume").alias("source_type"),
+    )
+    reg.fill_registry(spark, name, customers.withColumns({c: F.lit(LATER).cast("timestamp") for c in ("registered_at", "updated_at")}))
+    stored = spark.table(name).withColumn("comment", F.lit(spark.catalog.getTable(name).description))
+    stored = _zoneless(stored).select("source_id", "entity", "source_type", "active", "registered_at", "comment")
+    spark.sql(f"DROP TABLE {name}")  # the name alone; the rows stay in their folder
+    return stored
+
+
 def discover_sources(spark: SparkSession, sf: str) -> DataFrame:
     """Orders land in one folder per priority and status; the urgent ones have a sidecar."""
     root = scratch_dir(spark, "discover")
@@ -101,7 +120,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         registry_schema, registry_active, registry_listing, registry_defaults, registry_table_names,
-        registry_upsert, discover_sources,
+        registry_upsert, registry_ddl, discover_sources,
     )
 }
 
@@ -137,6 +156,10 @@ SQL = {
       from {SUPPLIERS} s
       union all select 'customer-' || c_custkey, 'users_raw', 'volume', null, 'UTF-8', true,
         timestamp '{LATER}', timestamp '{LATER}' from customer""",
+    "registry_ddl": f"""
+      select source_id, entity, source_type, active, registered_at, 'Registered sources' as comment from {SUPPLIERS} s
+      union all select 'customer-' || c_custkey, 'users_raw', 'volume', true, timestamp '{LATER}', 'Registered sources'
+      from customer""",
     "discover_sources": """select distinct 'volume_customer=' || o_orderpriority source_id,
       'entity=' || o_orderstatus entity,
       case when o_orderpriority like '%URGENT%' then 'csv' else 'json' end as format,

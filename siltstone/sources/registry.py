@@ -10,6 +10,7 @@ from siltstone import versions
 from siltstone.operators.cdc import latest_per_key
 from siltstone.operators.merge import upsert
 from siltstone.operators.unify import empty
+from siltstone.session import scratch_dir
 from siltstone.specs import SourceSpec
 
 # The registry's columns, types and NOT NULL marks.
@@ -108,6 +109,18 @@ def register_sources(spark: SparkSession, path: str, new: DataFrame) -> DataFram
     return load_registry(spark, path)
 
 
+def fill_registry(spark: SparkSession, table: str, new: DataFrame) -> None:
+    """Register `new` in the named table that `create_registry` made; a NULL key or mark fails and changes nothing.
+
+    The merged rows are written beside the table first, as a table cannot be overwritten from itself.
+    """
+    merged = register(conform(spark.table(table)), new).select(*REGISTRY_SCHEMA.names)
+    staged = scratch_dir(spark, "registry")
+    merged.write.parquet(staged)
+    spark.read.schema(REGISTRY_SCHEMA).parquet(staged).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+
+
 def active_sources(registry: DataFrame) -> DataFrame:
     return registry.filter("active")
 

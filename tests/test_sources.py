@@ -61,6 +61,43 @@ def test_xml_declared_columns_and_encoding(spark, tmp_path):
     assert rows(read_source(spark, spec)) == [("é", None, "s")] and read_source(spark, spec).count() == 1
 
 
+ENCODED = """<rows>é<!-- <record><name>left out</name></record> -->
+<record k="ä > b"><name>Jörg <b>é</b></name><t><![CDATA[a </record> & <!-- b]]></t></record >
+<record k='s'/><recorder>no</recorder><record><name></name><name>Zoë</name></record><record k="never"><name>x
+<record><name>ÿ</name><k>child</k></record></rows>"""
+
+
+@pytest.mark.parametrize("encoding", ["ISO-8859-1", "UTF-16", "utf_8"])
+@pytest.mark.parametrize("streaming", [False, True])
+def test_xml_in_the_encoding_the_registry_names(spark, tmp_path, encoding, streaming):
+    path = put(tmp_path / "in", "a.xml", ENCODED.encode(encoding.replace("_", "-")))
+    put(tmp_path / "in", "none.xml", "<rows/>".encode(encoding.replace("_", "-")))
+    spec = SourceSpec("s", "e", format="xml", base_path=path, encoding=encoding)
+    if encoding == "utf_8":  # left to Spark's own reader
+        assert "recorder" not in source_schema(spark, spec).names
+        return
+    assert source_schema(spark, spec).names == ["k", "name", "t"]
+    df = read_source(spark, spec, streaming)
+    if streaming:
+        name = f"xml_{encoding[:3].lower()}"
+        q = df.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+        q.awaitTermination()
+        df = spark.table(name)
+    found = sorted(df.collect(), key=str)
+    want = [("ä > b", "Jörg <b>é</b>", "a </record> & <!-- b", "s"), ("s", None, None, "s"), (None, "Zoë", None, "s"), ("child", "ÿ", None, "s")]
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, want))
+    lost = corrupt_xml(spark, spec).collect()
+    assert [r.file.rsplit("/", 1)[1] for r in lost] == ["a.xml"] and "never" in lost[0]["_corrupt_record"]
+
+
+def test_xml_of_many_records_is_cut_in_one_pass(spark, tmp_path):
+    records = "".join(f'<record id="{i}"/>' if i % 2 else f"<record><id>{i}</id></record>" for i in range(40_000))
+    path = put(tmp_path / "in", "a.xml", f"<r>{records}{'<record/>' * 20_000}</r>".encode("iso-8859-1"))
+    schema = T.StructType([T.StructField("id", T.StringType())])
+    df = read_source(spark, SourceSpec("s", "e", format="xml", base_path=path, schema=schema, encoding="ISO-8859-1"))
+    assert df.count() == 60_000 and df.where("id is not null").select("id").distinct().count() == 40_000
+
+
 def test_csv_options_and_types(spark, tmp_path):
     path = put(tmp_path / "in", "a.csv", "id|name\n1|é\n2|b\n".encode("iso-8859-1"))
     spec = SourceSpec("s", "e", format="csv", base_path=path, delimiter="|", encoding="ISO-8859-1")
@@ -293,3 +330,19 @@ def test_unified_entity_of_active_sources(spark, tmp_path):
     assert unified_entity(spark, registry, "none", schema=schema).schema == schema
     with pytest.raises(ValueError):
         unified_entity(spark, registry, "none")
+
+
+def test_registry_as_a_named_table(spark, tmp_path):
+    name = "ddl_test.sources"
+    for _ in range(2):
+        reg.create_registry(spark, name, str(tmp_path / "t"))
+    assert spark.catalog.getTable(name).description == "Registered sources" and spark.table(name).count() == 0
+    new = spark.createDataFrame([("a", "e", "volume", "csv")], "source_id string, entity string, source_type string, format string")
+    reg.fill_registry(spark, name, new)
+    reg.fill_registry(spark, name, new.withColumn("format", F.lit("json")))
+    reg.create_registry(spark, name, str(tmp_path / "t"))
+    assert [(r.source_id, r.format, r.active) for r in spark.table(name).collect()] == [("a", "json", True)]
+    with pytest.raises(Exception, match="source_id must not be NULL"):
+        reg.fill_registry(spark, name, new.withColumn("source_id", F.lit(None).cast("string")))
+    assert spark.table(name).count() == 1 and spark.table(name).columns == reg.REGISTRY_SCHEMA.names
+    spark.sql("DROP TABLE ddl_test.sources")
