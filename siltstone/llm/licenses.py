@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 from pathlib import Path
 
 import pyarrow as pa
@@ -66,6 +67,8 @@ TEMPLATES = [
 ]
 #: Whole licences, a file each.
 BODIES = [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+#: Headers of a block that are held at once.
+HEADERS = 4096
 TRIGGER = r"(?i)licen[sc]|copyright|redistribut|creative commons|public domain|free of charge|spdx|cc by|cc0"
 TERM = r"spdx:[a-z0-9.+-]+|[a-z0-9]+(?:\.[0-9]+)*"
 SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+() \t-]+)", re.IGNORECASE | re.ASCII)
@@ -148,10 +151,12 @@ def _headers(notices: Notices):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for h, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                some = sorted(set(notices.headers(block)))
-                yield pa.record_batch(
-                    [pa.array([h] * len(some), pa.int64()), pa.array(some, pa.string())], names=["block", "header"]
-                )
+                found = notices.headers(block)
+                # A list of licences has hundreds of times its size in headers: Spark drops what repeats beyond a batch.
+                while some := sorted(set(islice(found, HEADERS))):
+                    yield pa.record_batch(
+                        [pa.array([h] * len(some), pa.int64()), pa.array(some, pa.string())], names=["block", "header"]
+                    )
 
     return run
 

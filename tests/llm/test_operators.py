@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -432,6 +433,30 @@ met:"""
     assert got == want | {f"/{name}/COPYING": (name, True, None) for name in body}
 
 
+def test_headers_of_a_long_block_come_in_bounded_batches():
+    notices = licenses.Notices(licenses.TEMPLATES)
+    block = "\n".join(f"MIT License number {i} Apache License" for i in range(1500))
+    rows = pa.record_batch([pa.array([7, 8, 9]), pa.array([block, "MIT License", "x"])], names=["h", "block"])
+    got = list(licenses._headers(notices)(iter([rows])))
+    assert max(b.num_rows for b in got) <= licenses.HEADERS and sum(b.num_rows for b in got) > 5 * licenses.HEADERS
+    found = {(h, t) for b in got for h, t in zip(*(c.to_pylist() for c in b.columns), strict=True)}
+    assert found == {(7, t) for t in notices.headers(block)} | {(8, "MIT License")}
+
+
+def test_votes_equal_those_of_plain_cosines_of_all_labelled(spark):
+    docs = frame(spark, [(i, " ".join(w if i % 3 else f"{w}#!" for w in words(30 + i % 7, i)), "s") for i in range(150)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id long, label int")
+    model = neighbours.fit(docs, labels, rank=16, neighbours=7)
+    got = {r["doc_id"]: r["score"] for r in neighbours.score_quality(docs, model).collect()}
+    for r in docs.collect():
+        data = np.frombuffer(r["text"].encode(), np.uint8)
+        v = model.project(neighbours.term_counts(data, np.array([0, len(data)])))[0].astype(float)
+        cosines = [float(np.dot(v, u)) / float(np.linalg.norm(v) * np.linalg.norm(u)) for u in model.vectors.astype(float)]
+        best = sorted(range(90), key=lambda k: -cosines[k])[:7]
+        weights = [max(cosines[k], 0) ** model.power for k in best]
+        assert abs(got[r["doc_id"]] - sum(w * model.labels[k] for w, k in zip(weights, best, strict=True)) / sum(weights)) < 1e-3
+
+
 def test_quality_classifier(spark, odd, none):
     rows = [(i, " ".join(w if i % 2 else f"{w}###" for w in words(40, i)), "s") for i in range(200)]
     docs = frame(spark, rows)
