@@ -163,7 +163,7 @@ class FlowRun:
     def arrange(self) -> list[str]:
         """Rewrite the listed typed tables whole in their declared layout, if they changed.
 
-        The tables the streams keep need no compaction: they have one file per bucket. This
+        The tables the streams keep need no compaction: they have one file per bucket, or slice of a large one. This
         makes the copy that is partitioned, clustered or z-ordered for readers.
         """
         rewritten = []

@@ -27,8 +27,8 @@ class Expectation:
 class Cdc:
     """Keyed upsert: the row with the greatest `sequence_by` per key stays.
 
-    `buckets` is how many files the stored table is hashed into; choose it so that one
-    bucket is a few hundred megabytes.
+    `buckets` is how many folders the stored table is hashed into; a batch rewrites those it has
+    keys for. A large bucket is rewritten by several tasks, each with a file of its own.
     """
 
     keys: tuple[str, ...]

@@ -2,7 +2,9 @@
 
 Rows are hashed by key into buckets. A batch rewrites only the buckets it has keys for,
 into a folder of its own, and then publishes a manifest that names each bucket's current
-folder. Until that rename nobody sees the batch. A batch that runs again after a failure
+folder. A bucket that outgrows `SLICE_BYTES` is rewritten in slices, by other bits of the
+same hash, each in a task and a file of its own: so a task's share of the work does not
+grow with the table, whatever the number of buckets. Until that rename nobody sees the batch. A batch that runs again after a failure
 is found published, or overwrites its own unfinished folder; and applying a change twice
 leaves the table as it is.
 """
@@ -10,11 +12,12 @@ leaves the table as it is.
 from __future__ import annotations
 
 import json
+import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -25,6 +28,10 @@ from siltstone.operators.unify import empty
 from siltstone.streaming.runner import run_batches, stream_id
 
 BUCKET = "_bucket"
+PLACE = "_place"
+#: Stored bytes, old and new, that one task takes on at most when a bucket is rewritten. Fresh rows in
+#: a shuffle and in a sort's memory take several times what they take stored.
+SLICE_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -35,7 +42,7 @@ class KeyedTable:
     sequence_by: str
     tie: tuple[str, ...] = ()
     buckets: int = 64
-    sort_by: tuple[str, ...] = ()  # order within a bucket, so that readers can skip row groups
+    sort_by: tuple[str, ...] = ()  # order within each file of a bucket, so that readers can skip row groups
 
     def _manifests(self) -> list[str]:
         return sorted(p for p, _ in fs.glob(self.spark, f"{self.path}/manifest/*.json"))
@@ -68,8 +75,23 @@ class KeyedTable:
         """How many batches have been published."""
         return self._manifest()["version"]
 
-    def _bucket_of(self):
-        return F.pmod(F.xxhash64(*(F.col(f"`{k}`") for k in self.keys)), F.lit(self.buckets)).cast("int")
+    def _hash(self) -> Column:
+        return F.xxhash64(*(F.col(f"`{k}`") for k in self.keys))
+
+    def _bucket_of(self) -> Column:
+        return F.pmod(self._hash(), F.lit(self.buckets)).cast("int")
+
+    def _slices(self, staged: str, touched: Sequence[str], held: Sequence[str]) -> int:
+        """Into how many tasks the rewrite of one bucket is cut, by what is stored of the fullest."""
+        fresh = fs.size_bytes(self.spark, staged) / max(1, len(touched))
+        return max(1, math.ceil((fresh + max((fs.size_bytes(self.spark, f) for f in held), default=0)) / SLICE_BYTES))
+
+    def _dealt(self, rows: DataFrame, touched: Sequence[str], slices: int) -> DataFrame:
+        """The rows with their PLACE: a partition for each slice of each touched bucket, none for the others."""
+        bucket = F.array_position(F.array(*(F.lit(int(b)) for b in touched)), F.col(BUCKET)).cast("int") - 1
+        slice_ = F.pmod(F.shiftrightunsigned(self._hash(), 32), F.lit(slices)).cast("int")
+        placed = rows.withColumn(PLACE, bucket * F.lit(slices) + slice_)
+        return placed.repartitionById(len(touched) * slices, F.col(PLACE))
 
     def apply(self, changes: DataFrame, batch: int, stream: str = "") -> bool:
         """Upsert one batch of a stream: any number of rows per key, in any order. False if it was applied before."""
@@ -88,14 +110,17 @@ class KeyedTable:
         if state["schema"] is not None and not touched:
             fs.delete(self.spark, staged)
             return True
-        if any(b in state["folders"] for b in touched):
+        holding = [state["folders"][b] for b in touched if b in state["folders"]]
+        slices = self._slices(staged, touched, holding)
+        if holding:
             held = self._read(state, touched).withColumn(BUCKET, self._bucket_of())
-            both = rows.unionByName(held, allowMissingColumns=True).repartition(self.buckets, BUCKET)
-            rows = latest_per_key(both, self.keys, self.sequence_by, self.tie, [BUCKET])
-        else:
-            rows = rows.repartition(self.buckets, BUCKET)
+            both = self._dealt(rows.unionByName(held, allowMissingColumns=True), touched, slices)
+            rows = latest_per_key(both, self.keys, self.sequence_by, self.tie, [BUCKET, PLACE])
+        elif touched:
+            rows = self._dealt(rows, touched, slices)
         if self.sort_by:
             rows = rows.sortWithinPartitions(BUCKET, *(F.col(f"`{c}`") for c in self.sort_by))
+        rows = rows.drop(PLACE)
         rows.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
         written = [p for p, is_folder in fs.glob(self.spark, f"{target}/{BUCKET}=*") if is_folder]
         manifest = {

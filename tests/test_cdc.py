@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from siltstone import fs, versions
 from siltstone.operators import scd1
@@ -188,3 +189,26 @@ def test_whole_rows_are_not_sorted_before_they_are_shuffled(spark, work):
     latest = {r["k"]: r["seq"] for r in scd1(df, ["k"], "seq", late=True).collect()}
     assert latest[0] == 8997 and len(latest) == df.select("k").distinct().count()
     assert rows(scd1(df, ["k"], "seq", late=True).select("k", "seq")) == rows(scd1(df, ["k"], "seq", late=False).select("k", "seq"))
+
+
+@pytest.mark.parametrize("sort_by", [(), ("v",)])
+def test_large_buckets_are_rewritten_in_slices(spark, work, monkeypatch, sort_by):
+    """No task writes much more than a slice, however large a bucket is; each key stays once in its bucket."""
+    monkeypatch.setattr("siltstone.streaming.keyed.SLICE_BYTES", 10_000)
+    table = KeyedTable(spark, f"{work}/t", ("k",), "seq", buckets=2, sort_by=sort_by)
+    first = spark.range(6000).selectExpr("if(id = 7, null, cast(id as string)) k", "1 seq", "sha2(cast(id as string), 256) v")
+    table.apply(first, 0)
+    second = spark.range(3000, 9000).selectExpr("cast(id as string) k", "cast(id % 3 as int) seq", "sha2(cast(-id as string), 256) v")
+    table.apply(second, 1)
+    # Ties fall to the greater value, as in one table.
+    assert rows(table.current()) == rows(scd1(first.unionByName(second), ["k"], "seq"))
+    folders = table._manifest()["folders"]
+    assert sorted(folders) == ["0", "1"]
+    for folder in folders.values():
+        counts = [r["count"] for r in spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()]
+        assert len(counts) > 10 and max(counts) < 400
+    # A change of one key rewrites its bucket, whole, and leaves the other.
+    table.apply(spark.createDataFrame([("8", 9, "y")], SCHEMA), 2)
+    after = table._manifest()["folders"]
+    assert sum(folders[b] != after[b] for b in after) == 1
+    assert table.current().count() == 9000 and table.current().where("k = '8'").first()["v"] == "y"
