@@ -212,3 +212,17 @@ def test_large_buckets_are_rewritten_in_slices(spark, work, monkeypatch, sort_by
     after = table._manifest()["folders"]
     assert sum(folders[b] != after[b] for b in after) == 1
     assert table.current().count() == 9000 and table.current().where("k = '8'").first()["v"] == "y"
+
+
+def test_slices_of_a_large_bucket_are_sorted_files(spark, work, monkeypatch):
+    """One large batch, most of it of one user: shares stay even, and each file has the declared order."""
+    monkeypatch.setattr("siltstone.streaming.keyed.SLICE_BYTES", 20_000)
+    table = KeyedTable(spark, f"{work}/t", ("k",), "seq", buckets=2, sort_by=("u",))
+    batch = spark.range(4000).selectExpr(
+        "concat(id, '-1') k", "if(id % 10 > 0, 'hot', cast(id % 100 as string)) u", "1 seq", "sha2(cast(id as string), 256) v")
+    table.apply(batch, 0)
+    files = [p for f in table._manifest()["folders"].values() for p, _ in fs.glob(spark, f"{f}/*.parquet")]
+    users = [[r["u"] for r in spark.read.parquet(p).collect()] for p in files]
+    assert all(u == sorted(u) for u in users) and len(users) > 6
+    assert max(map(len, users)) < 1.5 * 4000 / len(users)
+    assert table.current().count() == 4000
