@@ -226,3 +226,16 @@ def test_slices_of_a_large_bucket_are_sorted_files(spark, work, monkeypatch):
     assert all(u == sorted(u) for u in users) and len(users) > 6
     assert max(map(len, users)) < 1.5 * 4000 / len(users)
     assert table.current().count() == 4000
+
+
+def test_older_records_delivered_late_change_no_slice(spark, work, monkeypatch):
+    """Each row once more with an earlier sequence, merged by many tasks a bucket: the later record stays."""
+    monkeypatch.setattr("siltstone.streaming.keyed.SLICE_BYTES", 15_000)
+    table = KeyedTable(spark, f"{work}/t", ("k", "p"), "seq", buckets=3, sort_by=("v", "p"))
+    rows_of = ["cast(id as string) k", "if(id % 5 = 0, null, id % 7) p", "{} seq", "sha2(cast({} + id as string), 256) v"]
+    batches = [spark.range(3000).selectExpr(*(x.format(seq) for x in rows_of)) for seq in (5, 2)]
+    for number, batch in enumerate(batches):
+        table.apply(batch, number)
+        assert rows(table.current()) == rows(batches[0])
+    per_file = [r["count"] for r in table.current().groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) > 9 and max(per_file) < 600
