@@ -26,7 +26,8 @@ def latest_per_key(
     other columns, so a re-run gives the same answer. Each map task keeps one row per key
     before the shuffle, so a key that holds a large part of the input costs no more than
     any other. `leading` columns are functions of the keys (such as a bucket number) that
-    the grouping carries along so an existing partitioning on them can be used.
+    the grouping carries along so an existing partitioning on them can be used, or cut the
+    rows into parts of which each keeps its own latest; they do not decide ties.
     """
     groups = [*leading, *keys]
     ranked = list(dict.fromkeys([sequence_by, *tie]))
@@ -36,7 +37,7 @@ def latest_per_key(
         latest = F.max(F.struct(*row))
     else:
         rank = [F.col(f"`{c}`") for c in ranked]
-        latest = F.max_by(F.struct(*row), F.struct(*rank, row_hash(df)))
+        latest = F.max_by(F.struct(*row), F.struct(*rank, row_hash(df, [c for c in df.columns if c not in leading])))
     held = df.groupBy(*(F.col(f"`{c}`") for c in groups)).agg(latest.alias("_row"))
     return held.select(
         *(F.col(f"`{c}`") if c in groups else F.col("_row").getField(c).alias(c) for c in df.columns)

@@ -4,7 +4,8 @@ Rows are hashed by key into buckets. A batch rewrites only the buckets it has ke
 into a folder of its own, and then publishes a manifest that names each bucket's current
 folder. A bucket that outgrows `SLICE_BYTES` is rewritten in slices, by other bits of the
 same hash, each in a task and a file of its own: so a task's share of the work does not
-grow with the table, whatever the number of buckets. Until that rename nobody sees the batch. A batch that runs again after a failure
+grow with the table, whatever the number of buckets. Before that the batch, stored as it came, is cut into parts
+of some `PART_BYTES` that keep one row per key. Until that rename nobody sees the batch. A batch that runs again after a failure
 is found published, or overwrites its own unfinished folder; and applying a change twice
 leaves the table as it is.
 """
@@ -29,9 +30,12 @@ from siltstone.streaming.runner import run_batches, stream_id
 
 BUCKET = "_bucket"
 PLACE = "_place"
+SPLIT = "_split"
 #: Stored bytes, old and new, that one task takes on at most when a bucket is rewritten. Fresh rows in
 #: a shuffle and in a sort's memory take several times what they take stored.
 SLICE_BYTES = 16 << 20
+#: Stored bytes of a batch that one task reduces to one row per key.
+PART_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -75,6 +79,10 @@ class KeyedTable:
         """How many batches have been published."""
         return self._manifest()["version"]
 
+    def size_bytes(self) -> int:
+        """Stored bytes of the last published state."""
+        return sum(fs.size_bytes(self.spark, f) for f in self._manifest()["folders"].values())
+
     def _hash(self) -> Column:
         return F.xxhash64(*(F.col(f"`{k}`") for k in self.keys))
 
@@ -93,6 +101,17 @@ class KeyedTable:
         placed = rows.withColumn(PLACE, bucket * F.lit(slices) + slice_)
         return placed.repartitionById(len(touched) * slices, F.col(PLACE))
 
+    def _reduced(self, rows: DataFrame, staged: str) -> DataFrame:
+        """The staged rows, those of a key in one split of the input reduced to the latest.
+
+        A hot key is spread by the splits and ends here, as one row for each. The number of tasks
+        follows what is stored, so neither a split nor the session's shuffle partitions bound the work of one.
+        """
+        parts = max(1, math.ceil(fs.size_bytes(self.spark, staged) / PART_BYTES))
+        split = rows.withColumn(SPLIT, F.spark_partition_id())
+        parted = split.repartition(parts, *(F.col(f"`{k}`") for k in self.keys), F.col(SPLIT))
+        return latest_per_key(parted, self.keys, self.sequence_by, self.tie, [SPLIT, BUCKET]).drop(SPLIT)
+
     def apply(self, changes: DataFrame, batch: int, stream: str = "") -> bool:
         """Upsert one batch of a stream: any number of rows per key, in any order. False if it was applied before."""
         state = self._manifest()
@@ -101,23 +120,22 @@ class KeyedTable:
         version = state["version"] + 1
         staged = f"{self.path}/staged/{version:012d}"
         target = f"{self.path}/data/{version:012d}"
-        # One row per key before anything is gathered by bucket: a hot key ends here. The
-        # written rows also keep the stream's own plan from running more than once.
-        latest = latest_per_key(changes, self.keys, self.sequence_by, self.tie)
-        latest.withColumn(BUCKET, self._bucket_of()).write.mode("overwrite").parquet(staged)
-        rows = self.spark.read.schema(latest.withColumn(BUCKET, self._bucket_of()).schema).parquet(staged)
+        # The rows are stored as they come, so the stream's own plan runs once, and they tell their size.
+        arrived = changes.withColumn(BUCKET, self._bucket_of())
+        arrived.write.mode("overwrite").parquet(staged)
+        rows = self.spark.read.schema(arrived.schema).parquet(staged)
         touched = sorted(str(r[BUCKET]) for r in rows.select(BUCKET).distinct().collect())
         if state["schema"] is not None and not touched:
             fs.delete(self.spark, staged)
             return True
         holding = [state["folders"][b] for b in touched if b in state["folders"]]
         slices = self._slices(staged, touched, holding)
-        if holding:
-            held = self._read(state, touched).withColumn(BUCKET, self._bucket_of())
-            both = self._dealt(rows.unionByName(held, allowMissingColumns=True), touched, slices)
-            rows = latest_per_key(both, self.keys, self.sequence_by, self.tie, [BUCKET, PLACE])
-        elif touched:
-            rows = self._dealt(rows, touched, slices)
+        if touched:
+            rows = self._reduced(rows, staged)
+            if holding:
+                held = self._read(state, touched).withColumn(BUCKET, self._bucket_of())
+                rows = rows.unionByName(held, allowMissingColumns=True)
+            rows = latest_per_key(self._dealt(rows, touched, slices), self.keys, self.sequence_by, self.tie, [BUCKET, PLACE])
         if self.sort_by:
             rows = rows.sortWithinPartitions(BUCKET, *(F.col(f"`{c}`") for c in self.sort_by))
         rows = rows.drop(PLACE)

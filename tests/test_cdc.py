@@ -239,3 +239,41 @@ def test_older_records_delivered_late_change_no_slice(spark, work, monkeypatch):
         assert rows(table.current()) == rows(batches[0])
     per_file = [r["count"] for r in table.current().groupBy(F.input_file_name()).count().collect()]
     assert len(per_file) > 9 and max(per_file) < 600
+
+
+def test_a_batch_is_reduced_in_parts_of_its_size(spark, work, monkeypatch):
+    """Rows that come in few large splits are dealt to many tasks; a hot key goes on as one row per split."""
+    from siltstone.streaming import keyed
+
+    seen, plain = [], keyed.latest_per_key
+
+    def looked_at(df, *args):
+        seen.append([r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()])
+        return plain(df, *args)
+
+    monkeypatch.setattr(keyed, "latest_per_key", looked_at)
+    monkeypatch.setattr(keyed, "PART_BYTES", 5_000, raising=False)
+    table = KeyedTable(spark, f"{work}/t", ("k",), "seq", buckets=2)
+    cold = spark.range(6000, numPartitions=1).selectExpr("cast(id as string) k", "cast(id % 3 as int) seq", "sha2(cast(id as string), 256) v")
+    table.apply(cold, 0)
+    assert max(seen[0]) < 300 and sum(seen[0]) == 6000
+    assert rows(table.current()) == rows(cold)
+    seen.clear()
+    hot = spark.range(0, 4000, numPartitions=3).selectExpr(
+        "if(id % 2 = 0, 'hot', cast(id as string)) k", "cast(id as int) seq", "sha2(cast(-id as string), 256) v")
+    table.apply(hot, 1)
+    # What is dealt to the buckets: the rows held, 2,000 single keys and the hot key once per split.
+    assert sum(seen[-1]) <= 6000 + 2000 + 3
+    assert rows(table.current()) == rows(scd1(cold.unionByName(hot), ["k"], "seq"))
+    assert table.current().where("k = 'hot'").first()["seq"] == 3998
+
+
+def test_ties_of_rows_that_do_not_compare_fall_alike_in_any_split(spark, work):
+    """Equal sequences of rows with maps: how the batch is cut decides nothing."""
+    batch = spark.range(400).selectExpr("id % 20 k", "1 seq", "map('id', cast(id as string)) m")
+    found = []
+    for n in (1, 3, 7):
+        table = KeyedTable(spark, f"{work}/t{n}", ("k",), "seq", buckets=2)
+        table.apply(batch.repartition(n), 0)
+        found.append(rows(table.current()))
+    assert found[0] == found[1] == found[2] == rows(scd1(batch, ["k"], "seq", late=False))
