@@ -13,6 +13,8 @@ from siltstone.functions import row_hash
 from siltstone.specs import Layout
 
 TARGET_BYTES = 512 << 20
+#: Stored bytes of a table that one task sorts when the table is arranged; in memory they are many times as much.
+SORTED_BYTES = 16 << 20
 ZORDER_BITS = 6
 SPLIT_VALUES = 2048
 
@@ -111,6 +113,11 @@ def write_table(df: DataFrame, path: str, layout: Layout = Layout(), files: int
     (writer.partitionBy(layout.partition_by) if layout.partition_by else writer).parquet(path)
 
 
+def files_to_sort(spark: SparkSession, stored_bytes: int) -> int:
+    """Into how many files a table is arranged: as many as a shuffle has partitions, more if tasks would sort too much."""
+    return max(_shuffle_partitions(spark), math.ceil(stored_bytes / SORTED_BYTES))
+
+
 def replace_table(df: DataFrame, path: str, layout: Layout = Layout(), files: int | None = None) -> str:
     """Write a new version of the table; readers move on to it when it is complete."""
     arranged = arrange(df, layout, files or _shuffle_partitions(df.sparkSession))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltstone import fs, versions
-from siltstone.operators.layout import replace_table
+from siltstone.operators.layout import files_to_sort, replace_table
 from siltstone.operators.ledger import RuleLedger
 from siltstone.operators.unify import SOURCE, empty
 from siltstone.plans.bronze import FILE_RULE, ingest
@@ -21,6 +21,7 @@ from siltstone.plans.silver import follow_silver, keyed_table, read_silver
 from siltstone.sources.widening import as_type, wider
 from siltstone.specs import FlowSpec, GoldSpec, SourceSpec
 from siltstone.streaming.appended import AppendTable
+from siltstone.streaming.keyed import KeyedTable
 
 
 def _moved(rows: DataFrame, mine: Column, old: str, new: str) -> DataFrame:
@@ -122,10 +123,13 @@ class FlowRun:
             return empty(self.spark, StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in spec.columns.items())))
         return read_silver(self.spark, spec, self.path("silver", name))
 
+    def _stored(self, name: str) -> KeyedTable | AppendTable:
+        spec, path = self.flow.table(name), self.path("silver", name)
+        return keyed_table(self.spark, spec, path) if spec.cdc else AppendTable(self.spark, path)
+
     def _version(self, name: str) -> str:
         """Stands for the state of a typed table."""
-        spec, path = self.flow.table(name), self.path("silver", name)
-        return str(keyed_table(self.spark, spec, path).version() if spec.cdc else AppendTable(self.spark, path).version())
+        return str(self._stored(name).version())
 
     def colocate(self) -> list[str]:
         """Bring the bucketed copies that views join up to date; returns those that were rewritten."""
@@ -174,7 +178,8 @@ class FlowRun:
             mark, now = f"{target}/arranged_from", self._version(name)
             if fs.exists(self.spark, mark) and fs.read_text(self.spark, mark) == now:
                 continue
-            replace_table(self.silver_table(name), target, spec.layout)
+            files = files_to_sort(self.spark, self._stored(name).size_bytes())
+            replace_table(self.silver_table(name), target, spec.layout, files)
             fs.write_text(self.spark, mark, now, overwrite=True)
             rewritten.append(name)
         return rewritten

@@ -83,6 +83,10 @@ class AppendTable:
         """How many batches have been appended."""
         return len(fs.glob(self.spark, f"{self.path}/rows/*/*/*/_SUCCESS"))
 
+    def size_bytes(self) -> int:
+        """Stored bytes of all batches."""
+        return fs.size_bytes(self.spark, f"{self.path}/rows") if fs.exists(self.spark, f"{self.path}/rows") else 0
+
     def _read(self, held: list[StructType], number: int, paths: Sequence[str]) -> DataFrame:
         """Files of one schema as the last one."""
         wide, own = held[-1], {f.name: f.dataType for f in held[number].fields}

@@ -2,6 +2,7 @@ import json
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from siltstone.plans.run import FlowRun, run_flow
 from siltstone.specs import SourceSpec, bundled_flow, load_specs, parse_flow, with_buckets
@@ -131,3 +132,22 @@ def test_capped_batches_take_in_everything(spark, tmp_path):
         sorted(p.name for p in (tmp_path / "root/silver_users/users_clean/manifest").glob("*.json"))[-1]
     ).read_text())["version"]
     assert batches > 1
+
+
+def test_arranged_tables_have_files_by_what_is_stored(spark, tmp_path, monkeypatch):
+    """A task sorts a bounded share of a large table, however few partitions a shuffle has."""
+    monkeypatch.setattr("siltstone.operators.layout.SORTED_BYTES", 3_000, raising=False)
+    land = put(tmp_path / "land", "1.json", [
+        {"user_id": str(i), "email": f"{i * 7919}@{i}", "country_code": "IN", "updated_at": "2026-01-01 00:00:00"} for i in range(2000)
+    ])
+    raw = {**USERS, "silver": {"users_clean": {k: v for k, v in USERS["silver"]["users_clean"].items() if k != "partition_by"}}}
+    raw["silver"]["users_clean"] |= {"cluster_by": ["user_id"], "upsert": {"keys": ["user_id"], "latest": "updated_at", "buckets": 2}}
+    flow = parse_flow({**raw, "gold": {}})
+    run = FlowRun(spark, flow, str(tmp_path / "root"), sources=[SourceSpec("a", "users_raw", base_path=land)])
+    run.bronze()
+    run.silver()
+    assert run.arrange() == ["users_clean"]
+    found = run.arranged_table("users_clean")
+    per_file = [r["count"] for r in found.groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) > 8 and max(per_file) < 500
+    assert rows(found.select("user_id", "email")) == rows(run.silver_table("users_clean").select("user_id", "email"))
